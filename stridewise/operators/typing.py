@@ -91,8 +91,8 @@ def scale_if_median_within(df: DataFrame, col: str, lo: float, hi: float, factor
     return j.withColumn(col, F.when(F.coalesce(F.col("_scale"), F.lit(False)), F.col(col) * F.lit(factor)).otherwise(F.col(col))).drop("_scale")
 
 
-def clean_garmin_typing(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), scope=None) -> DataFrame:
-    """Raw core columns (text) to the typed core schema.
+def clean_garmin_typing(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), scope=None, extra: Sequence[str] = ()) -> DataFrame:
+    """Raw core columns (text) to the typed core schema (``extra`` columns pass through).
 
     European dates, ``hh:mm:ss`` durations, numeric coercion (before the metre
     heuristic, so text can never break it), metres to km above the threshold.
@@ -104,14 +104,14 @@ def clean_garmin_typing(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), s
     })
     d = d.withColumns({c: exprs.to_double(c) for c in NUMERIC_COLUMNS if c != "duration_sec"})
     d = scale_if_max_above(d, "distance_km", cfg.meters_threshold, 1000.0, scope)
-    return d.select(*[F.col(c).cast(CORE_TYPES[c]).alias(c) for c in CORE_COLUMNS])
+    return d.select(*[F.col(c).cast(CORE_TYPES[c]).alias(c) for c in CORE_COLUMNS], *extra)
 
 
 # Neutral XML import names and their core names.
 APPLE_RENAMES = {"distance": "distance_km", "duration": "duration_sec"}
 
 
-def clean_apple_typing(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), scope=None) -> DataFrame:
+def clean_apple_typing(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), scope=None, extra: Sequence[str] = ()) -> DataFrame:
     """Neutral XML import columns to the typed core schema.
 
     Offsets are dropped (wall-clock time kept); a median duration within the
@@ -127,6 +127,6 @@ def clean_apple_typing(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), sc
     lo, hi = cfg.minutes_median_range
     d = scale_if_median_within(d, "duration_sec", lo, hi, 60.0, scope)
     d = scale_if_max_above(d, "distance_km", cfg.meters_threshold, 1000.0, scope)
-    return reduce_to_columns(d, CORE_COLUMNS, CORE_TYPES).select(
-        *[F.col(c).cast(CORE_TYPES[c]).alias(c) for c in CORE_COLUMNS]
+    return reduce_to_columns(d, [*CORE_COLUMNS, *extra], CORE_TYPES).select(
+        *[F.col(c).cast(CORE_TYPES[c]).alias(c) for c in CORE_COLUMNS], *extra
     )

@@ -284,3 +284,144 @@ cells as (
         f"select {IDS}, source, null::double as calories from runs where source = 'alpha' "
         f"union all select {IDS}, source, calories from runs where source <> 'alpha'")
     return Q
+
+
+def _split(t: str, i: int) -> str:
+    return f"try_cast(string_split({t}, ':')[{i}] as double)"
+
+
+def duration_sql(t: str) -> str:
+    return (f"case len(string_split({t}, ':')) when 3 then {_split(t, 1)} * 3600 + {_split(t, 2)} * 60 + {_split(t, 3)} "
+            f"when 2 then {_split(t, 1)} * 60 + {_split(t, 2)} when 1 then try_cast({t} as double) end")
+
+
+def hms_sql(s: str) -> str:
+    return (f"cast({s} // 3600 as varchar) || ':' || lpad(cast(({s} % 3600) // 60 as varchar), 2, '0') || ':' "
+            f"|| lpad(cast({s} % 60 as varchar), 2, '0')")
+
+
+OFFSET_RE = r"'\s*(Z|[+-]\d{2}:?\d{2})$'"
+
+
+def strip_sql(t: str) -> str:
+    return f"try_cast(regexp_replace(trim({t}), {OFFSET_RE}, '') as timestamp)"
+
+
+def itext(x: str) -> str:
+    return f"cast(cast(floor({x}) as bigint) as varchar)"
+
+
+def oracle_queries_2() -> dict[str, str]:
+    Q: dict[str, str] = {}
+    Q["duration_parse"] = f"""with li as (select l_orderkey, l_linenumber,
+    cast(l_quantity as bigint) * 60 + (l_orderkey * 7 + l_partkey) % 900 as s from lineitem),
+t as (select l_orderkey, l_linenumber, case l_linenumber
+    when 1 then {hms_sql('s')} || case when l_orderkey % 2 = 0 then '.7' else '' end
+    when 2 then cast(s // 60 as varchar) || ':' || lpad(cast(s % 60 as varchar), 2, '0')
+    when 3 then cast(s as varchar) || '.25'
+    when 4 then 'abc' when 5 then '1:2:3:4' when 6 then '' else null end as duration from li)
+select l_orderkey, l_linenumber, duration, {duration_sql('duration')} as duration_sec from t"""
+    Q["eu_date_parse"] = """with li as (select l_orderkey, l_linenumber,
+    l_shipdate + to_minutes(cast(l_orderkey % 1440 as integer)) as ts from lineitem),
+t as (select l_orderkey, l_linenumber, case l_linenumber
+    when 1 then strftime(ts, '%d.%m.%Y %H:%M') when 2 then strftime(ts, '%d.%m.%Y %H:%M')
+    when 3 then strftime(ts, '%d.%m.%Y %H:%M')
+    when 4 then cast(day(ts) as varchar) || '.' || cast(month(ts) as varchar) || '.' || cast(year(ts) as varchar)
+                || ' ' || cast(hour(ts) as varchar) || ':' || lpad(cast(minute(ts) as varchar), 2, '0')
+    when 5 then '31.02.' || cast(year(ts) as varchar) || ' 10:00'
+    when 6 then strftime(ts, '%Y-%m-%d %H:%M') else 'garbage' end as date_text from li)
+select l_orderkey, l_linenumber, date_text, try_strptime(date_text, '%d.%m.%Y %H:%M') as date from t"""
+    Q["offset_strip"] = f"""with li as (select l_orderkey, l_linenumber,
+    l_shipdate + to_seconds(cast(l_orderkey % 86400 as bigint)) as ts from lineitem),
+t as (select l_orderkey, l_linenumber, case l_linenumber
+    when 1 then strftime(ts, '%Y-%m-%d %H:%M:%S') || ' +0200' when 2 then strftime(ts, '%Y-%m-%d %H:%M:%S') || ' -0500'
+    when 3 then strftime(ts, '%Y-%m-%d %H:%M:%S') || '+05:30' when 4 then strftime(ts, '%Y-%m-%d %H:%M:%S') || 'Z'
+    when 5 then strftime(ts, '%Y-%m-%d %H:%M:%S') when 6 then 'not a date' else null end as date_text from li)
+select l_orderkey, l_linenumber, date_text, {strip_sql('date_text')} as date from t"""
+    Q["numeric_coerce"] = """with t as (select l_orderkey, l_linenumber, case l_linenumber
+    when 1 then cast(l_partkey as varchar) when 2 then cast(l_partkey as varchar) || '.5'
+    when 3 then '1,' || lpad(cast(l_suppkey % 1000 as varchar), 3, '0') when 4 then '--' when 5 then ''
+    when 6 then 'nan' else null end as value_text from lineitem)
+select l_orderkey, l_linenumber, value_text,
+  case when isnan(try_cast(value_text as double)) then null else try_cast(value_text as double) end as value from t"""
+    Q["schema_reduce"] = q("select date, activity_type, distance_km, duration_sec as duration, cast(null as double) as calories, "
+                           "avg_heart_rate, max_heart_rate, source, export_date from rv")
+    Q["unit_heuristic_max"] = q(
+        f"select x.l_orderkey, x.l_linenumber, x.copy_no, case when coalesce(m.sc, false) then x.distance_km / cast(1000 as double) "
+        "else x.distance_km end as distance_km from x left join m on x.source is not distinct from m.source",
+        f""",
+x as (select {IDS}, source, case when source = 'gamma' then distance_km * 1000 else distance_km end as distance_km from runs),
+m as (select source, max(distance_km) > 200 as sc from x group by source)""")
+    Q["unit_heuristic_median"] = q(
+        "select y.l_orderkey, y.l_linenumber, y.copy_no, y.duration_sec, case when coalesce(mx.sc, false) "
+        "then y.distance_km / cast(1000 as double) else y.distance_km end as distance_km "
+        "from y left join mx on y.source is not distinct from mx.source",
+        f""",
+x as (select {IDS}, source, case when source = 'gamma' then distance_km * 1000 else distance_km end as distance_km,
+             case when source = 'beta' then duration_sec / 60 else duration_sec end as duration_sec from runs),
+md as (select source, median(duration_sec) between 10 and 200 as sc from x group by source),
+y as (select x.l_orderkey, x.l_linenumber, x.copy_no, x.source, x.distance_km,
+             case when coalesce(md.sc, false) then x.duration_sec * 60 else x.duration_sec end as duration_sec
+      from x left join md on x.source is not distinct from md.source),
+mx as (select source, max(distance_km) > 200 as sc from y group by source)""")
+    garmin = f""",
+gr as (select activity_type,
+         strftime(date + to_minutes(cast(l_orderkey % 1440 as integer)), '%d.%m.%Y %H:%M') as date_t,
+         case when source = 'gamma' then {itext('distance_km * 1000')} else {itext('distance_km')} end as dist_t,
+         case when calories is null then '--' else {itext('calories')} end as cal_t,
+         case when duration_sec is null then null else {hms_sql('cast(floor(duration_sec) as bigint)')} end as dur_t,
+         {itext('avg_heart_rate')} as avg_t, {itext('max_heart_rate')} as max_t,
+         source, strftime(export_date, '%Y-%m-%d') as exp_t, {IDS} from rv),
+gt as (select try_strptime(date_t, '%d.%m.%Y %H:%M') as date, activity_type, try_cast(dist_t as double) as distance_km,
+              {duration_sql('dur_t')} as duration_sec, try_cast(cal_t as double) as calories,
+              try_cast(avg_t as double) as avg_heart_rate, try_cast(max_t as double) as max_heart_rate, source,
+              try_cast(exp_t as timestamp) as export_date, {IDS}
+       from gr where contains(lower(activity_type), 'run')),
+mx as (select source, max(distance_km) > 200 as sc from gt group by source)"""
+    Q["garmin_typing"] = q(
+        "select gt.date, gt.activity_type, case when coalesce(mx.sc, false) then gt.distance_km / cast(1000 as double) "
+        "else gt.distance_km end as distance_km, gt.duration_sec, gt.calories, gt.avg_heart_rate, gt.max_heart_rate, "
+        "gt.source, gt.export_date, gt.l_orderkey, gt.l_linenumber, gt.copy_no from gt left join mx on gt.source is not distinct from mx.source",
+        garmin)
+    apple = f""",
+ar as (select strftime(date + to_seconds(cast(l_orderkey % 86400 as bigint)), '%Y-%m-%d %H:%M:%S')
+              || case when l_linenumber % 2 = 0 then ' +0200' else ' +0100' end as date_t,
+         replace(activity_type, ' ', '') as activity_type,
+         coalesce(case when source = 'gamma' then {itext('distance_km * 1000')} else {itext('distance_km')} end, '') as dist_t,
+         coalesce(case when source = 'beta' then cast(cast(floor(duration_sec) as bigint) // 60 as varchar) || '.5'
+                       else {itext('duration_sec')} end, '') as dur_t,
+         coalesce({itext('calories')}, '') as cal_t, coalesce({itext('avg_heart_rate')}, '') as avg_t,
+         coalesce({itext('max_heart_rate')}, '') as max_t, source, strftime(export_date, '%Y-%m-%d') as exp_t, {IDS} from rv),
+at1 as (select {strip_sql('date_t')} as date, activity_type, try_cast(dist_t as double) as distance_km,
+              try_cast(dur_t as double) as duration_sec, try_cast(cal_t as double) as calories,
+              try_cast(avg_t as double) as avg_heart_rate, try_cast(max_t as double) as max_heart_rate, source,
+              try_cast(exp_t as timestamp) as export_date, {IDS}
+       from ar where contains(lower(activity_type), 'running')),
+md as (select source, median(duration_sec) between 10 and 200 as sc from at1 group by source),
+a2 as (select at1.date, at1.activity_type, at1.distance_km,
+              case when coalesce(md.sc, false) then at1.duration_sec * 60 else at1.duration_sec end as duration_sec,
+              at1.calories, at1.avg_heart_rate, at1.max_heart_rate, at1.source, at1.export_date, at1.l_orderkey, at1.l_linenumber, at1.copy_no
+       from at1 left join md on at1.source is not distinct from md.source),
+mx as (select source, max(distance_km) > 200 as sc from a2 group by source)"""
+    Q["apple_typing"] = q(
+        "select a2.date, a2.activity_type, case when coalesce(mx.sc, false) then a2.distance_km / cast(1000 as double) "
+        "else a2.distance_km end as distance_km, a2.duration_sec, a2.calories, a2.avg_heart_rate, a2.max_heart_rate, "
+        "a2.source, a2.export_date, a2.l_orderkey, a2.l_linenumber, a2.copy_no from a2 left join mx on a2.source is not distinct from mx.source",
+        apple)
+    Q["parquet_round_trip"] = q("select * from runs")
+    Q["csv_round_trip"] = q("select * from runs")
+    xml = f""",
+xw as (select 'apple' as source, strftime(export_date, '%Y-%m-%d') as export_date, replace(activity_type, ' ', '') as activity_type,
+         strftime(date + to_seconds(cast(l_orderkey % 86400 as bigint)), '%Y-%m-%d %H:%M:%S') || ' +0200' as date,
+         coalesce(cast(cast(floor(duration_sec) as bigint) // 60 as varchar) || '.5', '') as duration,
+         coalesce(case when l_linenumber = 2 then cast(cast(floor(distance_km) as bigint) + 1 as varchar)
+                       else {itext('distance_km')} end, '') as distance,
+         coalesce({itext('calories')}, '') as calories,
+         coalesce({itext('avg_heart_rate')}, '') as avg_heart_rate,
+         case when avg_heart_rate is null then '' else coalesce({itext('max_heart_rate')}, '') end as max_heart_rate,
+         cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) || '-' || cast(copy_no as varchar) as workout_id
+       from rv)"""
+    Q["xml_workouts"] = q("select * from xw", xml)
+    Q["import_statistics"] = q("select count(*) as workouts, count_if(distance <> '') as with_distance, "
+                               "count_if(duration <> '') as with_duration from xw", xml)
+    return Q

@@ -280,3 +280,257 @@ def q_union_sources(spark, sf):
     a = rv.where(F.col("source") == "alpha").drop("calories")
     b = rv.where(F.col("source") != "alpha")
     return combine.concat_sources([a, b], sort_by=None)
+
+
+# --- text parsing and typing -------------------------------------------------
+
+def _lineitem(spark, sf):
+    from stridewise.sources.tables import table
+    return table(spark, sf, "lineitem")
+
+
+def _secs() -> F.Column:
+    return F.col("l_quantity").cast("long") * 60 + (F.col("l_orderkey") * 7 + F.col("l_partkey")) % 900
+
+
+def _hms(s: F.Column) -> F.Column:
+    return F.concat(
+        F.floor(s / 3600).cast("string"), F.lit(":"),
+        F.lpad(F.floor((s % 3600) / 60).cast("string"), 2, "0"), F.lit(":"),
+        F.lpad((s % 60).cast("string"), 2, "0"),
+    )
+
+
+def _by_line(*forms: F.Column) -> F.Column:
+    ln = F.col("l_linenumber")
+    out = F.when(ln == 1, forms[0])
+    for i, f in enumerate(forms[1:], start=2):
+        out = out.when(ln == i, f)
+    return out
+
+
+@query("duration_parse")
+def q_duration_parse(spark, sf):
+    s = _secs()
+    text = _by_line(
+        F.concat(_hms(s), F.when(F.col("l_orderkey") % 2 == 0, F.lit(".7")).otherwise(F.lit(""))),
+        F.concat(F.floor(s / 60).cast("string"), F.lit(":"), F.lpad((s % 60).cast("string"), 2, "0")),
+        F.concat(s.cast("string"), F.lit(".25")),
+        F.lit("abc"), F.lit("1:2:3:4"), F.lit(""), F.lit(None).cast("string"),
+    )
+    d = _lineitem(spark, sf).select("l_orderkey", "l_linenumber", text.alias("duration"))
+    return d.withColumn("duration_sec", exprs.duration_to_seconds("duration"))
+
+
+def _ts_minutes(spark, sf):
+    li = _lineitem(spark, sf)
+    return li.withColumn("ts", F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("l_orderkey") % 1440))
+
+
+@query("eu_date_parse")
+def q_eu_date_parse(spark, sf):
+    ts = F.col("ts")
+    text = _by_line(
+        F.date_format(ts, "dd.MM.yyyy HH:mm"), F.date_format(ts, "dd.MM.yyyy HH:mm"), F.date_format(ts, "dd.MM.yyyy HH:mm"),
+        F.concat_ws("", F.dayofmonth(ts).cast("string"), F.lit("."), F.month(ts).cast("string"), F.lit("."),
+                    F.year(ts).cast("string"), F.lit(" "), F.hour(ts).cast("string"), F.lit(":"),
+                    F.lpad(F.minute(ts).cast("string"), 2, "0")),
+        F.concat(F.lit("31.02."), F.year(ts).cast("string"), F.lit(" 10:00")),
+        F.date_format(ts, "yyyy-MM-dd HH:mm"),
+        F.lit("garbage"),
+    )
+    d = _ts_minutes(spark, sf).select("l_orderkey", "l_linenumber", text.alias("date_text"))
+    return d.withColumn("date", exprs.parse_eu_datetime("date_text"))
+
+
+def _offset_text() -> F.Column:
+    base = F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss")
+    return _by_line(
+        F.concat(base, F.lit(" +0200")), F.concat(base, F.lit(" -0500")), F.concat(base, F.lit("+05:30")),
+        F.concat(base, F.lit("Z")), base, F.lit("not a date"), F.lit(None).cast("string"),
+    )
+
+
+def _ts_seconds(spark, sf):
+    li = _lineitem(spark, sf)
+    return li.withColumn("ts", F.col("l_shipdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("l_orderkey") % 86400))
+
+
+@query("offset_strip")
+def q_offset_strip(spark, sf):
+    d = _ts_seconds(spark, sf).select("l_orderkey", "l_linenumber", _offset_text().alias("date_text"))
+    return d.withColumn("date", exprs.strip_utc_offset("date_text"))
+
+
+@query("numeric_coerce")
+def q_numeric_coerce(spark, sf):
+    pk = F.col("l_partkey").cast("string")
+    text = _by_line(
+        pk, F.concat(pk, F.lit(".5")), F.concat(F.lit("1,"), F.lpad((F.col("l_suppkey") % 1000).cast("string"), 3, "0")),
+        F.lit("--"), F.lit(""), F.lit("nan"), F.lit(None).cast("string"),
+    )
+    d = _lineitem(spark, sf).select("l_orderkey", "l_linenumber", text.alias("value_text"))
+    return d.withColumn("value", exprs.to_double("value_text"))
+
+
+@query("schema_reduce")
+def q_schema_reduce(spark, sf):
+    from stridewise.config import RAW_CORE_COLUMNS
+    from stridewise.operators.typing import reduce_to_columns
+    raw = run_view(spark, sf).withColumnRenamed("duration_sec", "duration").drop("calories")
+    return reduce_to_columns(raw, RAW_CORE_COLUMNS, {"calories": "double"})
+
+
+def _metres_for(src: str, col: str = "distance_km") -> F.Column:
+    return F.when(F.col("source") == src, F.col(col) * 1000).otherwise(F.col(col))
+
+
+@query("unit_heuristic_max")
+def q_unit_heuristic_max(spark, sf):
+    from stridewise.operators.typing import scale_if_max_above
+    d = running_view(spark, sf).withColumn("distance_km", _metres_for("gamma"))
+    return scale_if_max_above(d, "distance_km", CFG.meters_threshold, 1000.0, scope="source").select(*IDS, "distance_km")
+
+
+@query("unit_heuristic_median")
+def q_unit_heuristic_median(spark, sf):
+    from stridewise.operators.typing import scale_if_max_above, scale_if_median_within
+    d = running_view(spark, sf).withColumns({
+        "distance_km": _metres_for("gamma"),
+        "duration_sec": F.when(F.col("source") == "beta", F.col("duration_sec") / 60).otherwise(F.col("duration_sec")),
+    })
+    lo, hi = CFG.minutes_median_range
+    d = scale_if_median_within(d, "duration_sec", lo, hi, 60.0, scope="source")
+    d = scale_if_max_above(d, "distance_km", CFG.meters_threshold, 1000.0, scope="source")
+    return d.select(*IDS, "duration_sec", "distance_km")
+
+
+def _int_text(c: str) -> F.Column:
+    return F.floor(F.col(c)).cast("string")
+
+
+def _garmin_raw(spark, sf) -> DataFrame:
+    """The run view as a delimited export would hold it: all text, European dates, h:mm:ss."""
+    rv = run_view(spark, sf)
+    mins = F.col("l_orderkey") % 1440
+    ts = F.col("date") + F.make_dt_interval(F.lit(0), F.lit(0), mins)
+    s = F.floor(F.col("duration_sec"))
+    dist = F.when(F.col("source") == "gamma", F.floor(F.col("distance_km") * 1000).cast("string")).otherwise(_int_text("distance_km"))
+    return rv.select(
+        F.col("activity_type"), F.date_format(ts, "dd.MM.yyyy HH:mm").alias("date"), dist.alias("distance_km"),
+        F.when(F.col("calories").isNull(), F.lit("--")).otherwise(_int_text("calories")).alias("calories"),
+        F.when(s.isNull(), F.lit(None).cast("string")).otherwise(_hms(s)).alias("duration"),
+        _int_text("avg_heart_rate").alias("avg_heart_rate"), _int_text("max_heart_rate").alias("max_heart_rate"),
+        "source", F.date_format("export_date", "yyyy-MM-dd").alias("export_date"), *IDS,
+    )
+
+
+@query("garmin_typing")
+def q_garmin_typing(spark, sf):
+    from stridewise.operators.typing import clean_garmin_typing, filter_running_garmin
+    raw = filter_running_garmin(_garmin_raw(spark, sf))
+    return clean_garmin_typing(raw, CFG, scope="source", extra=IDS)
+
+
+def _apple_raw(spark, sf) -> DataFrame:
+    rv = run_view(spark, sf)
+    secs = F.col("l_orderkey") % 86400
+    ts = F.date_format(F.col("date") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs), "yyyy-MM-dd HH:mm:ss")
+    s = F.floor(F.col("duration_sec"))
+    dur = F.when(F.col("source") == "beta", F.concat(F.floor(s / 60).cast("string"), F.lit(".5"))).otherwise(s.cast("string"))
+    dist = F.when(F.col("source") == "gamma", F.floor(F.col("distance_km") * 1000).cast("string")).otherwise(_int_text("distance_km"))
+    empty = F.lit("")
+    return rv.select(
+        F.concat(ts, F.when(F.col("l_linenumber") % 2 == 0, F.lit(" +0200")).otherwise(F.lit(" +0100"))).alias("date"),
+        F.regexp_replace("activity_type", " ", "").alias("activity_type"),
+        F.coalesce(dist, empty).alias("distance"), F.coalesce(dur, empty).alias("duration"),
+        F.coalesce(_int_text("calories"), empty).alias("calories"),
+        F.coalesce(_int_text("avg_heart_rate"), empty).alias("avg_heart_rate"),
+        F.coalesce(_int_text("max_heart_rate"), empty).alias("max_heart_rate"),
+        "source", F.date_format("export_date", "yyyy-MM-dd").alias("export_date"), *IDS,
+    )
+
+
+@query("apple_typing")
+def q_apple_typing(spark, sf):
+    from stridewise.operators.typing import clean_apple_typing, filter_running_apple
+    raw = filter_running_apple(_apple_raw(spark, sf))
+    return clean_apple_typing(raw, CFG, scope="source", extra=IDS)
+
+
+# --- sources and sinks --------------------------------------------------------
+
+@query("parquet_round_trip")
+def q_parquet_round_trip(spark, sf):
+    from stridewise.session import scratch_path
+    from stridewise.sources.exports import read_processed, write_outputs
+    out = scratch_path(spark, "outputs")
+    write_outputs(running_view(spark, sf), out)
+    return read_processed(spark, out)
+
+
+@query("csv_round_trip")
+def q_csv_round_trip(spark, sf):
+    from stridewise.session import scratch_path
+    from stridewise.sources.exports import write_outputs
+    rv = running_view(spark, sf)
+    out = scratch_path(spark, "outputs")
+    paths = write_outputs(rv, out)
+    return spark.read.schema(rv.schema).option("header", True).csv(paths["csv"])
+
+
+def _write_xml_exports(spark, sf) -> str:
+    """Workouts of the run view written as XML exports, one folder per export date."""
+    from stridewise.session import scratch_path
+    from stridewise.sources.exports import ACTIVITY_PREFIX, DISTANCE_TYPES, ENERGY_TYPE, HEART_RATE_TYPE
+    rv = run_view(spark, sf)
+    root = scratch_path(spark, "apple")
+    ln = F.col("l_linenumber")
+    s = F.floor(F.col("duration_sec"))
+    secs = F.col("l_orderkey") % 86400
+    start = F.concat(F.date_format(F.col("date") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs), "yyyy-MM-dd HH:mm:ss"), F.lit(" +0200"))
+    null_s = F.lit(None).cast("string")
+
+    def stat(kind, total=null_s, avg=null_s, mx=null_s):
+        return F.struct(F.lit(kind).alias("_type"), total.alias("_sum"), avg.alias("_average"), mx.alias("_maximum"))
+
+    dist_type = F.when(F.col("activity_type") == "Cycling", F.lit(DISTANCE_TYPES[1])).otherwise(F.lit(DISTANCE_TYPES[0]))
+    dist_stat = F.struct(dist_type.alias("_type"), _int_text("distance_km").alias("_sum"), null_s.alias("_average"), null_s.alias("_maximum"))
+    stats = F.array(
+        F.when(F.col("distance_km").isNotNull(), dist_stat),
+        F.when(F.col("calories").isNotNull(), stat(ENERGY_TYPE, _int_text("calories"))),
+        F.when(ln == 3, stat("HKQuantityTypeIdentifierStepCount", F.col("l_orderkey").cast("string"))),
+        F.when(F.col("avg_heart_rate").isNotNull(), stat(HEART_RATE_TYPE, null_s, _int_text("avg_heart_rate"), _int_text("max_heart_rate"))),
+        F.when((ln == 2) & F.col("distance_km").isNotNull(),
+               stat(DISTANCE_TYPES[0], (F.floor(F.col("distance_km")) + 1).cast("string"))),
+    )
+    w = rv.select(
+        "export_date",
+        F.concat(F.lit(ACTIVITY_PREFIX), F.regexp_replace("activity_type", " ", "")).alias("_workoutActivityType"),
+        F.when(s.isNull(), null_s).otherwise(F.concat(F.floor(s / 60).cast("string"), F.lit(".5"))).alias("_duration"),
+        start.alias("_startDate"),
+        F.concat_ws("-", *[F.col(c).cast("string") for c in IDS]).alias("_id"),
+        F.filter(stats, lambda x: x.isNotNull()).alias("WorkoutStatistics"),
+    )
+    for day in ["2025-08-22", "2025-09-19"]:
+        part = w.where(F.col("export_date") == F.lit(day).cast("timestamp_ntz")).drop("export_date")
+        (part.write.format("xml").option("rootTag", "HealthData").option("rowTag", "Workout")
+         .mode("overwrite").save(f"{root}/{day}"))
+    return root
+
+
+@query("xml_workouts")
+def q_xml_workouts(spark, sf):
+    from pyspark.sql import types as T
+    from stridewise.sources import exports
+    root = _write_xml_exports(spark, sf)
+    schema = T.StructType(exports.WORKOUT_SCHEMA.fields + [T.StructField("_id", T.StringType())])
+    d = exports.import_apple_workouts(spark, f"{root}/*/*.xml", schema=schema, extra=["_id"])
+    return d.withColumnRenamed("_id", "workout_id")
+
+
+@query("import_statistics")
+def q_import_statistics(spark, sf):
+    from stridewise.sources.exports import import_apple_workouts, import_statistics
+    root = _write_xml_exports(spark, sf)
+    return import_statistics(import_apple_workouts(spark, f"{root}/*/*.xml"))

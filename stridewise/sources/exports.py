@@ -112,11 +112,12 @@ def import_garmin_activities(spark: SparkSession, pattern: str, dialect: CsvDial
 def _last_stat(stats: F.Column, types: Sequence[str], field: str) -> F.Column:
     """Field of the last statistic of one of ``types`` (last match wins), empty text if none."""
     hits = F.filter(stats, lambda s: s["_type"].isin(*types))
-    return F.coalesce(F.element_at(hits, -1)[field], F.lit(""))
+    return F.coalesce(F.try_element_at(hits, F.lit(-1))[field], F.lit(""))
 
 
-def workouts_from_xml_frame(raw: DataFrame, export_date: F.Column, source: str = "apple") -> DataFrame:
-    """Flatten parsed ``Workout`` rows into the neutral import columns (all text)."""
+def workouts_from_xml_frame(raw: DataFrame, export_date: F.Column, source: str = "apple",
+                            extra: Sequence[str] = ()) -> DataFrame:
+    """Flatten parsed ``Workout`` rows into the neutral import columns (all text); ``extra`` pass through."""
     st = F.coalesce(F.col("WorkoutStatistics"), F.array().cast(WORKOUT_SCHEMA["WorkoutStatistics"].dataType))
     return raw.select(
         F.lit(source).alias("source"),
@@ -128,10 +129,12 @@ def workouts_from_xml_frame(raw: DataFrame, export_date: F.Column, source: str =
         _last_stat(st, [ENERGY_TYPE], "_sum").alias("calories"),
         _last_stat(st, [HEART_RATE_TYPE], "_average").alias("avg_heart_rate"),
         _last_stat(st, [HEART_RATE_TYPE], "_maximum").alias("max_heart_rate"),
+        *extra,
     )
 
 
-def import_apple_workouts(spark: SparkSession, pattern: str, source: str = "apple") -> DataFrame:
+def import_apple_workouts(spark: SparkSession, pattern: str, source: str = "apple",
+                          schema: T.StructType = WORKOUT_SCHEMA, extra: Sequence[str] = ()) -> DataFrame:
     """One row per ``<Workout>`` of all XML exports matching ``pattern``.
 
     The XML source parses each file in one task (``multiLine`` default), so
@@ -139,7 +142,7 @@ def import_apple_workouts(spark: SparkSession, pattern: str, source: str = "appl
     element the import does not use. No file: an empty frame.
     """
     try:
-        raw = spark.read.format("xml").option("rowTag", "Workout").schema(WORKOUT_SCHEMA).load(pattern)
+        raw = spark.read.format("xml").option("rowTag", "Workout").schema(schema).load(pattern)
         raw = raw.select("*", F.col("_metadata.file_path").alias("_file"))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
@@ -147,7 +150,7 @@ def import_apple_workouts(spark: SparkSession, pattern: str, source: str = "appl
                                              "duration string, distance string, calories string, "
                                              "avg_heart_rate string, max_heart_rate string")
         raise
-    return workouts_from_xml_frame(raw, export_folder("_file"), source)
+    return workouts_from_xml_frame(raw, export_folder("_file"), source, extra)
 
 
 def import_statistics(df: DataFrame, distance: str = "distance", duration: str = "duration", file_col: str | None = None) -> DataFrame:
