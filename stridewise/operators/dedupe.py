@@ -25,13 +25,17 @@ def keep_first(
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
+    # the aggregate is sort-based (struct buffers); a numeric or time key first
+    # gives the sort a discriminating prefix, low-cardinality strings go last
+    types = dict(df.dtypes)
+    group_keys = sorted(keys, key=lambda k: 0 if types[k].startswith(("timestamp", "date", "bigint", "int", "double")) else 1)
     ordering = list(order_by) + [c for c in rest if c not in order_by]
     payload = F.struct(*[F.col(c) for c in rest])
     rank_key = F.struct(*[F.col(c) for c in ordering])
     aggs = [F.min_by(payload, rank_key).alias("_first")]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
-    grouped = df.groupBy(*keys).agg(*aggs)
+    grouped = df.groupBy(*group_keys).agg(*aggs)
     cols = [F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns]
     if count_col:
         cols.append(F.col(count_col))

@@ -14,7 +14,7 @@ statistics (the convention of pandas, DuckDB and Spark's ``percentile``):
 ``rank``
     For unbounded domains: range-partition the distinct pairs by
     ``(group, value)`` (a hot group is cut into many partitions by sampled
-    bounds), fix the partition ids with a reliable checkpoint, count rows of
+    bounds), fix the partition ids by writing the pairs as a table, count rows of
     each group per partition, turn that small table into per-partition offsets
     and pick the rows whose global rank hits the wanted positions. No task
     ever holds more than one range partition.
@@ -30,7 +30,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stridewise.session import checkpoint_root
+from stridewise.session import materialize
 
 HIST_MAX_DISTINCT = 2_000_000
 
@@ -50,12 +50,11 @@ def _hist(pairs: DataFrame, keys: Sequence[str], probs: Sequence[float], out: st
 
 
 def _rank(pairs: DataFrame, keys: Sequence[str], probs: Sequence[float], out: str, partitions: int) -> DataFrame:
-    spark = pairs.sparkSession
-    checkpoint_root(spark)
-    ordered = (
+    # the written table fixes the partition ids for every later reader
+    ordered = materialize(
         pairs.repartitionByRange(partitions, *[F.col(k).asc_nulls_first() for k in keys], F.col("_v"))
-        .withColumn("_pid", F.spark_partition_id())
-        .checkpoint(eager=True)
+        .withColumn("_pid", F.spark_partition_id()),
+        "ranked",
     )
     # rows of each group before this value, within the same range partition
     w_local = Window.partitionBy("_pid", *keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)

@@ -514,7 +514,8 @@ def _write_xml_exports(spark, sf) -> str:
     )
     for day in ["2025-08-22", "2025-09-19"]:
         part = w.where(F.col("export_date") == F.lit(day).cast("timestamp_ntz")).drop("export_date")
-        (part.write.format("xml").option("rootTag", "HealthData").option("rowTag", "Workout")
+        # several export files per folder: the XML source reads one file per task
+        (part.repartition(8).write.format("xml").option("rootTag", "HealthData").option("rowTag", "Workout")
          .mode("overwrite").save(f"{root}/{day}"))
     return root
 

@@ -53,3 +53,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if root.startswith("file:"):
         root = root[len("file:"):]
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str = "stage"):
+    """Write ``df`` once as a Parquet table under the checkpoint root and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of recomputing
+    the shuffle chain), computes the plan exactly once (unlike an RDD
+    checkpoint of an unpersisted plan), and later readers get column pruning
+    and filter pushdown.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
