@@ -17,6 +17,7 @@ from stridewise.functions import exprs, rules
 from stridewise.operators import combine, describe as desc, heart_rate, impute, quality
 from stridewise.operators.dedupe import keep_first
 from stridewise.plans import pipeline as pl
+from stridewise.session import materialize as write_table
 from stridewise.sources.tables import run_view, running_view
 
 CFG = CleaningConfig()
@@ -47,7 +48,8 @@ def after_step4(spark: SparkSession, sf: str) -> DataFrame:
     """Steps 1-4 of the pipeline on the running view (rows dropped, not tagged)."""
     d = pl.step_impute_dates(running_view(spark, sf), CFG)
     d = keep_first(d, ["source", "date", "distance_km", "duration_sec"], ["export_date"], count_col=None)
-    return d.where(rules.all_present(["distance_km", "duration_sec"]) & pl.plausible(CFG))
+    # read by every statistic that follows: write it once
+    return write_table(d.where(rules.all_present(["distance_km", "duration_sec"]) & pl.plausible(CFG)), "step4")
 
 
 def after_step5(spark: SparkSession, sf: str) -> DataFrame:
