@@ -52,16 +52,16 @@ DEDUPE_ORDER = ("export_date nulls first, activity_type nulls first, calories nu
                 "l_linenumber nulls first, copy_no nulls first")
 KEY = "source, date, distance_km, duration_sec"
 
-DIST_BIN = """case when (case when distance_km < 0 then 0 else distance_km end) >= 0 and (case when distance_km < 0 then 0 else distance_km end) < 5 then 0.0
-     when (case when distance_km < 0 then 0 else distance_km end) >= 5 and (case when distance_km < 0 then 0 else distance_km end) < 10 then 5.0
-     when (case when distance_km < 0 then 0 else distance_km end) >= 10 and (case when distance_km < 0 then 0 else distance_km end) < 15 then 10.0
-     when (case when distance_km < 0 then 0 else distance_km end) >= 15 and (case when distance_km < 0 then 0 else distance_km end) < 25 then 15.0
-     when (case when distance_km < 0 then 0 else distance_km end) >= 25 and (case when distance_km < 0 then 0 else distance_km end) < 50 then 25.0 end"""
+DIST_BIN = """case when (case when distance_km < 0 then 0 else distance_km end) >= 0 and (case when distance_km < 0 then 0 else distance_km end) < 5 then cast(0.0 as double)
+     when (case when distance_km < 0 then 0 else distance_km end) >= 5 and (case when distance_km < 0 then 0 else distance_km end) < 10 then cast(5.0 as double)
+     when (case when distance_km < 0 then 0 else distance_km end) >= 10 and (case when distance_km < 0 then 0 else distance_km end) < 15 then cast(10.0 as double)
+     when (case when distance_km < 0 then 0 else distance_km end) >= 15 and (case when distance_km < 0 then 0 else distance_km end) < 25 then cast(15.0 as double)
+     when (case when distance_km < 0 then 0 else distance_km end) >= 25 and (case when distance_km < 0 then 0 else distance_km end) < 50 then cast(25.0 as double) end"""
 
 
 def hr_bin_sql(hr: str, e: str, nd: str) -> str:
-    return (f"case when {hr} is null then null when {nd} >= 4 then greatest(1, len(list_filter(list_distinct({e}), lambda x: x < {hr}))) "
-            f"when {nd} >= 2 then case when {hr} <= {e}[1] + ({e}[len({e})] - {e}[1]) / cast(2 as double) then 1 else 2 end end")
+    return (f"cast(case when {hr} is null then null when {nd} >= 4 then greatest(1, len(list_filter(list_distinct({e}), lambda x: x < {hr}))) "
+            f"when {nd} >= 2 then case when {hr} <= {e}[1] + ({e}[len({e})] - {e}[1]) / cast(2 as double) then 1 else 2 end end as integer)")
 
 
 # steps 1-4: s_dd = deduplicated (with n_copies), s_act = rows still in play
@@ -425,3 +425,23 @@ xw as (select 'apple' as source, strftime(export_date, '%Y-%m-%d') as export_dat
     Q["import_statistics"] = q("select count(*) as workouts, count_if(distance <> '') as with_distance, "
                                "count_if(duration <> '') as with_duration from xw", xml)
     return Q
+
+
+def _bigint_counts(sql: str) -> str:
+    """Wrap every ``count_if(...)`` in a BIGINT cast (DuckDB returns HUGEINT, Spark BIGINT)."""
+    out, i, key = [], 0, "count_if("
+    while True:
+        j = sql.find(key, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        out.append(sql[i:j] + "cast(" + sql[j:k] + " as bigint)")
+        i = k
+
+
+def all_oracle_queries() -> dict[str, str]:
+    return {k: _bigint_counts(v) for k, v in {**oracle_queries(), **oracle_queries_2()}.items()}
