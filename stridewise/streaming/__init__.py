@@ -1,0 +1 @@
+"""Incremental ingest of export folders with Structured Streaming."""

@@ -1,0 +1,23 @@
+import os
+import shutil
+import tempfile
+
+from conftest import GARMIN_FIXTURE_GLOB
+from stridewise.streaming.ingest import dedupe_within_exports, garmin_stream, start_ingest
+
+HEADER = ["Activity Type", "Date", "Favorite", "Title", "Distance", "Calories", "Time", "Avg HR", "Max HR", "Avg Run Cadence"]
+
+
+def test_incremental_ingest_dedupes_later_export(spark):
+    src = tempfile.mkdtemp(prefix="stream-src-")
+    fixture = GARMIN_FIXTURE_GLOB.replace("*", "2025-08-22")
+    for day in ["2025-08-22", "2025-09-19"]:          # the second export repeats all activities
+        os.makedirs(f"{src}/{day}")
+        shutil.copy(fixture, f"{src}/{day}/Activities.csv")
+    out, ckpt = tempfile.mkdtemp(prefix="stream-out-"), tempfile.mkdtemp(prefix="stream-ckpt-")
+    stream = dedupe_within_exports(garmin_stream(spark, src, HEADER))
+    q = start_ingest(stream, out, ckpt)
+    q.awaitTermination(300)
+    rows = spark.read.parquet(out).collect()
+    assert len(rows) == 5
+    assert {r.duration_sec for r in rows} >= {2212.0}
