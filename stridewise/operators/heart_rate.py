@@ -27,7 +27,8 @@ def repair_hr_consistency(df: DataFrame, cfg: CleaningConfig = CleaningConfig(),
     })
 
 
-def median_by_group(df: DataFrame, group: str, cols: list[str], where: Column | None = None) -> DataFrame:
+def median_by_group(df: DataFrame, group: str, cols: list[str], where: Column | None = None,
+                    method: str = "auto") -> DataFrame:
     """Exact median of each of ``cols`` per ``group`` value, one pass.
 
     The columns are stacked into ``(group, column, value)`` so a single
@@ -40,7 +41,7 @@ def median_by_group(df: DataFrame, group: str, cols: list[str], where: Column |
         F.col(group),
         F.explode(F.array(*[F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_val")) for c in cols])).alias("_s"),
     ).select(group, "_s._col", "_s._val")
-    med = exact_percentiles(stacked, [group, "_col"], "_val", [0.5], out="_q")
+    med = exact_percentiles(stacked, [group, "_col"], "_val", [0.5], out="_q", method=method)
     return (
         med.groupBy(group)
         .pivot("_col", cols)
@@ -50,20 +51,22 @@ def median_by_group(df: DataFrame, group: str, cols: list[str], where: Column |
 
 
 def fill_with_group_median(
-    df: DataFrame, group: str, cols: list[str], where: Column | None = None
+    df: DataFrame, group: str, cols: list[str], where: Column | None = None, method: str = "auto"
 ) -> DataFrame:
     """Nulls of ``cols`` := exact median of the same ``group`` (computed over ``where`` rows)."""
-    med, n = materialize_small(median_by_group(df, group, cols, where))
+    med, n = materialize_small(median_by_group(df, group, cols, where, method))
     joined = lookup_join(df, med, [group], small_rows=n)
     return joined.withColumns({c: F.coalesce(F.col(c), F.col(f"{c}_median")) for c in cols}).drop(
         *[f"{c}_median" for c in cols]
     )
 
 
-def clean_heart_rate(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), where: Column | None = None, group: str = "source") -> DataFrame:
+def clean_heart_rate(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), where: Column | None = None,
+                     group: str = "source", method: str = "auto") -> DataFrame:
     """Step 5: error nulling, consistency repair, median fill per ``group``.
 
-    ``where`` restricts the rows that feed the medians (rows still in play).
+    ``where`` restricts the rows that feed the medians (rows still in play);
+    ``method`` is the exact-percentile plan (``auto`` measures first).
     """
     df = repair_hr_consistency(null_hr_errors(df, cfg), cfg)
-    return fill_with_group_median(df, group, [AVG, MAX], where)
+    return fill_with_group_median(df, group, [AVG, MAX], where, method)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from stridewise.config import CleaningConfig
 from stridewise.functions import exprs
 from stridewise.operators.joins import lookup_join, materialize_small
-from stridewise.operators.quantiles import exact_percentiles
+from stridewise.operators.quantiles import choose_method, exact_percentiles, widest_group
 
 DIST_BIN, HR_BIN = "_dist_bin", "_hr_bin"
 
@@ -25,13 +25,14 @@ def with_distance_bin(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), col
     return df.withColumn(out, exprs.distance_bin(exprs.to_double(col), cfg.distance_bins))
 
 
-def hr_edges(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), col: str = "avg_heart_rate", group: str = "source", where: Column | None = None) -> DataFrame:
+def hr_edges(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), col: str = "avg_heart_rate", group: str = "source",
+             where: Column | None = None, method: str = "auto") -> DataFrame:
     """Per group: exact quantile edges at 0, 1/q, ..., 1 and the number of distinct values."""
     base = df if where is None else df.where(where)
     base = base.where(F.col(group).isNotNull())
     q = cfg.hr_quantiles
     probs = [i / q for i in range(q + 1)]
-    e = exact_percentiles(base, [group], col, probs, out="_edges")
+    e = exact_percentiles(base, [group], col, probs, out="_edges", method=method)
     return e.select(group, "_edges", F.col("n_distinct").alias("_nd"))
 
 
@@ -52,9 +53,9 @@ def hr_bin_expr(hr: Column, edges: Column, n_distinct: Column, quantiles: int) -
 
 
 def with_hr_bin(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), col: str = "avg_heart_rate", group: str = "source",
-                where: Column | None = None, out: str = HR_BIN) -> DataFrame:
+                where: Column | None = None, out: str = HR_BIN, method: str = "auto") -> DataFrame:
     """HR quantile bins per group, edges computed over ``where`` rows; null group -> null bin."""
-    edges, n = materialize_small(hr_edges(df, cfg, col, group, where))
+    edges, n = materialize_small(hr_edges(df, cfg, col, group, where, method))
     j = lookup_join(df, edges, [group], small_rows=n)
     hr = exprs.to_double(col)
     return j.withColumn(out, hr_bin_expr(hr, F.col("_edges"), F.col("_nd"), cfg.hr_quantiles)).drop("_edges", "_nd")
@@ -65,7 +66,8 @@ def _grouping_id(level: Sequence[str], all_keys: Sequence[str]) -> int:
     return sum(1 << (n - 1 - i) for i, k in enumerate(all_keys) if k not in level)
 
 
-def median_levels(df: DataFrame, value: str, levels: Sequence[Sequence[str]], where: Column | None = None) -> DataFrame:
+def median_levels(df: DataFrame, value: str, levels: Sequence[Sequence[str]], where: Column | None = None,
+                  method: str = "auto") -> DataFrame:
     """Exact medians of ``value`` for each grouping set in ``levels``, in one pass.
 
     Output: ``gid`` (Spark ``grouping_id`` over the union of the keys), the
@@ -84,6 +86,25 @@ def median_levels(df: DataFrame, value: str, levels: Sequence[Sequence[str]], wh
             sets.append(list(lvl))
     base = df if where is None else df.where(where)
     v = exprs.to_double(value)
+    if method == "auto":
+        method = choose_method(widest_group(base.withColumn("_v", v), all_keys, ["_v"])["_v"])
+    if method == "rank":
+        # unbounded domains: one rank plan per grouping set, tagged with its grouping id
+        parts = []
+        for s_ in sets:
+            gid = _grouping_id(s_, all_keys)
+            src = base.withColumn("_v", v)
+            keys = list(s_) or ["_all"]
+            if not s_:
+                src = src.withColumn("_all", F.lit(0))
+            m = exact_percentiles(src, keys, "_v", [0.5], out="_q", method="rank")
+            parts.append(m.select(F.lit(gid).cast("long").alias("gid"),
+                                  *[F.col(k) if k in s_ else F.lit(None).cast(base.schema[k].dataType).alias(k) for k in all_keys],
+                                  F.col("_q")[0].alias("median")))
+        out = parts[0]
+        for p_ in parts[1:]:
+            out = out.unionByName(p_)
+        return out
     pairs = (
         base.select(*all_keys, v.alias("_v"))
         .where(F.col("_v").isNotNull())
@@ -110,6 +131,7 @@ def impute_grouped(
     where: Column | None = None,
     flag: str = "calories_imputed",
     level_col: str = "imputation_level",
+    method: str = "auto",
 ) -> DataFrame:
     """Fill nulls of ``target`` with the median of the first level that has one.
 
@@ -122,7 +144,7 @@ def impute_grouped(
     all_keys: list[str] = []
     for lvl in levels:
         all_keys += [k for k in lvl if k not in all_keys]
-    med, n = materialize_small(median_levels(df, target, levels, where))
+    med, n = materialize_small(median_levels(df, target, levels, where, method))
     out = df
     for i, lvl in enumerate(levels):
         gid = _grouping_id(lvl, all_keys)
@@ -151,6 +173,8 @@ def impute_grouped_calories(
     where: Column | None = None,
     group: str = "source",
     frame_level0: bool = True,
+    hr_method: str = "auto",
+    cal_method: str = "auto",
 ) -> DataFrame:
     """Calories <= 0 become null, then the four-level fallback fills them.
 
@@ -159,8 +183,8 @@ def impute_grouped_calories(
     """
     d = df.withColumn("calories", exprs.positive_or_null(exprs.to_double("calories")))
     d = with_distance_bin(d, cfg)
-    d = with_hr_bin(d, cfg, group=group, where=where)
-    d = impute_grouped(d, "calories", calorie_levels(group, frame_level0), where)
+    d = with_hr_bin(d, cfg, group=group, where=where, method=hr_method)
+    d = impute_grouped(d, "calories", calorie_levels(group, frame_level0), where, method=cal_method)
     return d.drop(DIST_BIN, HR_BIN)
 
 
@@ -172,6 +196,7 @@ def winsorise_calories(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), co
 
 
 def impute_calories_step(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), where: Column | None = None,
-                         group: str = "source", frame_level0: bool = True) -> DataFrame:
+                         group: str = "source", frame_level0: bool = True, hr_method: str = "auto",
+                         cal_method: str = "auto") -> DataFrame:
     """Step 6: imputation, then winsorising."""
-    return winsorise_calories(impute_grouped_calories(df, cfg, where, group, frame_level0), cfg)
+    return winsorise_calories(impute_grouped_calories(df, cfg, where, group, frame_level0, hr_method, cal_method), cfg)

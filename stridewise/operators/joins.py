@@ -12,10 +12,22 @@ from pyspark.sql import functions as F
 BROADCAST_MAX_ROWS = 100_000
 
 
-def materialize_small(df: DataFrame) -> tuple[DataFrame, int]:
-    """Cache a small aggregate and return it with its row count (one job)."""
-    cached = df.cache()
-    return cached, cached.count()
+def materialize_small(df: DataFrame, name: str = "stats", max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, int]:
+    """Compute a statistic table once and return it with its row count.
+
+    At most ``max_rows + 1`` rows are fetched (one job). Within the bound the
+    table becomes a local relation, which is what a broadcast ships anyway:
+    later plans never recompute the aggregate behind it and a lost executor
+    cannot lose it. Beyond the bound it is written as a table under the
+    checkpoint root and joined by shuffle.
+    """
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) <= max_rows:
+        return df.sparkSession.createDataFrame(rows, df.schema), len(rows)
+    from stridewise.session import materialize
+
+    table = materialize(df, name)
+    return table, table.count()
 
 
 def lookup_join(

@@ -86,6 +86,8 @@ def comparison_table(summary: DataFrame, wide: DataFrame, sources: Sequence[str]
     ``summary``: run summary per source; ``wide``: :func:`assess_quality` per
     source. A source present in one and not the other raises.
     """
+    # both inputs are tiny aggregates read several times below: compute them once
+    summary, wide = summary.cache(), wide.cache()
     long_q = quality_long(wide, [by])
     means = long_q.groupBy(by).agg(
         F.avg(F.when(F.col("category") == "completeness", F.col("value"))).alias("_compl"),

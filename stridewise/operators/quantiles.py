@@ -127,14 +127,7 @@ def exact_percentiles(
     keys = list(keys)
     pairs = _value_pairs(df, keys, value)
     if method == "auto":
-        widest = (
-            df.where(F.col(value).isNotNull())
-            .groupBy(*keys)
-            .agg(F.approx_count_distinct(value).alias("d"))
-            .agg(F.max("d"))
-            .first()[0]
-        )
-        method = "hist" if widest is None or widest <= max_distinct else "rank"
+        method = choose_method(widest_group(df, keys, [value])[value], max_distinct)
     if method == "hist":
         return _hist(pairs, keys, probs, out)
     if method == "rank":
@@ -143,6 +136,18 @@ def exact_percentiles(
     raise ValueError(f"unknown method {method!r}")
 
 
+def widest_group(df: DataFrame, keys: Sequence[str], cols: Sequence[str]) -> dict[str, int]:
+    """Largest approximate number of distinct values per group, for each of ``cols`` (one job)."""
+    aggs = [F.approx_count_distinct(c).alias(c) for c in cols]
+    per_group = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+    row = per_group.agg(*[F.max(c).alias(c) for c in cols]).first()
+    return {c: int(row[c] or 0) for c in cols}
+
+
+def choose_method(distinct: int, max_distinct: int = HIST_MAX_DISTINCT) -> str:
+    return "hist" if distinct <= max_distinct else "rank"
+
+
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median", **kw) -> DataFrame:
     res = exact_percentiles(df, keys, value, [0.5], out="_q", **kw)
     return res.select(*keys, F.col("_q")[0].alias(out), "n", "n_distinct")

@@ -271,7 +271,7 @@ def q_describe(spark, sf):
 
 @query("chronological_top")
 def q_chronological_top(spark, sf):
-    data = combine.add_features(cleaned(spark, sf).data)
+    data = write_table(combine.add_features(cleaned(spark, sf).data), "cleaned")
     frames = [data.where(F.col("source") == s) for s in SOURCES]
     return combine.concat_sources(frames, "date", tie_breakers=IDS).limit(50)
 
