@@ -200,3 +200,9 @@ def impute_calories_step(df: DataFrame, cfg: CleaningConfig = CleaningConfig(),
                          cal_method: str = "auto") -> DataFrame:
     """Step 6: imputation, then winsorising."""
     return winsorise_calories(impute_grouped_calories(df, cfg, where, group, frame_level0, hr_method, cal_method), cfg)
+
+
+def imputation_summary(df: DataFrame, by: Sequence[str] = (), flag: str = "calories_imputed",
+                       level_col: str = "imputation_level") -> DataFrame:
+    """How many values each fallback level filled (imputed rows only)."""
+    return df.where(F.col(flag)).groupBy(*by, level_col).agg(F.count(F.lit(1)).alias("rows"))

@@ -230,6 +230,8 @@ g as (select l_orderkey, quantile_cont(avg_heart_rate, [0, 0.25, 0.5, 0.75, 1.0]
         STEPS_1_4 + HR_STEP + calories_step(True) + """,
 ml as (select grouping(source, dist_bin, hr_bin) as gid, source, dist_bin, hr_bin, median(cal) as median
        from c1 where cal is not null group by grouping sets ((source, dist_bin, hr_bin), (source, dist_bin), (source), ()))""")
+    Q["imputation_summary"] = q("select source, imputation_level, count(*) as rows from s_cal where calories_imputed "
+                                "group by source, imputation_level", STEPS_1_4 + HR_STEP + calories_step(True))
     Q["calories_impute"] = q(f"select {IDS}, cal_filled as calories, calories_imputed, imputation_level from s_cal",
                              STEPS_1_4 + HR_STEP + calories_step(True))
     Q["winsorise"] = q(f"select {IDS}, calories from s_cal", STEPS_1_4 + HR_STEP + calories_step(True))
@@ -408,6 +410,48 @@ mx as (select source, max(distance_km) > 200 as sc from a2 group by source)"""
         "else a2.distance_km end as distance_km, a2.duration_sec, a2.calories, a2.avg_heart_rate, a2.max_heart_rate, "
         "a2.source, a2.export_date, a2.l_orderkey, a2.l_linenumber, a2.copy_no from a2 left join mx on a2.source is not distinct from mx.source",
         apple)
+    Q["garmin_csv_import"] = q(
+        "select activity_type, date_t as date, dist_t as distance_km, cal_t as calories, dur_t as duration, "
+        "avg_t as avg_heart_rate, max_t as max_heart_rate, 'Lauf ' || source || ' Zürich' as Title, "
+        "cast(l_orderkey as varchar) as \"Order\", cast(l_linenumber as varchar) as Line, "
+        "'garmin' as source, exp_t as export_date, case when copy_no = 1 then 'false' end as Favorite from gr", garmin)
+    e8 = f""",
+g8 as (select activity_type,
+         strftime(date + to_minutes(cast(l_orderkey % 1440 as integer)), '%d.%m.%Y %H:%M') as date_t,
+         {itext('distance_km')} as dist_t,
+         case when calories is null then '--' else {itext('calories')} end as cal_t,
+         case when duration_sec is null then null else {hms_sql('cast(floor(duration_sec) as bigint)')} end as dur_t,
+         {itext('avg_heart_rate')} as avg_t, {itext('max_heart_rate')} as max_t,
+         strftime(export_date, '%Y-%m-%d') as exp_t, {IDS} from rv where source <> 'gamma'),
+g8t as (select try_strptime(date_t, '%d.%m.%Y %H:%M') as date, activity_type, try_cast(dist_t as double) as distance_km,
+               {duration_sql('dur_t')} as duration_sec, try_cast(cal_t as double) as calories,
+               try_cast(avg_t as double) as avg_heart_rate, try_cast(max_t as double) as max_heart_rate, 'garmin' as source,
+               try_cast(exp_t as timestamp) as export_date, {IDS}
+        from g8 where contains(lower(activity_type), 'run')),
+g8m as (select max(distance_km) > 200 as sc from g8t),
+g8u as (select g8t.* replace (case when (select coalesce(sc, false) from g8m) then distance_km / cast(1000 as double)
+                                   else distance_km end as distance_km) from g8t),
+a8 as (select replace(activity_type, ' ', '') as activity_type,
+         strftime(date + to_seconds(cast(l_orderkey % 86400 as bigint)), '%Y-%m-%d %H:%M:%S') || ' +0200' as date_t,
+         coalesce(cast(cast(floor(duration_sec) as bigint) // 60 as varchar) || '.5', '') as dur_t,
+         coalesce(case when l_linenumber = 2 then cast(cast(floor(distance_km) as bigint) + 1 as varchar)
+                       else {itext('distance_km')} end, '') as dist_t,
+         coalesce({itext('calories')}, '') as cal_t, coalesce({itext('avg_heart_rate')}, '') as avg_t,
+         case when avg_heart_rate is null then '' else coalesce({itext('max_heart_rate')}, '') end as max_t,
+         strftime(export_date, '%Y-%m-%d') as exp_t, {IDS} from rv where source = 'gamma'),
+a8t as (select {strip_sql('date_t')} as date, activity_type, try_cast(dist_t as double) as distance_km,
+               try_cast(dur_t as double) as duration_sec, try_cast(cal_t as double) as calories,
+               try_cast(avg_t as double) as avg_heart_rate, try_cast(max_t as double) as max_heart_rate, 'apple' as source,
+               try_cast(exp_t as timestamp) as export_date, {IDS}
+        from a8 where contains(lower(activity_type), 'running')),
+a8s as (select coalesce(median(duration_sec) between 10 and 200, false) as sm, coalesce(max(distance_km) > 200, false) as sd from a8t),
+a8u as (select a8t.* replace (
+          case when (select sd from a8s) then distance_km / cast(1000 as double) else distance_km end as distance_km,
+          case when (select sm from a8s) then duration_sec * 60 else duration_sec end as duration_sec) from a8t),
+runs8 as (select {ALL} from g8u union all select {ALL} from a8u)"""
+    Q["run_pipeline_exports"] = q(
+        f"select {CORE}, calories_imputed, imputation_level, duration_min, pace_min_per_km from featured",
+        e8 + PIPELINE.replace("from runs)", "from runs8)"))
     Q["parquet_round_trip"] = q("select * from runs")
     Q["csv_round_trip"] = q("select * from runs")
     xml = f""",

@@ -411,13 +411,13 @@ def _int_text(c: str) -> F.Column:
     return F.floor(F.col(c)).cast("string")
 
 
-def _garmin_raw(spark, sf) -> DataFrame:
+def _garmin_raw(spark, sf, metres_for: str | None = "gamma") -> DataFrame:
     """The run view as a delimited export would hold it: all text, European dates, h:mm:ss."""
     rv = run_view(spark, sf)
     mins = F.col("l_orderkey") % 1440
     ts = F.col("date") + F.make_dt_interval(F.lit(0), F.lit(0), mins)
     s = F.floor(F.col("duration_sec"))
-    dist = F.when(F.col("source") == "gamma", F.floor(F.col("distance_km") * 1000).cast("string")).otherwise(_int_text("distance_km"))
+    dist = F.when(F.col("source") == F.lit(metres_for), F.floor(F.col("distance_km") * 1000).cast("string")).otherwise(_int_text("distance_km"))
     return rv.select(
         F.col("activity_type"), F.date_format(ts, "dd.MM.yyyy HH:mm").alias("date"), dist.alias("distance_km"),
         F.when(F.col("calories").isNull(), F.lit("--")).otherwise(_int_text("calories")).alias("calories"),
@@ -481,11 +481,13 @@ def q_csv_round_trip(spark, sf):
     return spark.read.schema(rv.schema).option("header", True).csv(paths["csv"])
 
 
-def _write_xml_exports(spark, sf) -> str:
+def _write_xml_exports(spark, sf, where: F.Column | None = None) -> str:
     """Workouts of the run view written as XML exports, one folder per export date."""
     from stridewise.session import scratch_path
     from stridewise.sources.exports import ACTIVITY_PREFIX, DISTANCE_TYPES, ENERGY_TYPE, HEART_RATE_TYPE
     rv = run_view(spark, sf)
+    if where is not None:
+        rv = rv.where(where)
     root = scratch_path(spark, "apple")
     ln = F.col("l_linenumber")
     s = F.floor(F.col("duration_sec"))
@@ -537,3 +539,50 @@ def q_import_statistics(spark, sf):
     from stridewise.sources.exports import import_apple_workouts, import_statistics
     root = _write_xml_exports(spark, sf)
     return import_statistics(import_apple_workouts(spark, f"{root}/*/*.xml"))
+
+
+@query("imputation_summary")
+def q_imputation_summary(spark, sf):
+    d = impute.impute_grouped_calories(after_step5(spark, sf), CFG)
+    return impute.imputation_summary(d, ["source"])
+
+
+def _write_garmin_exports(spark, sf, where: F.Column | None = None, metres_for: str | None = "gamma") -> str:
+    """The run view as delimited exports: ``;``, Latin-1, vendor headers, one folder per export date.
+
+    The later export carries an extra column, so the importer meets two layouts.
+    """
+    from stridewise.session import scratch_path
+    raw = _garmin_raw(spark, sf, metres_for)
+    if where is not None:
+        raw = raw.where(where)
+    root = scratch_path(spark, "garmin")
+    vendor = {"activity_type": "Activity Type", "date": "Date", "distance_km": "Distance", "calories": "Calories",
+              "duration": "Time", "avg_heart_rate": "Avg HR", "max_heart_rate": "Max HR"}
+    out = raw.select(*[F.col(k).alias(v) for k, v in vendor.items()],
+                     F.concat(F.lit("Lauf "), F.col("source"), F.lit(" Zürich")).alias("Title"),
+                     F.col("l_orderkey").cast("string").alias("Order"), F.col("l_linenumber").cast("string").alias("Line"),
+                     "copy_no", "export_date")
+    for copy_no, day in [(0, "2025-08-22"), (1, "2025-09-19")]:
+        part = out.where(F.col("copy_no") == copy_no).drop("copy_no", "export_date")
+        if copy_no == 1:
+            part = part.withColumn("Favorite", F.lit("false"))
+        (part.repartition(4).write.mode("overwrite").option("header", True).option("sep", ";")
+         .option("encoding", "ISO-8859-1").csv(f"{root}/{day}"))
+    return root
+
+
+@query("garmin_csv_import")
+def q_garmin_csv_import(spark, sf):
+    from stridewise.sources.exports import import_garmin_activities
+    root = _write_garmin_exports(spark, sf)
+    return import_garmin_activities(spark, f"{root}/*/*.csv")
+
+
+@query("run_pipeline_exports")
+def q_run_pipeline_exports(spark, sf):
+    """The whole job from raw exports: alpha/beta rows as delimited, gamma rows as XML exports."""
+    from stridewise.plans.run import run_pipeline
+    garmin = _write_garmin_exports(spark, sf, where=F.col("source") != "gamma", metres_for=None)
+    apple = _write_xml_exports(spark, sf, where=F.col("source") == "gamma")
+    return run_pipeline(spark, f"{garmin}/*/*.csv", f"{apple}/*/*.xml").data
