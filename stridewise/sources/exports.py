@@ -81,6 +81,29 @@ def _header(spark: SparkSession, file: str, encoding: str) -> str:
         stream.close()
 
 
+DRIVER_SNIFF_MAX_FILES = 64
+
+
+def _sniff_headers(paths):
+    """First line of each file, read inside a task (pyarrow file systems: local, HDFS, S3, GCS)."""
+    from pyarrow import fs as pafs
+
+    for path in paths:
+        filesystem, inner = pafs.FileSystem.from_uri(path)
+        with filesystem.open_input_stream(inner) as fh:
+            head = fh.read(1 << 16)
+        yield path, head.split(b"\n", 1)[0].rstrip(b"\r")
+
+
+def file_headers(spark: SparkSession, files: Sequence[str], encoding: str) -> dict[str, str]:
+    """Header line per file. Few files: read on the driver; many: one Spark task per batch of files."""
+    if len(files) <= DRIVER_SNIFF_MAX_FILES:
+        return {f: _header(spark, f, encoding) for f in files}
+    slices = min(len(files) // max(DRIVER_SNIFF_MAX_FILES, 1) + 1, 10_000)
+    rdd = spark.sparkContext.parallelize(list(files), slices).mapPartitions(_sniff_headers)
+    return {path: raw.decode(encoding) for path, raw in rdd.collect()}
+
+
 def import_garmin_activities(spark: SparkSession, pattern: str, dialect: CsvDialect = GARMIN_DIALECT,
                              source: str = "garmin") -> DataFrame:
     """All delimited exports matching ``pattern``, all values as text, vendor names renamed.
@@ -93,8 +116,8 @@ def import_garmin_activities(spark: SparkSession, pattern: str, dialect: CsvDial
     if not files:
         return spark.createDataFrame([], "source string, export_date string")
     layouts: dict[str, list[str]] = defaultdict(list)
-    for f in files:
-        layouts[_header(spark, f, dialect.encoding)].append(f)
+    for f, header in file_headers(spark, files, dialect.encoding).items():
+        layouts[header].append(f)
     frames = []
     for layout_files in layouts.values():
         raw = (

@@ -84,3 +84,10 @@ def test_write_and_read_back(spark, make_runs):
 def test_read_missing_raises(spark):
     with pytest.raises(AnalysisException):
         exports.read_processed(spark, tempfile.mkdtemp(prefix="none-")).count()
+
+
+def test_header_sniffing_in_tasks(spark, monkeypatch):
+    monkeypatch.setattr(exports, "DRIVER_SNIFF_MAX_FILES", 0)
+    df = exports.import_garmin_activities(spark, GARMIN_FIXTURE_GLOB)
+    assert df.count() == 5 and "Title" in df.columns
+    assert {r.Title for r in df.select("Title").collect()} >= {"Lauf Zürich"}
