@@ -303,6 +303,27 @@ def _hms(s: F.Column) -> F.Column:
     )
 
 
+def _p2(c: F.Column) -> F.Column:
+    return F.lpad(c.cast("string"), 2, "0")
+
+
+def fmt_ntz(ts, pattern: str) -> F.Column:
+    """Format a zone-less timestamp from its fields (never through the session zone).
+
+    ``pattern`` is one of ``dd.MM.yyyy HH:mm``, ``yyyy-MM-dd HH:mm:ss``, ``yyyy-MM-dd HH:mm``, ``yyyy-MM-dd``.
+    """
+    t = F.col(ts) if isinstance(ts, str) else ts
+    y, mo, d = F.lpad(F.year(t).cast("string"), 4, "0"), _p2(F.month(t)), _p2(F.dayofmonth(t))
+    h, mi, se = _p2(F.hour(t)), _p2(F.minute(t)), _p2(F.second(t))
+    parts = {
+        "dd.MM.yyyy HH:mm": [d, ".", mo, ".", y, " ", h, ":", mi],
+        "yyyy-MM-dd HH:mm:ss": [y, "-", mo, "-", d, " ", h, ":", mi, ":", se],
+        "yyyy-MM-dd HH:mm": [y, "-", mo, "-", d, " ", h, ":", mi],
+        "yyyy-MM-dd": [y, "-", mo, "-", d],
+    }[pattern]
+    return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+
 def _by_line(*forms: F.Column) -> F.Column:
     ln = F.col("l_linenumber")
     out = F.when(ln == 1, forms[0])
@@ -333,12 +354,12 @@ def _ts_minutes(spark, sf):
 def q_eu_date_parse(spark, sf):
     ts = F.col("ts")
     text = _by_line(
-        F.date_format(ts, "dd.MM.yyyy HH:mm"), F.date_format(ts, "dd.MM.yyyy HH:mm"), F.date_format(ts, "dd.MM.yyyy HH:mm"),
+        fmt_ntz(ts, "dd.MM.yyyy HH:mm"), fmt_ntz(ts, "dd.MM.yyyy HH:mm"), fmt_ntz(ts, "dd.MM.yyyy HH:mm"),
         F.concat_ws("", F.dayofmonth(ts).cast("string"), F.lit("."), F.month(ts).cast("string"), F.lit("."),
                     F.year(ts).cast("string"), F.lit(" "), F.hour(ts).cast("string"), F.lit(":"),
                     F.lpad(F.minute(ts).cast("string"), 2, "0")),
         F.concat(F.lit("31.02."), F.year(ts).cast("string"), F.lit(" 10:00")),
-        F.date_format(ts, "yyyy-MM-dd HH:mm"),
+        fmt_ntz(ts, "yyyy-MM-dd HH:mm"),
         F.lit("garbage"),
     )
     d = _ts_minutes(spark, sf).select("l_orderkey", "l_linenumber", text.alias("date_text"))
@@ -346,7 +367,7 @@ def q_eu_date_parse(spark, sf):
 
 
 def _offset_text() -> F.Column:
-    base = F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss")
+    base = fmt_ntz(F.col("ts"), "yyyy-MM-dd HH:mm:ss")
     return _by_line(
         F.concat(base, F.lit(" +0200")), F.concat(base, F.lit(" -0500")), F.concat(base, F.lit("+05:30")),
         F.concat(base, F.lit("Z")), base, F.lit("not a date"), F.lit(None).cast("string"),
@@ -419,11 +440,11 @@ def _garmin_raw(spark, sf, metres_for: str | None = "gamma") -> DataFrame:
     s = F.floor(F.col("duration_sec"))
     dist = F.when(F.col("source") == F.lit(metres_for), F.floor(F.col("distance_km") * 1000).cast("string")).otherwise(_int_text("distance_km"))
     return rv.select(
-        F.col("activity_type"), F.date_format(ts, "dd.MM.yyyy HH:mm").alias("date"), dist.alias("distance_km"),
+        F.col("activity_type"), fmt_ntz(ts, "dd.MM.yyyy HH:mm").alias("date"), dist.alias("distance_km"),
         F.when(F.col("calories").isNull(), F.lit("--")).otherwise(_int_text("calories")).alias("calories"),
         F.when(s.isNull(), F.lit(None).cast("string")).otherwise(_hms(s)).alias("duration"),
         _int_text("avg_heart_rate").alias("avg_heart_rate"), _int_text("max_heart_rate").alias("max_heart_rate"),
-        "source", F.date_format("export_date", "yyyy-MM-dd").alias("export_date"), *IDS,
+        "source", fmt_ntz("export_date", "yyyy-MM-dd").alias("export_date"), *IDS,
     )
 
 
@@ -437,7 +458,7 @@ def q_garmin_typing(spark, sf):
 def _apple_raw(spark, sf) -> DataFrame:
     rv = run_view(spark, sf)
     secs = F.col("l_orderkey") % 86400
-    ts = F.date_format(F.col("date") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs), "yyyy-MM-dd HH:mm:ss")
+    ts = fmt_ntz(F.col("date") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs), "yyyy-MM-dd HH:mm:ss")
     s = F.floor(F.col("duration_sec"))
     dur = F.when(F.col("source") == "beta", F.concat(F.floor(s / 60).cast("string"), F.lit(".5"))).otherwise(s.cast("string"))
     dist = F.when(F.col("source") == "gamma", F.floor(F.col("distance_km") * 1000).cast("string")).otherwise(_int_text("distance_km"))
@@ -449,7 +470,7 @@ def _apple_raw(spark, sf) -> DataFrame:
         F.coalesce(_int_text("calories"), empty).alias("calories"),
         F.coalesce(_int_text("avg_heart_rate"), empty).alias("avg_heart_rate"),
         F.coalesce(_int_text("max_heart_rate"), empty).alias("max_heart_rate"),
-        "source", F.date_format("export_date", "yyyy-MM-dd").alias("export_date"), *IDS,
+        "source", fmt_ntz("export_date", "yyyy-MM-dd").alias("export_date"), *IDS,
     )
 
 
@@ -492,7 +513,7 @@ def _write_xml_exports(spark, sf, where: F.Column | None = None) -> str:
     ln = F.col("l_linenumber")
     s = F.floor(F.col("duration_sec"))
     secs = F.col("l_orderkey") % 86400
-    start = F.concat(F.date_format(F.col("date") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs), "yyyy-MM-dd HH:mm:ss"), F.lit(" +0200"))
+    start = F.concat(fmt_ntz(F.col("date") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs), "yyyy-MM-dd HH:mm:ss"), F.lit(" +0200"))
     null_s = F.lit(None).cast("string")
 
     def stat(kind, total=null_s, avg=null_s, mx=null_s):
