@@ -40,3 +40,15 @@ def top_chronological(df: DataFrame, n: int, sort_by: str = "date", tie_breakers
     """The first ``n`` rows in time order (a top-k: Spark keeps n rows per task, then merges)."""
     order = [F.col(sort_by).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tie_breakers]]
     return df.orderBy(*order).limit(n)
+
+
+def frames_difference(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Rows of ``a`` missing from ``b`` and rows of ``b`` not in ``a`` (multisets, by column name), one row.
+
+    Both directions are ``exceptAll`` (shuffle-based, distributed); equal frames give ``(0, 0)``.
+    """
+    b = b.select(*a.columns)
+    tagged = a.exceptAll(b).select(F.lit(1).alias("_m"), F.lit(0).alias("_e")).unionByName(
+        b.exceptAll(a).select(F.lit(0).alias("_m"), F.lit(1).alias("_e")))
+    return tagged.agg(F.coalesce(F.sum("_m"), F.lit(0)).cast("long").alias("missing"),
+                      F.coalesce(F.sum("_e"), F.lit(0)).cast("long").alias("extra"))

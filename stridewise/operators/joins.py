@@ -44,14 +44,19 @@ def lookup_join(
     ``max_rows``; otherwise the join is left to the planner (shuffle join,
     AQE may still switch it at run time). With ``null_safe`` null keys match
     null keys (null groups are real groups). An empty ``keys`` is a one-row
-    lookup: a left join against at most one row.
+    lookup: its values are added as literal columns.
     """
     if small_rows is None:
         small, small_rows = materialize_small(small)
     if not keys:
+        # a single row: its values become literal columns, no join at all
         if small_rows > 1:
             raise ValueError("a lookup without keys needs a table of at most one row")
-        return big.join(F.broadcast(small), F.lit(True), "left")
+        rows = small.limit(2).collect()
+        if len(rows) > 1:
+            raise ValueError("a lookup without keys needs a table of at most one row")
+        values = rows[0].asDict() if rows else {}
+        return big.withColumns({f.name: F.lit(values.get(f.name)).cast(f.dataType) for f in small.schema.fields})
     renamed = small
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"__r_{k}")

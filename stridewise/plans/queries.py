@@ -607,3 +607,14 @@ def q_run_pipeline_exports(spark, sf):
     garmin = _write_garmin_exports(spark, sf, where=F.col("source") != "gamma", metres_for=None)
     apple = _write_xml_exports(spark, sf, where=F.col("source") == "gamma")
     return run_pipeline(spark, f"{garmin}/*/*.csv", f"{apple}/*/*.xml").data
+
+
+@query("table_equality")
+def q_table_equality(spark, sf):
+    """The written result read back equals the computed one (Parquet round trip of the cleaned runs)."""
+    from stridewise.session import scratch_path
+    from stridewise.sources.exports import read_processed, write_outputs
+    data = combine.add_features(cleaned(spark, sf).data)
+    out = scratch_path(spark, "outputs")
+    write_outputs(data, out)
+    return combine.frames_difference(data, read_processed(spark, out))

@@ -30,3 +30,12 @@ def test_hot_key(spark):
     assert out.count() == 1 + 20000 // 3 - 0
     hot = out.where("k = 0").first()
     assert hot.v == 0 and hot.n == 20000 - 20000 // 3 - 1 + 1
+
+
+def test_frames_difference(make_runs):
+    from stridewise.operators.combine import frames_difference
+    a = make_runs(distance_km=[1.0, 2.0, 2.0])
+    b = make_runs(distance_km=[2.0, 3.0])
+    row = frames_difference(a, b).first()
+    assert (row.missing, row.extra) == (2, 1)
+    assert tuple(frames_difference(a, a).first()) == (0, 0)
