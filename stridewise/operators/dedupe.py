@@ -18,8 +18,9 @@ def keep_first(
 
     "First" is the smallest row by ``order_by`` and then by all remaining
     columns in table order, nulls first: deterministic whatever the file and
-    partition order. Planned as one hash aggregate with ``min_by`` whose
-    buffer is a single row, so partial aggregation collapses copies before
+    partition order. Planned as one aggregate whose buffer is a single row
+    (the minimum of the row as an ordered struct; struct buffers make it
+    sort-based), so partial aggregation collapses copies before
     the shuffle and a key holding a third of all rows costs no more memory
     than any other. ``count_col`` carries the number of copies per key.
     """
@@ -30,9 +31,9 @@ def keep_first(
     types = dict(df.dtypes)
     group_keys = sorted(keys, key=lambda k: 0 if types[k].startswith(("timestamp", "date", "bigint", "int", "double")) else 1)
     ordering = list(order_by) + [c for c in rest if c not in order_by]
-    payload = F.struct(*[F.col(c) for c in rest])
-    rank_key = F.struct(*[F.col(c) for c in ordering])
-    aggs = [F.min_by(payload, rank_key).alias("_first")]
+    # the ordering struct holds every non-key column once, so its minimum is the
+    # whole first row: one struct per buffer, each column shuffled once
+    aggs = [F.min(F.struct(*[F.col(c) for c in ordering])).alias("_first")]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
     grouped = df.groupBy(*group_keys).agg(*aggs)
