@@ -40,19 +40,45 @@ def metric_columns(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), exclud
     if {"max_heart_rate", "avg_heart_rate"} <= present:
         conflict = rules.hr_consistency(cfg).conflict
         out.append(("consistency", "hr_max_vs_avg", F.lit(1.0) - _share(F.count_if(conflict), n)))
-    if set(DUPLICATE_KEY_COLUMNS) <= present:
-        distinct = F.count_distinct(F.struct(*DUPLICATE_KEY_COLUMNS))
-        out.append(("uniqueness", "workouts", F.lit(1.0) - _share(n - distinct, n)))
     return out
 
 
 def assess_quality(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), by: Sequence[str] = (),
                    exclude: Sequence[str] = ()) -> DataFrame:
-    """Wide metrics, one row (per group of ``by``): ``total_rows`` and ``<category>.<metric>`` columns."""
+    """Wide metrics, one row (per group of ``by``): ``total_rows`` and ``<category>.<metric>`` columns.
+
+    All metrics but uniqueness come from one aggregate. Uniqueness needs the
+    number of distinct business keys: it is a separate two-step aggregate
+    (distinct keys, then a count per group), joined on the group, rather than
+    a ``count(DISTINCT ...)`` next to the other aggregates, which would run
+    every row twice through an Expand.
+    """
     by = list(by)
     metrics = metric_columns(df, cfg, exclude=list(exclude))
     aggs = [F.count(F.lit(1)).alias("total_rows")] + [col.alias(f"{cat}.{m}") for cat, m, col in metrics]
-    return (df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs))
+    main = df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
+    if not set(DUPLICATE_KEY_COLUMNS) <= set(df.columns):
+        return main
+    group_keys = by + [k for k in DUPLICATE_KEY_COLUMNS if k not in by]
+    keys = df.select(*group_keys).distinct()
+    count = F.count(F.lit(1)).alias("_distinct")
+    distinct = keys.groupBy(*by).agg(count) if by else keys.agg(count)
+    if by:
+        renamed = distinct.withColumnsRenamed({k: f"_d_{k}" for k in by}).alias("d")
+        joined = main.join(renamed, _all_null_safe(main, by), "left").drop(*[f"_d_{k}" for k in by])
+    else:
+        joined = main.withColumn("_k", F.lit(0)).join(distinct.withColumn("_k", F.lit(0)), "_k", "left").drop("_k")
+    n = F.col("total_rows")
+    uniq = F.lit(1.0) - _share(n - F.coalesce(F.col("_distinct"), F.lit(0)), n)
+    return joined.withColumn("uniqueness.workouts", uniq).drop("_distinct")
+
+
+def _all_null_safe(main: DataFrame, by: Sequence[str]) -> Column:
+    cond = None
+    for k in by:
+        e = main[k].eqNullSafe(F.col(f"d._d_{k}"))
+        cond = e if cond is None else cond & e
+    return cond
 
 
 def quality_long(wide: DataFrame, by: Sequence[str] = ()) -> DataFrame:
