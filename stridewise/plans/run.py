@@ -39,16 +39,27 @@ class PipelineResult:
     outputs: dict[str, str] = field(default_factory=dict)
 
 
-def prepare_garmin(spark: SparkSession, pattern: str, cfg: CleaningConfig) -> DataFrame | None:
+def prepare_garmin(spark: SparkSession, pattern: str, cfg: CleaningConfig, materialize: bool = True) -> DataFrame | None:
+    """Import, keep running activities, reduce to the raw core columns, type.
+
+    The filtered raw rows are written once, so the text is parsed once for the
+    emptiness check, the unit heuristic and the cleaning that follow.
+    """
     raw = import_garmin_activities(spark, pattern)
     if "activity_type" not in raw.columns and len(raw.columns) <= 2:
         return None
-    return clean_garmin_typing(reduce_to_columns(filter_running_garmin(raw), RAW_CORE_COLUMNS), cfg)
+    core = reduce_to_columns(filter_running_garmin(raw), RAW_CORE_COLUMNS)
+    if materialize:
+        core = materialize_table(core, "garmin-raw")
+    return clean_garmin_typing(core, cfg)
 
 
-def prepare_apple(spark: SparkSession, pattern: str, cfg: CleaningConfig) -> DataFrame | None:
-    raw = import_apple_workouts(spark, pattern)
-    return clean_apple_typing(filter_running_apple(raw), cfg)
+def prepare_apple(spark: SparkSession, pattern: str, cfg: CleaningConfig, materialize: bool = True) -> DataFrame | None:
+    """Import, keep running workouts, type; the XML is parsed once (see :func:`prepare_garmin`)."""
+    runs = filter_running_apple(import_apple_workouts(spark, pattern))
+    if materialize:
+        runs = materialize_table(runs, "apple-raw")
+    return clean_apple_typing(runs, cfg)
 
 
 def _nested_quality(row: dict) -> dict:
@@ -70,7 +81,8 @@ def run_pipeline(
 ) -> PipelineResult:
     """Run everything; a source without running activities is skipped, no data at all raises ``ValueError``."""
     cfg = config or CleaningConfig()
-    typed = {SOURCE_GARMIN: prepare_garmin(spark, garmin_path, cfg), SOURCE_APPLE: prepare_apple(spark, apple_path, cfg)}
+    typed = {SOURCE_GARMIN: prepare_garmin(spark, garmin_path, cfg, materialize),
+             SOURCE_APPLE: prepare_apple(spark, apple_path, cfg, materialize)}
     present = {name: df for name, df in typed.items() if df is not None and not df.isEmpty()}
     if not present:
         raise ValueError(f"no source delivered running activities: garmin_path={garmin_path!r}, apple_path={apple_path!r}")
