@@ -21,13 +21,19 @@ def materialize_small(df: DataFrame, name: str = "stats", max_rows: int = BROADC
     cannot lose it. Beyond the bound it is written as a table under the
     checkpoint root and joined by shuffle.
     """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        return df.sparkSession.createDataFrame(rows, df.schema), len(rows)
+    from pyspark import StorageLevel
+
     from stridewise.session import materialize
 
-    table = materialize(df, name)
-    return table, table.count()
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)   # the write below reuses what the fetch computed
+    try:
+        rows = held.limit(max_rows + 1).collect()
+        if len(rows) <= max_rows:
+            return df.sparkSession.createDataFrame(rows, df.schema), len(rows)
+        table = materialize(held, name)
+        return table, table.count()
+    finally:
+        held.unpersist()
 
 
 def lookup_join(
