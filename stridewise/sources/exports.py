@@ -192,10 +192,14 @@ OUTPUT_BASENAME = "combined_runs"
 
 
 def write_outputs(df: DataFrame, output_dir: str, basename: str = OUTPUT_BASENAME, csv_single_file: bool = False) -> dict[str, str]:
-    """Parquet (the typed result) and CSV (the control copy, header, text) under ``output_dir``; overwrite."""
+    """Parquet (the typed result) and CSV (the control copy, header, text) under ``output_dir``; overwrite.
+
+    The plan behind ``df`` runs once: the CSV copy is written from the Parquet files.
+    """
     paths = {"parquet": os.path.join(output_dir, f"{basename}.parquet"), "csv": os.path.join(output_dir, f"{basename}.csv")}
     df.write.mode("overwrite").parquet(paths["parquet"])
-    csv = df.coalesce(1) if csv_single_file else df
+    written = df.sparkSession.read.parquet(paths["parquet"])
+    csv = written.coalesce(1) if csv_single_file else written
     csv.write.mode("overwrite").option("header", True).csv(paths["csv"])
     return paths
 
