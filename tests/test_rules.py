@@ -55,3 +55,20 @@ def test_all_present(make_runs):
     assert _mask(df, rules.all_present(["distance_km", "duration_sec"])) == [True, False, False]
     assert df.where(~rules.all_present(["distance_km"])).count() == 1
     assert df.where(F.lit(True)).count() == 3
+
+
+def test_unit_heuristics_scope(make_runs):
+    from datetime import datetime
+
+    from stridewise.operators.typing import scale_if_max_above, scale_if_median_within
+    early, late = datetime(2025, 8, 22), datetime(2025, 9, 19)
+    df = make_runs(distance_km=[5000.0, 10000.0, 5.0, 10.0], export_date=[early, early, late, late],
+                   duration_sec=[30.0, 40.0, 1800.0, 2400.0])
+    # whole frame (the reference's behaviour): one export in metres turns every distance
+    whole = sorted(r.distance_km for r in scale_if_max_above(df, "distance_km", 200, 1000.0).collect())
+    assert whole == [0.005, 0.01, 5.0, 10.0]
+    # per export: only the export in metres is converted
+    per = sorted(r.distance_km for r in scale_if_max_above(df, "distance_km", 200, 1000.0, scope="export_date").collect())
+    assert per == [5.0, 5.0, 10.0, 10.0]
+    mins = sorted(r.duration_sec for r in scale_if_median_within(df, "duration_sec", 10, 200, 60.0, scope="export_date").collect())
+    assert mins == [1800.0, 1800.0, 2400.0, 2400.0]
