@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from . import mixing, quality
+from . import mixing, packing, quality, shards
 
 QUERIES = {
     "op2_quality_rules": quality.quality_query,
+    "op3_sharding": shards.sharding_query,
     "op6_mixing": mixing.mixing_query,
+    "op9_packing": packing.packing_query,
 }
 
+#: The others have no SQL twin: their methods are iterative; tests hold them against brute force.
 ORACLES = {
     "op2_quality_rules": quality.ORACLE,
     "op6_mixing": mixing.ORACLE,
