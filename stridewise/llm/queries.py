@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, packing, quality, shards
+from . import jaccard, mixing, packing, pii, quality, shards
 
 QUERIES = {
     "op2_quality_rules": quality.quality_query,
     "op3_sharding": shards.sharding_query,
     "op4_ngram_jaccard": jaccard.jaccard_query,
+    "op5_pii_crf": pii.pii_query,
     "op6_mixing": mixing.mixing_query,
     "op9_packing": packing.packing_query,
 }
