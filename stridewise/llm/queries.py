@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, packing, pii, quality, shards
+from . import jaccard, mixing, packing, pii, quality, rpforest, shards
 
 QUERIES = {
     "op2_quality_rules": quality.quality_query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op5_pii_crf": pii.pii_query,
     "op6_mixing": mixing.mixing_query,
     "op9_packing": packing.packing_query,
+    "op10_rp_forest": rpforest.rpforest_query,
 }
 
 #: The others have no SQL twin: their methods are iterative; tests hold them against brute force.
