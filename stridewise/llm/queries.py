@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, mixing, packing, pii, quality, rpforest, shards
+from . import jaccard, licenses, mixing, packing, pii, quality, rpforest, shards
 
 QUERIES = {
     "op2_quality_rules": quality.quality_query,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_ngram_jaccard": jaccard.jaccard_query,
     "op5_pii_crf": pii.pii_query,
     "op6_mixing": mixing.mixing_query,
+    "op7_license_index": licenses.license_query,
     "op9_packing": packing.packing_query,
     "op10_rp_forest": rpforest.rpforest_query,
 }
