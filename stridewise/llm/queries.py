@@ -2,21 +2,24 @@
 
 from __future__ import annotations
 
-from . import jaccard, licenses, mixing, packing, pii, quality, rpforest, shards
+from . import jaccard, katz, licenses, mixing, packing, pii, quality, rpforest, shards, warc
 
 QUERIES = {
+    "op1_warc": warc.warc_query,
     "op2_quality_rules": quality.quality_query,
     "op3_sharding": shards.sharding_query,
     "op4_ngram_jaccard": jaccard.jaccard_query,
     "op5_pii_crf": pii.pii_query,
     "op6_mixing": mixing.mixing_query,
     "op7_license_index": licenses.license_query,
+    "op8_katz_lm": katz.katz_query,
     "op9_packing": packing.packing_query,
     "op10_rp_forest": rpforest.rpforest_query,
 }
 
 #: The others have no SQL twin: their methods are iterative; tests hold them against brute force.
 ORACLES = {
+    "op1_warc": warc.ORACLE,
     "op2_quality_rules": quality.ORACLE,
     "op6_mixing": mixing.ORACLE,
 }
