@@ -15,7 +15,11 @@ from ..session import checkpoint_root
 WHITE_CLASS = r"[\x20\x09-\x0D]+"
 WHITE_CHARS = " \t\n\x0b\f\r"
 
-_SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings while a table is written: shuffle files go when the write is done, and Python tasks get small batches of long texts.
+_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4m",
+}
 
 
 @contextmanager
@@ -45,7 +49,7 @@ def stage(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    with session_conf(spark, **{_SHUFFLE_CLEANUP: "true"}):
+    with session_conf(spark, **_WRITING):
         df.write.option("compression", compression).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.staged_path = path
@@ -63,6 +67,17 @@ def drop_stage(*frames: DataFrame) -> None:
             target.getFileSystem(hadoop).delete(target, True)
 
 
+def worker_object(name: str, make):
+    """An object kept by a Python worker process between its tasks, so that a cache need not be filled anew."""
+    import sys
+    import types
+
+    kept = sys.modules.setdefault("_stridewise_worker", types.ModuleType("_stridewise_worker"))
+    if not hasattr(kept, name):
+        setattr(kept, name, make())
+    return getattr(kept, name)
+
+
 def word_array(text: Column) -> Column:
     """Words of a text (maximal runs without ASCII white space) as an array; null and blank texts give an empty one."""
     body = F.btrim(F.coalesce(text, F.lit("")), F.lit(WHITE_CHARS))

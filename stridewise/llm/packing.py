@@ -13,10 +13,11 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import stage, worker_object
 
 #: Tokenizer file, id put after each document, window length.
 TOKENIZER = "word_bpe_49k.json"
@@ -24,7 +25,7 @@ END_ID = 2
 WINDOW = 4096
 
 PIECES_PER_BLOCK = 20_000
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
 
@@ -36,88 +37,85 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+#: Marks that may end a word. The tokenizer parts a run of them from the letters before it.
+TAIL_MARKS = ".,!?;:&*$#%|"
+
+TEXT_BYTES_AT_ONCE = 6 << 20
+
+
 class WordEncoder:
-    """Ids of texts as little-endian 32-bit bytes, word by word.
+    """Ids of texts, one encoding a distinct word.
 
     The tokenizer drops white space and no token spans it, so the ids of a
-    text are those of its words one after another; words are encoded once
-    and kept, up to ``CACHED_WORDS``. It lower-cases, and never joins a letter
-    with a comma or a full stop, so forms of an ASCII word share one entry.
+    text are those of its words one after another. It lower-cases, and parts
+    a run of letters from the marks behind it, so the forms of a word share
+    one entry; entries are kept, up to ``CACHED_WORDS``. Words of letters only
+    are encoded together as one string, whose ids are parted at word ends.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
         vocabulary = self.tokenizer.get_vocab()
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
         self.ends_word[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts as one array, and where each text starts (with the end as last entry)."""
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        words = lists.flatten().dictionary_encode()
+        flat, starts = self._ids_of(words.dictionary)
+        which = words.indices.to_numpy(zero_copy_only=False)
+        counts = np.diff(starts)[which]
+        ends = np.cumsum(counts)
+        at = np.repeat(starts[which] - (ends - counts), counts) + np.arange(ends[-1] if len(ends) else 0)
+        before = np.concatenate([[0], ends])
+        bounds = lists.offsets.to_numpy()
+        return flat[at], before[bounds - bounds[0]]
+
+    def _ids_of(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct words, one after another, and where each starts."""
+        marks = "[" + "".join("\\" + m for m in TAIL_MARKS) + "]*$"
+        core = pc.utf8_rtrim(words, characters=TAIL_MARKS)
+        plain = pc.and_(pc.utf8_is_alpha(core), pc.invert(pc.match_substring(core, "\u0130")))
+        core = pc.if_else(plain, pc.ascii_lower(core), words)
+        tail = pc.if_else(plain, pc.struct_field(pc.extract_regex(words, f"(?P<t>{marks})"), "t"), "")
+        core, tail = core.to_pylist(), tail.to_pylist()
+        wanted = {*core, *tail}
+        missing = wanted.difference(self.known)
+        if missing and len(self.known) > CACHED_WORDS:
+            self.known = {"": b""}
+            missing = wanted.difference(self.known)
+        letters = [w for w, ok in zip(core, plain.to_pylist(), strict=True) if ok and w in missing]
+        self._learn(list(dict.fromkeys(letters)), list(missing.difference(letters)))
         known = self.known
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        words = set().union(*split)
-        new = words.difference(known)
-        if new:
-            if len(known) > CACHED_WORDS:
-                known.clear()
-                new = words
-            forms = {w: self._parts(w) for w in new}
-            self._learn([p for p in {p for parts in forms.values() for p in parts} if p not in known])
-            for word, parts in forms.items():
-                if word not in known:
-                    known[word] = b"".join([known[p] for p in parts])
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-    @staticmethod
-    def _parts(word: str) -> tuple[str, ...]:
-        if word.isascii():
-            if word.isalpha():
-                return (word.lower(),)
-            if word[-1:] in (".", ",") and word[:-1].isalpha():
-                return (word[:-1].lower(), word[-1])
-        return (word,)
-
-    def _learn(self, parts: list[str]) -> None:
-        """Encode new parts; those of letters only go together in one string, whose ids are parted at word ends."""
-        letters = [p for p in parts if p.isalpha() and p.lower().isalpha()]
-        others = set(parts).difference(letters)
+        parts = [known[c] + known[t] if t else known[c] for c, t in zip(core, tail, strict=True)]
+        starts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, parts), dtype=np.int64, count=len(parts)))]) // 4
+        return np.frombuffer(b"".join(parts), dtype="<u4"), starts
+
+    def _learn(self, letters: list[str], others: list[str]) -> None:
         if letters:
             ids = np.asarray(self.tokenizer.encode(" ".join(letters), add_special_tokens=False).ids, dtype="<u4")
             ends = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
             if len(ends) == len(letters):
-                raw, at = ids.tobytes(), 0
-                for part, end in zip(letters, ends, strict=True):
-                    self.known[part] = raw[at:end]
-                    at = end
+                raw = ids.tobytes()
+                self.known.update(zip(letters, (raw[a:b] for a, b in zip([0, *ends], ends, strict=False)), strict=True))
             else:
-                others.update(letters)
-        others = list(others)
+                others = letters + others
         for part, got in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
             self.known[part] = np.asarray(got.ids, dtype="<u4").tobytes()
 
 
-def text_groups(batch: pa.RecordBatch, chars: int = 2_000_000) -> Iterator[list[tuple]]:
-    """The (id, text) rows of a batch in groups of about ``chars`` characters, one row at least; null is empty."""
-    group, held = [], 0
-    for key, body in zip(batch.column(0), batch.column(1), strict=True):
-        body = body.as_py() or ""
-        group.append((key.as_py(), body))
-        held += len(body)
-        if held >= chars:
-            yield group
-            group, held = [], 0
-    if group:
-        yield group
-
-
-def cut(ids: bytes, window: int) -> list[tuple[int, int, int]]:
-    """``(start, length, crc32)`` of the full windows of an id sequence and of what is left over."""
-    total = len(ids) // 4
-    return [
-        (at, min(window, total - at), zlib.crc32(ids[4 * at : 4 * (at + window)])) for at in range(0, total, window)
-    ]
+def text_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``TEXT_BYTES_AT_ONCE`` bytes of one text column, a row at least."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
+    part = size // TEXT_BYTES_AT_ONCE
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        if b > a:
+            yield batch.slice(a, b - a)
 
 
 def pieces(docs: DataFrame, path: str | None = None, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
@@ -127,21 +125,22 @@ def pieces(docs: DataFrame, path: str | None = None, text: str = "text", doc_id:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = WordEncoder(path or tokenizer_path())
+        file = path or tokenizer_path()
+        encoder = worker_object(f"encoder {file}", lambda: WordEncoder(file))
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            rows = []
-            for group in text_groups(batch):
-                encoded = encoder.encode([body for _, body in group])
-                for (key, _), ids in zip(group, encoded, strict=True):
-                    ids += end
-                    total = len(ids) // 4
-                    for at, length, crc in cut(ids, window):
-                        rows.append((key, at, length, crc, total, zlib.crc32(b"%d" % at, crc)))
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in columns], names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"]
-            )
+            for part in text_slices(batch, 1):
+                rows = []
+                ids, starts = encoder.encode(pc.fill_null(part.column(1), ""))
+                for key, a, b in zip(part.column(0).to_pylist(), starts, starts[1:], strict=False):
+                    own, total = ids[a:b].tobytes() + end, int(b - a) + 1
+                    for at in range(0, total, window):
+                        crc = zlib.crc32(own[4 * at : 4 * (at + window)])
+                        rows.append((key, at, min(window, total - at), crc, total, zlib.crc32(b"%d" % at, crc)))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
+                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"],
+                )
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(run, PIECE_SCHEMA)
 
