@@ -33,7 +33,9 @@ SAMPLE = 20_000
 LEAF_SAMPLE = 2_000
 LEVELS_PER_ROUND = 4
 MOST_ROUNDS = 8
+#: Rows of a block where a group meets itself in pairs of blocks: a leaf's, and the least and most of a component's (an eighth of it between).
 BLOCK = 1_000
+LEAST_BLOCK, MOST_BLOCK = 128, 2_000
 
 
 def unit_rows(vectors) -> np.ndarray:
@@ -178,10 +180,10 @@ def leaves(classes: DataFrame, trees: int = TREES, seed: int = 7, most: int = MO
     return rows if done is None else done.unionByName(rows)
 
 
-def in_blocks(rows: DataFrame, keys: list[str], block: int) -> DataFrame:
+def in_blocks(rows: DataFrame, keys: list[str], block) -> DataFrame:
     """Rows with ``p, q`` and ``side``: a group with more than ``block`` rows meets itself as pairs of bounded blocks."""
     sizes = stage(rows.groupBy(*keys).agg(F.count("*").alias("_m")), "sizes")
-    parts = F.ceil(F.col("_m") / block).cast("int")
+    parts = F.ceil(F.col("_m") / block).cast("int")  # block: a number, or a column over _m
     dealt = (
         rows.join(sizes, keys).withColumn("_n", parts)
         .withColumn("side", F.when(F.col("_n") > 1, F.pmod(F.xxhash64("cls"), F.col("_n")).cast("int")).otherwise(0))
@@ -204,7 +206,7 @@ def leaf_links(rows: DataFrame, cosine: float, block: int = BLOCK) -> DataFrame:
     return blocks.groupBy("tree", "node", "dim", "p", "q").applyInPandas(compare, "a long, b long").distinct()
 
 
-def link_counts(rows: DataFrame, cosine: float, block: int = BLOCK) -> DataFrame:
+def link_counts(rows: DataFrame, cosine: float) -> DataFrame:
     """``(cls, others)``: over the rows ``(component, cls, dim, mult, v)``, how many vectors of other classes each links with."""
 
     def count(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
@@ -222,6 +224,7 @@ def link_counts(rows: DataFrame, cosine: float, block: int = BLOCK) -> DataFrame
             "others": np.concatenate([hit @ two["mult"].to_numpy(), hit.T @ one["mult"].to_numpy()]),
         })
 
+    block = F.least(F.lit(MOST_BLOCK), F.greatest(F.lit(LEAST_BLOCK), F.ceil(F.col("_m") / 8)))
     blocks = in_blocks(rows, ["component", "dim"], block)
     parts = blocks.groupBy("component", "dim", "p", "q").applyInPandas(count, "cls long, others long")
     return parts.groupBy("cls").agg(F.sum("others").alias("others"))
