@@ -1,0 +1,68 @@
+import re
+
+import pytest
+
+from stridewise.llm.quality import STOP_WORDS, keep_good, quality_rules
+
+COLUMNS = ["n_words", "word_chars", "n_symbols", "n_stop_words", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed"]
+
+
+def measures(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    counts = {}
+    for w in windows:
+        counts[w] = counts.get(w, 0) + 1
+    covered = {j for i, w in enumerate(windows) if counts[w] > 1 for j in (i, i + 1, i + 2)}
+    n = len(words)
+    return (
+        n, sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), sum(w in STOP_WORDS for w in words), len(lines),
+        len(lines) - len(set(lines)), len(covered), n < 50 or 100 * len(covered) > 50 * n,
+    )
+
+
+def check(docs):
+    rows = quality_rules(docs).select("text", *COLUMNS).collect()
+    for r in rows:
+        assert tuple(r)[1:] == measures(r["text"]), r["text"][:80]
+    return len(rows)
+
+
+def test_measures_equal_plain_python(documents):
+    assert check(documents) == documents.count()
+
+
+def test_edge_cases(edge_documents, no_documents):
+    assert check(edge_documents) == 11
+    out = quality_rules(edge_documents)
+    assert {"doc_id", "lang", "source", "size"} <= set(out.columns)
+    assert out.where("kept is null or base_failed is null").count() == 0
+    assert quality_rules(no_documents).count() == 0
+
+
+@pytest.mark.parametrize(
+    "text",
+    ["x y z " * 40, "a b c a b c", "p q p q p q p q", "l1 m\nl1 m\n l1 m\n\n\n", "a b c d a b c d e", "#*$ %&| <>", "\U0001f600 é é"],
+)
+def test_overlapping_repeats_and_lines(spark, text):
+    check(spark.createDataFrame([(text,)], "text string"))
+
+
+def test_labelled_good_documents_stay(spark, documents):
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    judged = quality_rules(docs).join(labels, "doc_id")
+    good = judged.where("quality = 1 and not base_failed")
+    assert good.where("not kept").count() <= 0.002 * good.count()
+    bad = judged.where("quality = 0")
+    assert bad.where("kept").count() <= 0.1 * bad.count()
+    kept = keep_good(docs)
+    assert kept.columns == docs.columns
+    assert kept.count() == quality_rules(docs).where("kept").count()
+
+
+def test_no_python_in_the_plan(documents):
+    plan = quality_rules(documents)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
