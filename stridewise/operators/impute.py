@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from stridewise.config import CleaningConfig
 from stridewise.functions import exprs
 from stridewise.operators.joins import lookup_join, materialize_small
-from stridewise.operators.quantiles import choose_method, exact_percentiles, widest_group
+from stridewise.operators.quantiles import HIST_MAX_DISTINCT, choose_method, exact_percentiles, widest_group
 
 DIST_BIN, HR_BIN = "_dist_bin", "_hr_bin"
 
@@ -67,7 +67,7 @@ def _grouping_id(level: Sequence[str], all_keys: Sequence[str]) -> int:
 
 
 def median_levels(df: DataFrame, value: str, levels: Sequence[Sequence[str]], where: Column | None = None,
-                  method: str = "auto") -> DataFrame:
+                  method: str = "auto", max_distinct: int = HIST_MAX_DISTINCT) -> DataFrame:
     """Exact medians of ``value`` for each grouping set in ``levels``, in one pass.
 
     Output: ``gid`` (Spark ``grouping_id`` over the union of the keys), the
@@ -87,17 +87,15 @@ def median_levels(df: DataFrame, value: str, levels: Sequence[Sequence[str]], wh
     base = df if where is None else df.where(where)
     v = exprs.to_double(value)
     if method == "auto":
-        method = choose_method(widest_group(base.withColumn("_v", v), all_keys, ["_v"])["_v"])
+        # the bound must hold for the coarsest grouping, whose groups have the most distinct values
+        coarsest = min(sets, key=len)
+        method = choose_method(widest_group(base.withColumn("_v", v), coarsest, ["_v"])["_v"], max_distinct)
     if method == "rank":
         # unbounded domains: one rank plan per grouping set, tagged with its grouping id
         parts = []
         for s_ in sets:
             gid = _grouping_id(s_, all_keys)
-            src = base.withColumn("_v", v)
-            keys = list(s_) or ["_all"]
-            if not s_:
-                src = src.withColumn("_all", F.lit(0))
-            m = exact_percentiles(src, keys, "_v", [0.5], out="_q", method="rank")
+            m = exact_percentiles(base.withColumn("_v", v), list(s_), "_v", [0.5], out="_q", method="rank")
             parts.append(m.select(F.lit(gid).cast("long").alias("gid"),
                                   *[F.col(k) if k in s_ else F.lit(None).cast(base.schema[k].dataType).alias(k) for k in all_keys],
                                   F.col("_q")[0].alias("median")))

@@ -123,8 +123,13 @@ def exact_percentiles(
     Returns one row per group with at least one non-null value:
     ``keys..., out (array<double>, one entry per prob), n, n_distinct``.
     Null keys form their own group. Nulls and NaN in ``value`` are ignored.
+    Without keys the whole frame is one group.
     """
     keys = list(keys)
+    if not keys:
+        # one group over the whole frame, for either plan
+        whole = exact_percentiles(df.select(F.lit(0).alias("_all"), value), ["_all"], value, probs, out, method, max_distinct, partitions)
+        return whole.drop("_all")
     pairs = _value_pairs(df, keys, value)
     if method == "auto":
         method = choose_method(widest_group(df, keys, [value])[value], max_distinct)

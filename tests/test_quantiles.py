@@ -42,3 +42,21 @@ def test_median_helper(spark):
     df = spark.createDataFrame([("x", 1.0), ("x", 2.0), ("x", 4.0), ("x", 7.0), ("y", None)], "g string, v double")
     rows = {r.g: r.median for r in exact_median(df, ["g"], "v").collect()}
     assert rows == {"x": 3.0}
+
+
+@pytest.mark.parametrize("options", [{"method": "hist"}, {"method": "rank"}, {"max_distinct": 1}])
+def test_without_keys_the_frame_is_one_group(sample, options):
+    pdf, df = sample
+    (row,) = exact_percentiles(df, [], "v", PROBS, **options).collect()
+    x = pdf.v.dropna()
+    assert np.allclose(x.quantile(PROBS).values, row.q, rtol=0, atol=1e-12) and (row.n, row.n_distinct) == (len(x), x.nunique())
+
+
+@pytest.mark.parametrize("options", [{}, {"max_distinct": 1}])
+def test_median_levels_down_to_the_whole_frame(sample, options):
+    from stridewise.operators.impute import median_levels
+
+    pdf, df = sample
+    rows = {(r.gid, r.g): r.median for r in median_levels(df, "v", [["g"], []], **options).collect()}
+    assert rows[1, None] == pdf.v.median() and rows[0, "hot"] == pdf[pdf.g == "hot"].v.median()
+    assert len(rows) == 5
