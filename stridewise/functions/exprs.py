@@ -25,8 +25,12 @@ def nan_to_null(c: str | Column) -> Column:
 
 def to_double(c: str | Column) -> Column:
     """Numeric coercion: unparsable text becomes null, and so does NaN."""
-    x = _c(c).try_cast("double")
-    return nan_to_null(x)
+    return nan_to_null(_number(_c(c)))
+
+
+def _number(x: Column) -> Column:
+    """Text as a double; the type letters that the JVM takes after digits (``12d``, ``1.5f``) make it no number."""
+    return F.when(~F.coalesce(x.cast("string").rlike(r"[0-9.]\s*[dDfF]\s*$"), F.lit(False)), x.try_cast("double"))
 
 
 def duration_to_seconds(c: str | Column) -> Column:
@@ -39,17 +43,17 @@ def duration_to_seconds(c: str | Column) -> Column:
     n = F.size(parts)
 
     def part(i: int) -> Column:
-        return parts.getItem(i).try_cast("double")
+        return _number(parts.getItem(i))
 
     secs = (
         F.when(n == 3, part(0) * 3600 + part(1) * 60 + part(2))
         .when(n == 2, part(0) * 60 + part(1))
-        .when(n == 1, s.try_cast("double"))
+        .when(n == 1, _number(s))
     )
     return nan_to_null(secs)
 
 
-_EU_DATE = r"^(\d{1,2})\.(\d{1,2})\.(\d{4}) (\d{1,2}):(\d{2})$"
+_EU_DATE = r"^(\d{1,2})\.(\d{1,2})\.(\d{4}) (\d{1,2}):(\d{1,2})$"
 
 
 def parse_eu_datetime(c: str | Column) -> Column:

@@ -7,6 +7,7 @@ from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,8 @@ class CsvDialect:
     sep: str = ";"
     encoding: str = "ISO-8859-1"
     quote: str = '"'
+    #: Quoted values may hold line breaks; such files are not split. False for huge exports that have none.
+    multi_line: bool = True
 
 
 GARMIN_DIALECT = CsvDialect()
@@ -69,39 +72,19 @@ def _expand(spark: SparkSession, pattern: str) -> list[str]:
     return sorted(str(s.getPath().toString()) for s in found if s.isFile())
 
 
-def _header(spark: SparkSession, file: str, encoding: str) -> str:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(file)
-    stream = path.getFileSystem(conf).open(path)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, encoding))
-        return reader.readLine() or ""
-    finally:
-        stream.close()
-
-
-DRIVER_SNIFF_MAX_FILES = 64
-
-
-def _sniff_headers(paths):
-    """First line of each file, read inside a task (pyarrow file systems: local, HDFS, S3, GCS)."""
-    from pyarrow import fs as pafs
-
-    for path in paths:
-        filesystem, inner = pafs.FileSystem.from_uri(path)
-        with filesystem.open_input_stream(inner) as fh:
-            head = fh.read(1 << 16)
-        yield path, head.split(b"\n", 1)[0].rstrip(b"\r")
-
-
 def file_headers(spark: SparkSession, files: Sequence[str], encoding: str) -> dict[str, str]:
-    """Header line per file. Few files: read on the driver; many: one Spark task per batch of files."""
-    if len(files) <= DRIVER_SNIFF_MAX_FILES:
-        return {f: _header(spark, f, encoding) for f in files}
-    slices = min(len(files) // max(DRIVER_SNIFF_MAX_FILES, 1) + 1, 10_000)
-    rdd = spark.sparkContext.parallelize(list(files), slices).mapPartitions(_sniff_headers)
-    return {path: raw.decode(encoding) for path, raw in rdd.collect()}
+    """First line of each file, read by Spark whatever their number, file system and line ends."""
+    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    by_uri = {str(to_path(f).toUri().toString()): f for f in files}
+    lines = (
+        spark.read.option("encoding", encoding).text(list(files))
+        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                F.monotonically_increasing_id().alias("line"), F.col("value"))
+        .where("start = 0")
+    )
+    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    found = {by_uri[r["file"]]: r["header"].rstrip("\r") for r in first.collect()}
+    return {f: found.get(f, "") for f in files}
 
 
 def import_garmin_activities(spark: SparkSession, pattern: str, dialect: CsvDialect = GARMIN_DIALECT,
@@ -122,7 +105,8 @@ def import_garmin_activities(spark: SparkSession, pattern: str, dialect: CsvDial
     for layout_files in layouts.values():
         raw = (
             spark.read.option("header", True).option("sep", dialect.sep).option("encoding", dialect.encoding)
-            .option("quote", dialect.quote).option("mode", "PERMISSIVE").csv(layout_files)
+            .option("quote", dialect.quote).option("escape", dialect.quote).option("multiLine", dialect.multi_line)
+            .option("mode", "PERMISSIVE").csv(layout_files)
         )
         raw = raw.withColumns({"source": F.lit(source), "export_date": export_folder()})
         frames.append(raw.withColumnsRenamed({k: v for k, v in GARMIN_RENAMES.items() if k in raw.columns}))
@@ -194,13 +178,17 @@ OUTPUT_BASENAME = "combined_runs"
 def write_outputs(df: DataFrame, output_dir: str, basename: str = OUTPUT_BASENAME, csv_single_file: bool = False) -> dict[str, str]:
     """Parquet (the typed result) and CSV (the control copy, header, text) under ``output_dir``; overwrite.
 
-    The plan behind ``df`` runs once: the CSV copy is written from the Parquet files.
+    Both are written from the frame held once, in its order: part files in name order hold the rows in time order.
+    (Read back, Parquet files are packed into tasks by size, which would lose it.)
     """
     paths = {"parquet": os.path.join(output_dir, f"{basename}.parquet"), "csv": os.path.join(output_dir, f"{basename}.csv")}
-    df.write.mode("overwrite").parquet(paths["parquet"])
-    written = df.sparkSession.read.parquet(paths["parquet"])
-    csv = written.coalesce(1) if csv_single_file else written
-    csv.write.mode("overwrite").option("header", True).csv(paths["csv"])
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        held.write.mode("overwrite").parquet(paths["parquet"])
+        csv = held.coalesce(1) if csv_single_file else held
+        csv.write.mode("overwrite").option("header", True).csv(paths["csv"])
+    finally:
+        held.unpersist()
     return paths
 
 

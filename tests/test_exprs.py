@@ -86,3 +86,13 @@ def test_date_imputation(spark):
 def test_changed_counts_nulls(spark):
     df = spark.createDataFrame([(100.0, 100.0), (200.0, 250.0), (None, None), (1.0, None)], "a double, b double")
     assert df.where(exprs.changed("a", "b")).count() == 3
+
+
+def test_type_letters_are_no_numbers_and_short_minutes_are_minutes(spark):
+    from stridewise.functions import exprs
+
+    df = spark.createDataFrame([("12d",), ("1.5F",), ("12",), (" 7.5 ",), ("1e3",)], "x string")
+    got = df.select(exprs.to_double("x").alias("a"), exprs.duration_to_seconds("x").alias("b")).collect()
+    assert [r.a for r in got] == [None, None, 12.0, 7.5, 1000.0] and [r.b for r in got][:3] == [None, None, 12.0]
+    date = spark.createDataFrame([("1.2.2025 7:5",), ("1.2.2025 7:",)], "x string").select(exprs.parse_eu_datetime("x").cast("string").alias("d")).collect()
+    assert [r.d for r in date] == ["2025-02-01 07:05:00", None]

@@ -86,8 +86,31 @@ def test_read_missing_raises(spark):
         exports.read_processed(spark, tempfile.mkdtemp(prefix="none-")).count()
 
 
-def test_header_sniffing_in_tasks(spark, monkeypatch):
-    monkeypatch.setattr(exports, "DRIVER_SNIFF_MAX_FILES", 0)
-    df = exports.import_garmin_activities(spark, GARMIN_FIXTURE_GLOB)
-    assert df.count() == 5 and "Title" in df.columns
-    assert {r.Title for r in df.select("Title").collect()} >= {"Lauf Zürich"}
+def test_quotes_line_breaks_and_layouts_over_many_files(spark, tmp_path):
+    """More than 64 files in two layouts; doubled quotes, separators and line breaks inside quoted titles."""
+    from stridewise.sources.exports import import_garmin_activities
+
+    for i in range(70):
+        folder = tmp_path / f"2025-01-{i:03d}"
+        folder.mkdir()
+        extra = "Favorite;" if i % 2 else ""
+        value = "false;" if i % 2 else ""
+        title = '"Lauf ""schnell"";Teil\n2 Zürich"'
+        text = f"Activity Type;{extra}Title;Date;Distance;Calories;Time;Avg HR;Max HR\nRunning;{value}{title};01.02.2025 07:05;{i},5;300;00:30:00;150;170\n"
+        (folder / "Activities.csv").write_bytes(text.encode("latin-1"))
+    rows = import_garmin_activities(spark, f"{tmp_path}/*/Activities.csv").collect()
+    assert len(rows) == 70
+    for r in rows:
+        i = int(r.export_date[-3:])
+        assert (r.Title, r.distance_km, r.duration, r.max_heart_rate) == ('Lauf "schnell";Teil\n2 Zürich', f"{i},5", "00:30:00", "170")
+        assert r.Favorite == ("false" if i % 2 else None)
+
+
+def test_csv_parts_in_name_order_are_in_time_order(spark, tmp_path):
+    from stridewise.sources.exports import write_outputs
+
+    df = spark.range(0, 5000, numPartitions=7).selectExpr("pmod(id * 7919, 5000) as date", "repeat('x', cast(id % 50 as int)) as t").orderBy("date")
+    out = write_outputs(df, str(tmp_path))
+    parts = sorted((tmp_path / "combined_runs.csv").glob("part-*.csv"))
+    dates = [int(line.split(",")[0]) for p in parts for line in p.read_text().splitlines()[1:]]
+    assert dates == list(range(5000)) and spark.read.parquet(out["parquet"]).count() == 5000
