@@ -73,5 +73,6 @@ def test_config_override(spark):
 def test_cli(spark, capsys):
     assert build_parser().parse_args([]).dry_run is False
     assert main(["--garmin", GARMIN_FIXTURE_GLOB, "--apple", APPLE_FIXTURE_GLOB, "--dry-run", "--quiet"], spark=spark) == 0
-    assert "Nothing written" in capsys.readouterr().out
+    printed = capsys.readouterr().out
+    assert "nowhere (dry run)" in printed and "Plausibility Checks" in printed
     assert main(["--garmin", "/nonexistent/*.csv", "--apple", "/nonexistent/*.xml", "--quiet"], spark=spark) == 1
