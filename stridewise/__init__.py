@@ -38,7 +38,6 @@ from stridewise.operators.typing import (
 from stridewise.plans.pipeline import (
     DEFAULT_STEPS,
     CleaningPipeline,
-    CleaningReport,
     Step,
     build_cleaning_pipeline,
     clean_runs,
@@ -60,7 +59,7 @@ __all__ = [
     "add_features", "concat_sources", "frames_difference", "keep_first", "clean_heart_rate",
     "impute_grouped_calories", "winsorise_calories", "assess_quality", "comparison_table", "quality_report",
     "exact_median", "exact_percentiles", "clean_apple_typing", "clean_garmin_typing", "filter_running_apple",
-    "filter_running_garmin", "reduce_to_columns", "DEFAULT_STEPS", "CleaningPipeline", "CleaningReport", "Step",
+    "filter_running_garmin", "reduce_to_columns", "DEFAULT_STEPS", "CleaningPipeline", "Step",
     "build_cleaning_pipeline", "clean_runs", "run_summary", "step_report", "PipelineResult", "run_pipeline",
     "import_apple_workouts", "import_garmin_activities", "read_processed", "write_outputs",
 ]

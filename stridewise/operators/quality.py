@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from stridewise.config import DUPLICATE_KEY_COLUMNS, PROVENANCE_COLUMNS, CleaningConfig
 from stridewise.functions import exprs, rules
+from stridewise.session import materialize
 
 CATEGORIES = ("completeness", "validity", "consistency", "uniqueness")
 
@@ -106,14 +107,14 @@ COMPARISON_ROWS = (
 )
 
 
-def comparison_table(summary: DataFrame, wide: DataFrame, sources: Sequence[str], by: str = "source") -> DataFrame:
-    """One row per metric, one text column per source (the order of ``sources``).
+def comparison_table(summary: DataFrame, wide: DataFrame, sources: Sequence[str] | None = None, by: str = "source") -> DataFrame:
+    """One row per metric, one text column per source (in the order of ``sources``, else by name).
 
     ``summary``: run summary per source; ``wide``: :func:`assess_quality` per
-    source. A source present in one and not the other raises.
+    source. A source that is not in both, or not in a given list, raises.
     """
     # both inputs are tiny aggregates read several times below: compute them once
-    summary, wide = summary.cache(), wide.cache()
+    summary, wide = materialize(summary, "summary"), materialize(wide, "quality")
     long_q = quality_long(wide, [by])
     means = long_q.groupBy(by).agg(
         F.avg(F.when(F.col("category") == "completeness", F.col("value"))).alias("_compl"),
@@ -123,6 +124,10 @@ def comparison_table(summary: DataFrame, wide: DataFrame, sources: Sequence[str]
     q_keys = {r[0] for r in wide.select(by).collect()}
     if s_keys != q_keys:
         raise ValueError(f"summaries and qualities must hold the same sources: {sorted(s_keys)} vs {sorted(q_keys)}")
+    if sources is None:
+        sources = sorted(s_keys, key=lambda k: (k is None, k))
+    elif set(sources) != s_keys:
+        raise ValueError(f"the list of sources must name them all: {sorted(sources)} vs {sorted(s_keys)}")
     j = summary.join(means, by, "inner")
     cells = F.array(
         F.struct(F.lit(0).alias("ord"), F.col("initial_rows").cast("string").alias("cell")),

@@ -241,6 +241,8 @@ ml as (select grouping(source, dist_bin, hr_bin) as gid, source, dist_bin, hr_bi
         STEPS_1_4 + HR_STEP + calories_step(True))
     Q["hr_sweep"] = q(f"select {IDS}, avg_heart_rate from s_cal where {V_HR}", STEPS_1_4 + HR_STEP + calories_step(True))
     Q["full_pipeline"] = q("select * from featured", PIPELINE)
+    Q["pipeline_run"] = q("select * from featured", PIPELINE.replace(calories_step(False), calories_step(True)))
+    Q["median_global"] = q("select quantile_cont(cast(duration_sec as double), 0.5) as median, count(duration_sec) as n from runs")
     Q["table_equality"] = q("select (select count(*) from (select * from featured except all select * from featured)) as missing, "
                             "(select count(*) from (select * from featured except all select * from featured)) as extra", PIPELINE)
     Q["step_report"] = q("select * from report", PIPELINE + REPORT)

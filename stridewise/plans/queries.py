@@ -16,13 +16,13 @@ from stridewise.config import CORE_COLUMNS, NUMERIC_COLUMNS, CleaningConfig
 from stridewise.functions import exprs, rules
 from stridewise.operators import combine, describe as desc, heart_rate, impute, quality
 from stridewise.operators.dedupe import keep_first
+from stridewise.operators.quantiles import exact_median
 from stridewise.plans import pipeline as pl
 from stridewise.session import materialize as write_table
 from stridewise.sources.tables import run_view, running_view
 
 CFG = CleaningConfig()
 IDS = ["l_orderkey", "l_linenumber", "copy_no"]
-SOURCES = ["alpha", "beta", "gamma"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -209,6 +209,18 @@ def q_hr_sweep(spark, sf):
 
 # --- pipeline, report, quality ---------------------------------------------
 
+@query("pipeline_run")
+def q_pipeline_run(spark, sf):
+    """All sources through one pipeline object: statistics per source, the last imputation level over the whole frame."""
+    return combine.add_features(pl.build_cleaning_pipeline("all", CFG).run(running_view(spark, sf))[0])
+
+
+@query("median_global")
+def q_median_global(spark, sf):
+    """Median over the whole frame by the plan for unbounded domains."""
+    return exact_median(running_view(spark, sf), [], "duration_sec", out="median", method="rank").select("median", "n")
+
+
 @query("full_pipeline")
 def q_full_pipeline(spark, sf):
     return combine.add_features(cleaned(spark, sf).data)
@@ -251,7 +263,7 @@ def q_quality_report(spark, sf):
 @query("comparison_table")
 def q_comparison_table(spark, sf):
     res, wide = _clean_quality(spark, sf)
-    return quality.comparison_table(pl.run_summary(res.report), wide, SOURCES)
+    return quality.comparison_table(pl.run_summary(res.report), wide)
 
 
 @query("value_counts")
@@ -272,8 +284,7 @@ def q_describe(spark, sf):
 @query("chronological_top")
 def q_chronological_top(spark, sf):
     data = write_table(combine.add_features(cleaned(spark, sf).data), "cleaned")
-    frames = [data.where(F.col("source") == s) for s in SOURCES]
-    return combine.concat_sources(frames, "date", tie_breakers=IDS).limit(50)
+    return combine.top_chronological(data, 50, tie_breakers=["source", *IDS])
 
 
 @query("union_sources")
