@@ -67,6 +67,26 @@ def drop_stage(*frames: DataFrame) -> None:
             target.getFileSystem(hadoop).delete(target, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Python tasks get long texts a few megabytes at a time from now on (for results that are not written here)."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "4m")
+
+
+def trim_memory() -> None:
+    """Give memory that a Python worker has freed back to the system, as the worker lives on idle."""
+    import ctypes
+    import gc
+
+    import pyarrow
+
+    gc.collect()
+    pyarrow.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def worker_object(name: str, make):
     """An object kept by a Python worker process between its tasks, so that a cache need not be filled anew."""
     import sys

@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_stage, session_conf, stage
+from .common import drop_stage, session_conf, stage, trim_memory
 
 #: Which documents are held out, and up to which count Good-Turing discounts.
 FOLDS, HELD_FOLD = 7, 2
@@ -39,12 +39,19 @@ HOT_SHARE = 4
 START_WORD, END_WORD = b" ", b"\n"
 
 
-def squeeze(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+def squeeze(values: np.ndarray, rising: bool = False) -> bytes:
+    """Compressed bytes of an array, like bytes of the items together; ``rising`` stores differences instead."""
+    if rising:
+        values = np.diff(values, prepend=values.dtype.type(0))
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
-def unsqueeze(blob: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=kind)
+def unsqueeze(blob: bytes, kind: str, rising: bool = False) -> np.ndarray:
+    item = np.dtype(kind).itemsize
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), dtype=np.uint8)
+    values = np.ascontiguousarray(planes.reshape(item, -1).T).view(kind).reshape(-1)
+    return np.cumsum(values, dtype=values.dtype) if rising else values
 
 
 def word_hash(word: bytes) -> int:
@@ -75,6 +82,7 @@ def text_blocks(docs: DataFrame) -> DataFrame:
                 if b > a:
                     yield _block_row(batch.slice(a, b - a), (TaskContext.get().partitionId() << 32) + made)
                     made += 1
+        trim_memory()
 
     return docs.mapInArrow(run, "block long, doc_ids array<long>, held array<boolean>, lengths binary, words binary, codes binary, tokens long")
 
@@ -98,7 +106,7 @@ def _block_row(part: pa.RecordBatch, block: int) -> pa.RecordBatch:
         [
             pa.array([block], pa.int64()), pa.array([part.column(0).to_pylist()], pa.list_(pa.int64())),
             pa.array([part.column(1).to_pylist()], pa.list_(pa.bool_())),
-            pa.array([squeeze((counts + 2).astype(np.int32))], pa.binary()), pa.array([squeeze(hashes)], pa.binary()),
+            pa.array([squeeze((counts + 2).astype(np.int32))], pa.binary()), pa.array([squeeze(hashes, rising=True)], pa.binary()),
             pa.array([squeeze(codes)], pa.binary()), pa.array([int(len(codes))], pa.int64()),
         ],
         names=["block", "doc_ids", "held", "lengths", "words", "codes", "tokens"],
@@ -119,7 +127,7 @@ def send_words(blocks: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                words, codes = unsqueeze(row["words"], "u8"), unsqueeze(row["codes"], "i4")
+                words, codes = unsqueeze(row["words"], "u8", rising=True), unsqueeze(row["codes"], "i4")
                 trained = _trained(unsqueeze(row["lengths"], "i4"), row["held"])
                 counts = np.bincount(codes[trained], minlength=len(words)).astype(np.int32)
                 cuts = np.searchsorted(words, [np.uint64(((1 << 64) * i) // buckets) for i in range(1, buckets)]).tolist() if buckets > 1 else []
@@ -127,7 +135,7 @@ def send_words(blocks: DataFrame, buckets: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([i for i, _, _ in parts], pa.int64()), pa.array([row["block"]] * len(parts), pa.int64()),
-                        pa.array([squeeze(words[a:b]) for _, a, b in parts], pa.binary()), pa.array([squeeze(counts[a:b]) for _, a, b in parts], pa.binary()),
+                        pa.array([squeeze(words[a:b], rising=True) for _, a, b in parts], pa.binary()), pa.array([squeeze(counts[a:b]) for _, a, b in parts], pa.binary()),
                     ],
                     names=["bucket", "block", "words", "counts"],
                 )
@@ -137,18 +145,18 @@ def send_words(blocks: DataFrame, buckets: int) -> DataFrame:
 
 def count_words(rows: pd.DataFrame) -> pd.DataFrame:
     """A bucket's table of words with their counts (block null), and to each block the ids and counts of its words."""
-    parts = [unsqueeze(w, "u8") for w in rows["words"]]
+    parts = [unsqueeze(w, "u8", rising=True) for w in rows["words"]]
     words, place = np.unique(np.concatenate(parts), return_inverse=True)
     sent = np.concatenate([unsqueeze(c, "i4") for c in rows["counts"]])
     total = np.bincount(place, weights=sent, minlength=len(words)).astype(np.int64)
     bucket, at = int(rows["bucket"].iloc[0]), 0
     marks = np.isin(words, np.asarray([word_hash(START_WORD)], dtype=np.uint64))
     real = total[~marks]
-    out = [(bucket, None, squeeze(words), squeeze(total), int(real.sum()), int((real > 0).sum()), _count_of_counts(real))]
+    out = [(bucket, None, squeeze(words, rising=True), squeeze(total), int(real.sum()), int((real > 0).sum()), _count_of_counts(real))]
     for block, own in zip(rows["block"], parts, strict=True):
         mine = place[at : at + len(own)]
         at += len(own)
-        out.append((bucket, int(block), squeeze(mine.astype(np.int32)), squeeze(total[mine]), 0, 0, [0] * (DISCOUNTED + 1)))
+        out.append((bucket, int(block), squeeze(mine.astype(np.int32), rising=True), squeeze(total[mine]), 0, 0, [0] * (DISCOUNTED + 1)))
     frame = pd.DataFrame(out, columns=["bucket", "block", "ids", "counts", "tokens", "kinds", "low"])
     frame["block"] = frame["block"].astype("Int64")
     return frame
@@ -226,7 +234,7 @@ class BlockPairs:
     def of(row: dict) -> BlockPairs:
         lengths = unsqueeze(row["lengths"], "i4")
         parts = sorted(row["answers"], key=lambda a: a["bucket"])
-        ids = np.concatenate([unsqueeze(p["ids"], "i4").astype(np.int64) + (p["bucket"] << 32) for p in parts])
+        ids = np.concatenate([unsqueeze(p["ids"], "i4", rising=True).astype(np.int64) + (p["bucket"] << 32) for p in parts])
         counts = np.concatenate([unsqueeze(p["counts"], "i8") for p in parts])
         return BlockPairs(unsqueeze(row["codes"], "i4"), lengths, _trained(lengths, row["held"]), ids, counts)
 
@@ -272,7 +280,7 @@ def send_pairs(blocks: DataFrame, buckets: int, hot: int) -> DataFrame:
                     runs = _cuts(a[lo:hi])
                     heads = np.asarray([r[0] for r in runs])
                     rows.append((
-                        value, row["block"], squeeze(block.ids[heads]), squeeze(block.counts[heads]),
+                        value, row["block"], squeeze(block.ids[heads], rising=True), squeeze(block.counts[heads]),
                         squeeze(np.asarray([r[2] - r[1] for r in runs], dtype=np.int32)),
                         squeeze(block.ids[b[lo:hi]]), squeeze(block.counts[b[lo:hi]]), squeeze(trained[lo:hi]),
                     ))
@@ -295,7 +303,7 @@ PAIR_SCHEMA = (
 
 def count_pairs(rows: pd.DataFrame) -> pd.DataFrame:
     """A bucket's bigram table, and which of its rows each block asked for."""
-    heads = [unsqueeze(x, "i8") for x in rows["heads"]]
+    heads = [unsqueeze(x, "i8", rising=True) for x in rows["heads"]]
     runs = [unsqueeze(x, "i4") for x in rows["runs"]]
     firsts, first_at = np.unique(np.concatenate(heads), return_inverse=True)
     head_counts = np.zeros(len(firsts), dtype=np.int64)
@@ -310,12 +318,12 @@ def count_pairs(rows: pd.DataFrame) -> pd.DataFrame:
     asked, p, h = [], 0, 0
     for block, head, run in zip(rows["block"], heads, runs, strict=True):
         n = int(run.sum())
-        asked.append({"block": int(block), "pairs": squeeze(place[p : p + n].astype(np.int32)), "heads": squeeze(first_at[h : h + len(head)].astype(np.int32))})
+        asked.append({"block": int(block), "pairs": squeeze(place[p : p + n].astype(np.int32), rising=True), "heads": squeeze(first_at[h : h + len(head)].astype(np.int32), rising=True)})
         p, h = p + n, h + len(head)
     second = keys % len(seconds)
     return pd.DataFrame({
-        "bucket": [int(rows["bucket"].iloc[0])], "heads": [squeeze(firsts)], "head_counts": [squeeze(head_counts)],
-        "head_of": [squeeze((keys // len(seconds)).astype(np.int32))], "seconds": [squeeze(seconds[second])],
+        "bucket": [int(rows["bucket"].iloc[0])], "heads": [squeeze(firsts, rising=True)], "head_counts": [squeeze(head_counts)],
+        "head_of": [squeeze((keys // len(seconds)).astype(np.int32), rising=True)], "seconds": [squeeze(seconds[second])],
         "second_counts": [squeeze(second_counts[second])], "counts": [squeeze(total)], "low": [_count_of_counts(total)], "asked": [asked],
     })
 
@@ -332,16 +340,16 @@ def answer_pairs(table: DataFrame, words: WordModel, discounts: Discounts, hot:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                heads, whole = unsqueeze(row["heads"], "i8"), unsqueeze(row["head_counts"], "i8")
-                head_of, counts = unsqueeze(row["head_of"], "i4"), unsqueeze(row["counts"], "i8")
+                heads, whole = unsqueeze(row["heads"], "i8", rising=True), unsqueeze(row["head_counts"], "i8")
+                head_of, counts = unsqueeze(row["head_of"], "i4", rising=True), unsqueeze(row["counts"], "i8")
                 word = np.where(counts > 0, words.probability(unsqueeze(row["second_counts"], "i8")), 0.0)
                 left = np.bincount(head_of, weights=counts - discounts.shares(counts), minlength=len(heads))
                 seen = np.bincount(head_of, weights=word, minlength=len(heads))
                 weight = backoff(left, whole, seen)
                 out = []
                 for ask in row["asked"]:
-                    at = unsqueeze(ask["heads"], "i4")
-                    out.append((row["bucket"], ask["block"], squeeze(counts[unsqueeze(ask["pairs"], "i4")]), squeeze(weight[at]), squeeze(left[at] > 0), None, None, None, None))
+                    at = unsqueeze(ask["heads"], "i4", rising=True)
+                    out.append((row["bucket"], ask["block"], squeeze(counts[unsqueeze(ask["pairs"], "i4", rising=True)]), squeeze(weight[at]), squeeze(left[at] > 0), None, None, None, None))
                 for i in np.flatnonzero(whole > hot):
                     out.append((row["bucket"], None, None, None, None, int(heads[i]), int(whole[i]), float(left[i]), float(seen[i])))
                 kinds = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
@@ -431,18 +439,18 @@ def katz_scores(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", fol
         blocks2 = stage(
             _answered(blocks.drop("words", "tokens"), word_rows.where("block is not null").select("block", "bucket", "ids", "counts"), "answers"), "lm-blocks"
         )
-        drop_stage(blocks)
+        drop_stage(blocks, word_rows)
         table = stage(send_pairs(blocks2.select("block", "held", "lengths", "codes", "answers"), buckets, hot).groupBy("bucket").applyInPandas(count_pairs, PAIR_SCHEMA), "lm-pairs")
         pair_low = table.agg(*[F.coalesce(F.sum(F.get("low", F.lit(i))), F.lit(0)).alias(f"n{i}") for i in range(DISCOUNTED + 1)]).first()
         discounts = Discounts.of([pair_low[f"n{i}"] for i in range(DISCOUNTED + 1)])
         replies = stage(answer_pairs(table, words, discounts, hot), "lm-replies")
+        drop_stage(table)
         # first words above the hot count: fewer than HOT_SHARE * buckets
         sums = replies.where("head is not null").groupBy("head").agg(F.max("whole").alias("whole"), F.sum("head_left").alias("l"), F.sum("head_seen").alias("s")).collect()
         hot_words = {r["head"]: (float(backoff(np.asarray(r["l"]), np.asarray(r["whole"]), np.asarray(r["s"]))), r["l"] > 0) for r in sums}
-        joined = stage(_answered(blocks2, replies.where("block is not null").select("block", "bucket", "counts", "weights", "discounted"), "pair_answers"), "lm-joined")
-        drop_stage(blocks2, replies, word_rows, table)
+        joined = _answered(blocks2, replies.where("block is not null").select("block", "bucket", "counts", "weights", "discounted"), "pair_answers")
         scored = stage(score_blocks(joined, words, discounts, buckets, hot, hot_words), "lm-scores")
-        drop_stage(joined)
+        drop_stage(blocks2, replies)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(words.tokens).cast("long").alias("train_tokens"), "base_score", "score")
 
 
