@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -18,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import small_batches
+
 #: The kinds in order of output, and the patterns of the base spans (see :func:`base_spans`).
 KINDS = ("email", "ip", "card", "phone")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -164,14 +165,12 @@ def base_spans(text: str) -> list[Span]:
 # ---------------------------------------------------------------- features
 
 
-@lru_cache(maxsize=50_000)
 def word_shape(word: str) -> str:
     """Digits to d, letters to a or A, runs of four or more shortened; marks stay."""
     kinds = "".join("d" if "0" <= c <= "9" else "A" if c.isupper() else "a" if c.isalpha() else c for c in word[:64])
     return re.sub(r"(.)\1{3,}", lambda m: m[1] * 4, kinds)
 
 
-@lru_cache(maxsize=50_000)
 def word_marks(word: str) -> tuple[str, ...]:
     """Shape, length classes and tell-tale marks of one word."""
     n = sum("0" <= c <= "9" for c in word)
@@ -192,7 +191,18 @@ def _place(feature: str) -> int:
     return zlib.crc32(feature.encode()) & ((1 << FEATURE_BITS) - 1)
 
 
-@lru_cache(maxsize=100_000)
+class Features(dict):
+    """Hashed features by (word before, word, word after), '' at the ends; the latest are kept."""
+
+    MOST = 50_000
+
+    def __missing__(self, key: tuple[str, str, str]) -> tuple[int, ...]:
+        if len(self) >= self.MOST:
+            self.clear()
+        value = self[key] = word_features(*key)
+        return value
+
+
 def word_features(before: str, word: str, after: str) -> tuple[int, ...]:
     """Hashed features of a word between its neighbours ('' at the ends)."""
     names = [*word_marks(word), "bias"]
@@ -211,7 +221,7 @@ def may_be_personal(word: str) -> bool:
     return "@" in word or any("0" <= c <= "9" for c in word)
 
 
-def runs_of(text: str) -> list[tuple[list[tuple[int, int]], list[tuple[int, ...]]]]:
+def runs_of(text: str, known: Features) -> list[tuple[list[tuple[int, int]], list[tuple[int, ...]]]]:
     """Maximal runs of words with a digit or ``@``: their places and their features. White space never joins texts' lines apart."""
     words = [(m.start(), m.end()) for m in _WORD.finditer(text)]
     special = [may_be_personal(text[a:b]) for a, b in words]
@@ -224,7 +234,7 @@ def runs_of(text: str) -> list[tuple[list[tuple[int, int]], list[tuple[int, ...]
         while j < len(words) and special[j]:
             j += 1
         get = lambda x: text[words[x][0] : words[x][1]] if 0 <= x < len(words) else ""
-        out.append((words[i:j], [word_features(get(x - 1), get(x), get(x + 1)) for x in range(i, j)]))
+        out.append((words[i:j], [known[get(x - 1), get(x), get(x + 1)] for x in range(i, j)]))
         i = j
     return out
 
@@ -262,7 +272,7 @@ def _lse(x: np.ndarray, axis: int) -> np.ndarray:
 
 def labelled_runs(rows) -> list[tuple[list[tuple[int, ...]], list[int]]]:
     """Features and labels of the runs of marked-up texts."""
-    out = []
+    out, known = [], Features()
     for row in rows:
         text, spans, at = "", [], 0
         for m in _MARKED.finditer(row):
@@ -271,7 +281,7 @@ def labelled_runs(rows) -> list[tuple[list[tuple[int, ...]], list[int]]]:
             text += m[2]
             at = m.end()
         text += row[at:]
-        for places, features in runs_of(text):
+        for places, features in runs_of(text, known):
             labels = []
             for a, b in places:
                 hit = next((s for s in spans if s[1] < b and a < s[2]), None)
@@ -379,10 +389,11 @@ def _plausible(kind: str, value: str) -> bool:
     return 13 <= n <= 19 if kind == "card" else 7 <= n <= 15
 
 
-def find_spans(texts: list[str], field: Field) -> tuple[list[list[Span]], list[list[Span]]]:
+def find_spans(texts: list[str], field: Field, known: Features | None = None) -> tuple[list[list[Span]], list[list[Span]]]:
     """Base spans and all spans (base, and the field's that touch none of them) of each text."""
+    known = Features() if known is None else known
     base = [base_spans(t) if t else [] for t in texts]
-    runs = [(i, places, features) for i, t in enumerate(texts) if t for places, features in runs_of(t)]
+    runs = [(i, places, features) for i, t in enumerate(texts) if t for places, features in runs_of(t, known)]
     every = [list(b) for b in base]
     for (i, places, _), labels in zip(runs, viterbi(field, [r[2] for r in runs]), strict=True):
         for kind, a, b in chain_spans(texts[i], places, labels):
@@ -433,17 +444,18 @@ def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", f
     one; an empty table gives an empty table; other columns are not used.
     """
     field = field or train()
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from hashlib import sha256
 
-        none = sha256(b"").hexdigest()
+        none, known = sha256(b"").hexdigest(), Features()
         for batch in batches:
             n = batch.num_rows
             counts = {k: np.zeros(n, dtype=np.int64) for k in KINDS}
             digests, spans = [none] * n, [""] * n
             for rows, texts in _suspects(batch.column(1)):
-                for i, base, every in zip(rows, *find_spans(texts, field), strict=True):
+                for i, base, every in zip(rows, *find_spans(texts, field, known), strict=True):
                     for kind, _, _ in base:
                         counts[kind][i] += 1
                     digests[i] = sha256(span_text(base).encode()).hexdigest()
@@ -460,14 +472,16 @@ def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", f
 def redact_documents(docs: DataFrame, text: str = "text", field: Field | None = None) -> DataFrame:
     """``docs`` with the personal data in ``text`` replaced; ``n_chars``, where there, follows the new text."""
     field = field or train()
+    small_batches(docs.sparkSession)
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Features()
         for batch in batches:
             column = batch.column(place)
             new: dict[int, str] = {}
             for rows, texts in _suspects(column):
-                for i, t, every in zip(rows, texts, find_spans(texts, field)[1], strict=True):
+                for i, t, every in zip(rows, texts, find_spans(texts, field, known)[1], strict=True):
                     if every:
                         new[i] = redact(t, every)
             if new:
