@@ -22,7 +22,7 @@ from stridewise.operators.typing import (
 )
 from stridewise.plans import pipeline as pl
 from stridewise.session import materialize as materialize_table
-from stridewise.sources.exports import import_apple_workouts, import_garmin_activities, write_outputs
+from stridewise.sources.exports import POSITION, import_apple_workouts, import_garmin_activities, write_outputs
 
 # Pipeline source names as in the reference's reports.
 SOURCE_GARMIN = "Garmin"
@@ -45,21 +45,21 @@ def prepare_garmin(spark: SparkSession, pattern: str, cfg: CleaningConfig, mater
     The filtered raw rows are written once, so the text is parsed once for the
     emptiness check, the unit heuristic and the cleaning that follow.
     """
-    raw = import_garmin_activities(spark, pattern)
+    raw = import_garmin_activities(spark, pattern, position=True)
     if "activity_type" not in raw.columns and len(raw.columns) <= 2:
         return None
-    core = reduce_to_columns(filter_running_garmin(raw), RAW_CORE_COLUMNS)
+    core = reduce_to_columns(filter_running_garmin(raw), [*RAW_CORE_COLUMNS, POSITION])
     if materialize:
         core = materialize_table(core, "garmin-raw")
-    return clean_garmin_typing(core, cfg)
+    return clean_garmin_typing(core, cfg, extra=[POSITION])
 
 
 def prepare_apple(spark: SparkSession, pattern: str, cfg: CleaningConfig, materialize: bool = True) -> DataFrame | None:
     """Import, keep running workouts, type; the XML is parsed once (see :func:`prepare_garmin`)."""
-    runs = filter_running_apple(import_apple_workouts(spark, pattern))
+    runs = filter_running_apple(import_apple_workouts(spark, pattern, position=True))
     if materialize:
         runs = materialize_table(runs, "apple-raw")
-    return clean_apple_typing(runs, cfg)
+    return clean_apple_typing(runs, cfg, extra=[POSITION])
 
 
 def _nested_quality(row: dict) -> dict:
@@ -95,7 +95,8 @@ def run_pipeline(
     report_rows = [r.asDict() for r in res.report.orderBy(PIPELINE_SOURCE, "step_no").collect()]
     pl.check_critical(report_rows, PIPELINE_SOURCE)
     reports = {name: [r for r in report_rows if r[PIPELINE_SOURCE] == name] for name in order}
-    data = materialize_table(res.data, "cleaned") if materialize else res.data
+    data = res.data.drop(POSITION)
+    data = materialize_table(data, "cleaned") if materialize else data
     summaries = {}
     for name, steps in reports.items():
         initial, final = steps[0]["rows_before"], steps[-1]["rows_after"]

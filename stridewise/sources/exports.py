@@ -87,13 +87,24 @@ def file_headers(spark: SparkSession, files: Sequence[str], encoding: str) -> di
     return {f: found.get(f, "") for f in files}
 
 
+#: Where a row was read: file, block in the file, row in the block. Rows of one export compare by it in file order.
+POSITION = "_position"
+POSITION_TYPE = "struct<file: string, start: bigint, row: bigint>"
+
+
+def _position() -> F.Column:
+    return F.struct(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")
+    )
+
+
 def import_garmin_activities(spark: SparkSession, pattern: str, dialect: CsvDialect = GARMIN_DIALECT,
-                             source: str = "garmin") -> DataFrame:
+                             source: str = "garmin", position: bool = False) -> DataFrame:
     """All delimited exports matching ``pattern``, all values as text, vendor names renamed.
 
     Files are grouped by header line: one read per layout (parallel over files
     and splits), layouts unioned by name. ``source`` and ``export_date`` (the
-    parent folder) are added. No file: an empty frame.
+    parent folder) are added, and with ``position`` the row's place (:data:`POSITION`). No file: an empty frame.
     """
     files = _expand(spark, pattern)
     if not files:
@@ -108,7 +119,7 @@ def import_garmin_activities(spark: SparkSession, pattern: str, dialect: CsvDial
             .option("quote", dialect.quote).option("escape", dialect.quote).option("multiLine", dialect.multi_line)
             .option("mode", "PERMISSIVE").csv(layout_files)
         )
-        raw = raw.withColumns({"source": F.lit(source), "export_date": export_folder()})
+        raw = raw.withColumns({"source": F.lit(source), "export_date": export_folder(), **({POSITION: _position()} if position else {})})
         frames.append(raw.withColumnsRenamed({k: v for k, v in GARMIN_RENAMES.items() if k in raw.columns}))
     out = frames[0]
     for f in frames[1:]:
@@ -141,7 +152,7 @@ def workouts_from_xml_frame(raw: DataFrame, export_date: F.Column, source: str =
 
 
 def import_apple_workouts(spark: SparkSession, pattern: str, source: str = "apple",
-                          schema: T.StructType = WORKOUT_SCHEMA, extra: Sequence[str] = ()) -> DataFrame:
+                          schema: T.StructType = WORKOUT_SCHEMA, extra: Sequence[str] = (), position: bool = False) -> DataFrame:
     """One row per ``<Workout>`` of all XML exports matching ``pattern``.
 
     The XML source parses each file in one task (``multiLine`` default), so
@@ -150,14 +161,15 @@ def import_apple_workouts(spark: SparkSession, pattern: str, source: str = "appl
     """
     try:
         raw = spark.read.format("xml").option("rowTag", "Workout").schema(schema).load(pattern)
-        raw = raw.select("*", F.col("_metadata.file_path").alias("_file"))
+        raw = raw.select("*", F.col("_metadata.file_path").alias("_file"), *([_position().alias(POSITION)] if position else []))
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
             return spark.createDataFrame([], "source string, export_date string, activity_type string, date string, "
                                              "duration string, distance string, calories string, "
-                                             "avg_heart_rate string, max_heart_rate string")
+                                             "avg_heart_rate string, max_heart_rate string"
+                                             + (f", {POSITION} {POSITION_TYPE}" if position else ""))
         raise
-    return workouts_from_xml_frame(raw, export_folder("_file"), source, extra)
+    return workouts_from_xml_frame(raw, export_folder("_file"), source, [*extra, *([POSITION] if position else [])])
 
 
 def import_statistics(df: DataFrame, distance: str = "distance", duration: str = "duration", file_col: str | None = None) -> DataFrame:

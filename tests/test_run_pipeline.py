@@ -76,3 +76,18 @@ def test_cli(spark, capsys):
     printed = capsys.readouterr().out
     assert "nowhere (dry run)" in printed and "Plausibility Checks" in printed
     assert main(["--garmin", "/nonexistent/*.csv", "--apple", "/nonexistent/*.xml", "--quiet"], spark=spark) == 1
+
+
+def test_of_copies_the_first_in_the_files_stays(spark, tmp_path):
+    """Copies differ in calories: the measured one that stands first wins over a missing one, whatever the values."""
+    head = "Activity Type;Date;Distance;Calories;Time;Avg HR;Max HR\n"
+    rows = [("01.02.2025 07:05", "6.0", "300"), ("01.02.2025 07:05", "6.0", ""), ("03.02.2025 07:05", "7.0", ""), ("03.02.2025 07:05", "7.0", "350"),
+            ("05.02.2025 07:05", "8.0", "480"), ("05.02.2025 07:05", "8.0", "440")]
+    folder = tmp_path / "2025-03-01"
+    folder.mkdir()
+    text = head + "".join(f"Running;{d};{km};{kcal};00:40:00;150;170\n" for d, km, kcal in rows)
+    (folder / "Activities.csv").write_text(text, encoding="latin-1")
+    data = run_pipeline(spark, f"{tmp_path}/*/Activities.csv", "/nonexistent/*/Export.xml").data
+    got = {r.distance_km: (r.calories, r.calories_imputed) for r in data.collect()}
+    assert got[6.0] == (300.0, False) and got[8.0] == (480.0, False) and got[7.0][1] is True
+    assert "_position" not in data.columns
