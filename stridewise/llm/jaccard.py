@@ -25,10 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import connected_components, drop_stage, stage
-from .shingles import WordHashes, mix64, set_key, shingle_set
+from .common import connected_components, drop_stage, stage, trim_memory
+from .shingles import WordHashes, least_difference, mix64, parity, set_key, shingle_set
 
-SKETCH_BITS = 21
+SKETCH_BITS = 23
 SKETCH_CHUNKS = 64
 PAIR_GROUPS = 32
 
@@ -36,10 +36,17 @@ PAIR_GROUPS = 32
 MOST_PAIRED = 64
 BLOCK = 256
 
+#: The largest bitmap of hashes that is broadcast: 2**MOST_BITS bits.
+MOST_BITS = 27
+
+
+PROFILE = ["doc_id", "text_hash", "n", "cls", "parity", "chunk", "counts"]
+
 
 def _flush(sketch: np.ndarray, held: list[np.ndarray], mask: np.uint64) -> None:
     if held:
-        sketch += np.bincount((np.concatenate(held) & mask).astype(np.int64), minlength=len(sketch)).astype(np.int64)
+        cells, counts = np.unique(np.concatenate(held) & mask, return_counts=True)
+        sketch[cells.astype(np.int64)] += counts.astype(np.int32)
         held.clear()
 
 
@@ -48,37 +55,44 @@ def profile(docs: DataFrame, k: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen = WordHashes(), set()
-        sketch, held, n_held = np.zeros(1 << SKETCH_BITS, dtype=np.int64), [], 0
+        sketch, held, n_held = np.zeros(1 << SKETCH_BITS, dtype=np.int32), [], 0
         mask = np.uint64((1 << SKETCH_BITS) - 1)
         for batch in batches:
-            sizes, keys = [], []
+            sizes, keys, odd = [], [], []
             for text in batch.column(2):
                 s = shingle_set(text.as_py(), k, hashes)
                 key = set_key(s) if len(s) else None
+                odd.append(parity(s) if len(s) else None)
                 sizes.append(len(s))
                 keys.append(key)
                 if key is not None and key not in seen:
                     seen.add(key)
                     held.append(s)
                     n_held += len(s)
-                    if n_held > 1_000_000:
+                    if n_held > 500_000:
                         _flush(sketch, held, mask)
                         n_held = 0
             none = pa.nulls(len(sizes), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), none, pa.nulls(len(sizes), pa.binary())],
-                names=["doc_id", "text_hash", "n", "cls", "chunk", "counts"],
+                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(odd, pa.binary()), none,
+                 pa.nulls(len(sizes), pa.binary())],
+                names=PROFILE,
             )
         _flush(sketch, held, mask)
-        parts = np.split(sketch.astype("<u4"), SKETCH_CHUNKS)
-        rows = [(i, zlib.compress(p.tobytes(), 1)) for i, p in enumerate(parts) if p.any()]
+        rows = []
+        for i, part in enumerate(np.split(sketch, SKETCH_CHUNKS)):
+            cells = np.flatnonzero(part)
+            if len(cells):
+                rows.append((i, zlib.compress(np.concatenate([np.diff(cells, prepend=0), part[cells]]).astype("<u4").tobytes(), 1)))
         empty = pa.nulls(len(rows), pa.int64())
         yield pa.RecordBatch.from_arrays(
-            [empty, empty, empty, empty, pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())],
-            names=["doc_id", "text_hash", "n", "cls", "chunk", "counts"],
+            [empty, empty, empty, empty, pa.nulls(len(rows), pa.binary()), pa.array([r[0] for r in rows], pa.int32()),
+             pa.array([r[1] for r in rows], pa.binary())],
+            names=PROFILE,
         )
+        trim_memory()
 
-    return docs.mapInArrow(run, "doc_id long, text_hash long, n long, cls long, chunk int, counts binary")
+    return docs.mapInArrow(run, "doc_id long, text_hash long, n long, cls long, parity binary, chunk int, counts binary")
 
 
 def frequency_levels(profiled: DataFrame) -> np.ndarray:
@@ -87,7 +101,8 @@ def frequency_levels(profiled: DataFrame) -> np.ndarray:
     def add(rows: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros((1 << SKETCH_BITS) // SKETCH_CHUNKS, dtype=np.int64)
         for blob in rows["counts"]:
-            total += np.frombuffer(zlib.decompress(blob), dtype="<u4")
+            steps, counts = np.frombuffer(zlib.decompress(blob), dtype="<u4").reshape(2, -1)
+            total[np.cumsum(steps, dtype=np.int64)] += counts
         return pd.DataFrame({"chunk": rows["chunk"].iloc[:1], "counts": [zlib.compress(total.astype("<i8").tobytes(), 1)]})
 
     chunks = profiled.where("chunk is not null").select("chunk", "counts").groupBy("chunk").applyInPandas(add, "chunk int, counts binary")
@@ -96,7 +111,7 @@ def frequency_levels(profiled: DataFrame) -> np.ndarray:
     for row in chunks.collect():  # SKETCH_CHUNKS rows at most
         counts[row["chunk"] * width : (row["chunk"] + 1) * width] = np.frombuffer(zlib.decompress(row["counts"]), dtype="<i8")
     mean = counts.mean()
-    over = counts - (mean + 8 * np.sqrt(mean) + 8)
+    over = counts - (mean + 4 * np.sqrt(mean) + 4)
     return np.where(over > 0, 1 + np.log2(np.maximum(over, 1)).astype(np.uint8), 0).astype(np.uint8)
 
 
@@ -151,6 +166,7 @@ def index(docs: DataFrame, levels, k: int, percent: int) -> DataFrame:
                     sigs, keys, sizes, held = [], [], [], 0
             if sigs:
                 yield _posting_batch(sigs, keys, sizes)
+        trim_memory()
 
     return docs.select("text").mapInArrow(run, "sig long, cls long, n long")
 
@@ -162,16 +178,46 @@ def _posting_batch(sigs, keys, sizes) -> pa.RecordBatch:
     )
 
 
+def hash_bitmap(hashes: DataFrame, column: str) -> np.ndarray:
+    """Bits of a power-of-two table set at the hashes; 16 bits a hash, between 2**20 and 2**``MOST_BITS`` in all."""
+    n = hashes.count()
+    bits = min(MOST_BITS, max(20, (16 * n).bit_length()))
+    width = 1 << (bits - 6)
+
+    def mark(rows: pd.DataFrame) -> pd.DataFrame:
+        cells = np.zeros(width, dtype=bool)
+        cells[rows["at"].to_numpy()] = True
+        return pd.DataFrame({"part": rows["part"].iloc[:1], "cells": [np.packbits(cells, bitorder="little").tobytes()]})
+
+    cell = F.col(column).bitwiseAND(F.lit((1 << bits) - 1))
+    placed = hashes.select(F.shiftright(cell, bits - 6).alias("part"), cell.bitwiseAND(F.lit(width - 1)).alias("at")).distinct()
+    table = np.zeros((64, width // 8), dtype=np.uint8)
+    for row in placed.groupBy("part").applyInPandas(mark, "part long, cells binary").collect():  # 64 rows, 2**MOST_BITS bits at most
+        table[row["part"]] = np.frombuffer(row["cells"], dtype=np.uint8)
+    return table.reshape(-1)
+
+
+def marked(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes may be in the table; all that are, and a few others."""
+    cell = hashes.astype(np.int64) & np.int64(8 * len(table) - 1)
+    return (table[cell >> 3] >> (cell & 7).astype(np.uint8) & 1).astype(bool)
+
+
 def class_sets(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
-    """``(cls, tokens)`` of the wanted classes, from the text of one document of each."""
+    """``(cls, tokens)`` of the classes in ``reps (cls, text_hash)``, from the texts with these hashes.
+
+    A bitmap of the hashes picks the texts where they are read, so that texts are not shuffled; only sets are.
+    """
+    bitmap = docs.sparkSession.sparkContext.broadcast(hash_bitmap(reps, "text_hash"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, seen, table = WordHashes(), set(), bitmap.value
         for batch in batches:
             keys, sets = [], []
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                s = shingle_set(text.as_py(), k, hashes)
-                if len(s) and set_key(s) == key:
+            for i in np.flatnonzero(marked(table, batch.column(0).to_numpy())).tolist():
+                s = shingle_set(batch.column(1)[i].as_py(), k, hashes)
+                if len(s) and (key := set_key(s)) not in seen:
+                    seen.add(key)
                     keys.append(key)
                     sets.append(s.view(np.int64))
             offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
@@ -179,11 +225,26 @@ def class_sets(docs: DataFrame, reps: DataFrame, k: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values))], names=["cls", "tokens"]
             )
+        trim_memory()
+
+    found = docs.select("text_hash", "text").mapInArrow(run, "cls long, tokens array<long>")
+    return found.join(reps.select("cls"), "cls", "left_semi").dropDuplicates(["cls"])
 
-    texts = docs.alias("d").join(
-        reps.alias("r"), F.col("d.doc_id").eqNullSafe(F.col("r.doc_id")) & (F.col("d.text_hash") == F.col("r.text_hash"))
-    ).select("r.cls", "d.text")
-    return texts.mapInArrow(run, "cls long, tokens array<long>").dropDuplicates(["cls"])
+
+def not_too_different(pairs: DataFrame, parities: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` whose parities allow the threshold: at similarity t two sets differ in (1-t)/(1+t) of their sizes at most."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [
+                (100 + percent) * least_difference(x, y) <= (100 - percent) * (m + n)
+                for x, y, m, n in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True)
+            ]
+            yield batch.select([0, 1]).filter(pa.array(near, pa.bool_()))
+
+    one = parities.select(F.col("cls").alias("a"), F.col("parity").alias("x"), F.col("n").alias("m"))
+    two = parities.select(F.col("cls").alias("b"), F.col("parity").alias("y"), F.col("n"))
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y", "m", "n").mapInArrow(run, "a long, b long")
 
 
 def verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -217,46 +278,50 @@ def similar_classes(docs: DataFrame, profiled: DataFrame, levels, k: int, percen
     posted = (
         index(docs, levels, k, percent)
         .withColumn("prev", F.lag("cls").over(order)).withColumn("prev_n", F.lag("n").over(order))
-        .withColumn("lo", F.min("cls").over(whole)).withColumn("hi", F.max("cls").over(whole))
+        .withColumn("lo", F.min("cls").over(whole)).withColumn("hi", F.max("cls").over(whole)).withColumn("m", F.count("*").over(whole))
         .where("lo <> hi and (prev is null or prev <> cls)")
     )
-    shared = stage(posted.select("sig", "cls", "n", "prev", "prev_n"), "postings")
+    shared = stage(posted.select("sig", "cls", "n", "m", "prev", "prev_n"), "postings")
     chain = stage(
         shared.where("prev is not null").where(_near_in_size("prev_n", "n", percent))
         .select(F.least("cls", "prev").alias("a"), F.greatest("cls", "prev").alias("b")).distinct(),
         "chain",
     )
-    members = profiled.where("cls is not null").select("cls", "doc_id", "text_hash")
+    members = profiled.where("cls is not null").select("cls", "text_hash", "n", "parity")
 
-    def sets_of(classes: DataFrame) -> DataFrame:
-        wanted = stage(classes.distinct(), "wanted")
-        reps = members.join(wanted, "cls", "left_semi").groupBy("cls").agg(F.min(F.struct("doc_id", "text_hash")).alias("r"))
-        return stage(class_sets(docs, stage(reps.select("cls", "r.*"), "reps"), k), "sets")
+    def both(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
 
-    sets = sets_of(chain.select(F.explode(F.array("a", "b")).alias("cls")))
-    edges = stage(verify(chain, sets, percent), "links")
+    def sets_of(classes: DataFrame) -> DataFrame:
+        chosen = members.join(stage(classes, "wanted"), "cls", "left_semi").groupBy("cls").agg(F.min("text_hash").alias("text_hash"))
+        return stage(class_sets(docs, stage(chosen, "reps"), k), "sets")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        wanted = members.join(stage(both(pairs), "wanted"), "cls", "left_semi")
+        parities = stage(wanted.groupBy("cls").agg(F.min("parity").alias("parity"), F.min("n").alias("n")), "parities")
+        near = stage(not_too_different(pairs, parities, percent), "near")
+        sets = sets_of(both(near))
+        out = stage(verify(near, sets, percent), "links")
+        drop_stage(sets, parities)
+        return out
+
+    edges = linked(chain)
     labels = connected_components(edges)
-    named = shared.select("sig", "cls", "n").distinct().join(
+    named = shared.select("sig", "cls", "n", "m").join(
         labels.select(F.col("node").alias("cls"), F.col("component").alias("c")), "cls", "left"
-    ).select("sig", "cls", "n", F.coalesce("c", "cls").alias("c"))
+    ).select("sig", "cls", "n", "m", F.coalesce("c", "cls").alias("c"))
     named = stage(named, "named")
-    open_sigs = (
-        named.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("m"))
-        .where("lo <> hi").select("sig", (F.col("m") > MOST_PAIRED).alias("large"))
-    )
-    left = stage(named.join(stage(open_sigs, "open-sigs"), "sig"), "open")
-    small, large = left.where("not large"), left.where("large").drop("large")
-    x, y = small.alias("x"), small.alias("y")
-    rest = (
-        x.join(y, F.col("x.sig") == F.col("y.sig"))
-        .where("x.c <> y.c and x.cls < y.cls")
-        .where(f"100 * least(x.n, y.n) >= {percent} * greatest(x.n, y.n)")
-        .select(F.col("x.cls").alias("a"), F.col("y.cls").alias("b")).distinct()
-        .join(chain, ["a", "b"], "left_anti")
-    )
+    # at most MOST_PAIRED classes in a list
+    lists = named.where(f"m <= {MOST_PAIRED}").groupBy("sig").agg(F.collect_list(F.struct("cls", "n", "c")).alias("l"))
+    apart = lambda x, y: (x["cls"] < y["cls"]) & (x["c"] != y["c"]) & (100 * F.least(x["n"], y["n"]) >= percent * F.greatest(x["n"], y["n"]))
+    mates = F.transform("l", lambda x: F.transform(F.filter("l", lambda y: apart(x, y)), lambda y: F.struct(x["cls"].alias("a"), y["cls"].alias("b"))))
+    rest = lists.where(F.size("l") > 1).select(F.explode(F.flatten(mates)).alias("p")).select("p.*").distinct().join(chain, ["a", "b"], "left_anti")
     rest = stage(rest, "rest")
-    drop_stage(sets, named, shared)
-    edges = edges.unionByName(stage(verify(rest, sets_of(rest.select(F.explode(F.array("a", "b")).alias("cls"))), percent), "links"))
+    many = named.where(f"m > {MOST_PAIRED}").select("sig", "cls", "n", "c").distinct()
+    open_sigs = many.groupBy("sig").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("sig")
+    large = stage(many.join(open_sigs, "sig"), "open")
+    drop_stage(named, shared)
+    edges = edges.unionByName(linked(rest))
     if large.take(1):
         in_large = large.select("cls").distinct()
         edges = edges.unionByName(stage(block_links(large, sets_of(in_large), percent), "links"))
@@ -372,15 +437,23 @@ def one_per_group(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", k
     gone = answer.where("doc_id <> component_id").select("doc_id", "text_hash").distinct()
     again = answer.where("doc_id = component_id").groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
 
-    def without(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
-        ids = ids.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-        return rows.join(ids, (F.col(doc_id) == F.col("_id")) & (_text_hash(text) == F.col("_hash")), how)
-
+    # a bitmap settles most rows where they are read; the few that it marks are looked up
     gone, again = stage(gone, "gone"), stage(again, "again")
-    kept = without(docs, gone, "left_anti")
-    if not again.take(1):
-        return kept
-    return without(kept, again, "left_anti").unionByName(without(kept, again, "left_semi").dropDuplicates([doc_id, text]))
+    table = docs.sparkSession.sparkContext.broadcast(hash_bitmap(gone.unionByName(again), "text_hash"))
+
+    @F.pandas_udf("boolean")
+    def suspect(hashes: pd.Series) -> pd.Series:
+        return pd.Series(marked(table.value, hashes.to_numpy()))
+
+    rows = docs.withColumn("_hash", _text_hash(text)).withColumn("_suspect", suspect("_hash"))
+
+    def listed(frame: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+        return frame.join(ids.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_h")), (F.col(doc_id) == F.col("_id")) & (F.col("_hash") == F.col("_h")), how)
+
+    looked_up = listed(rows.where("_suspect"), gone, "left_anti")
+    kept = rows.where("not _suspect").unionByName(listed(looked_up, again, "left_anti"))
+    kept = kept.unionByName(listed(looked_up, again, "left_semi").dropDuplicates([doc_id, "_hash"]))
+    return kept.select(*docs.columns)
 
 
 def jaccard_query(spark, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words (bytes), kept for the frequent ones."""
 
-    MOST = 500_000
+    MOST = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.MOST:
@@ -54,3 +54,20 @@ def shingle_set(text: str | None, k: int, hashes: WordHashes) -> np.ndarray:
 def set_key(shingles: np.ndarray) -> int:
     """One signed 64-bit value for equal sets."""
     return int(np.int64(np.uint64(xxhash.xxh3_64_intdigest(shingles.tobytes()))))
+
+
+def parity(shingles: np.ndarray) -> bytes:
+    """For each cell of a power-of-two table of about the set's size whether it holds an odd number of hashes."""
+    cells = 8 << max(0, (len(shingles) - 1).bit_length() - 3)
+    odd = np.bincount((shingles & np.uint64(cells - 1)).astype(np.int64), minlength=cells) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A lower bound of the size of the symmetric difference of two sets, from their parities."""
+    x, y = np.frombuffer(a, dtype=np.uint8), np.frombuffer(b, dtype=np.uint8)
+    if len(x) < len(y):
+        x, y = y, x
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    return int.from_bytes((x ^ y).tobytes(), "little").bit_count()
