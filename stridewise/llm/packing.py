@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage, worker_object
+from .common import stage, trim_memory, worker_object
 
 #: Tokenizer file, id put after each document, window length.
 TOKENIZER = "word_bpe_49k.json"
@@ -25,7 +25,7 @@ END_ID = 2
 WINDOW = 4096
 
 PIECES_PER_BLOCK = 20_000
-CACHED_WORDS = 600_000
+CACHED_WORDS = 250_000
 
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, salt long"
 
@@ -141,6 +141,7 @@ def pieces(docs: DataFrame, path: str | None = None, text: str = "text", doc_id:
                     [pa.array(c, pa.int64()) for c in zip(*rows, strict=True)],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "salt"],
                 )
+        trim_memory()
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text).cast("string")).mapInArrow(run, PIECE_SCHEMA)
 
