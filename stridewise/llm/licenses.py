@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower
+from .common import ascii_lower, computed_once
 
 #: What parts words after lower-casing A-Z, and the base phrases with their labels.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -201,12 +201,13 @@ def license_scan(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> Da
 
     out = out.withColumn("_judged", F.filter(F.transform("_places", judged), lambda x: x["found"] & (x["share"] >= LEAST_MATCH)))
     both = F.concat("_base", F.coalesce(F.transform("_judged", lambda x: x["label"]), F.array().cast("array<string>")))
-    return (
+    answered = (
         out.withColumn("base_labels", F.array_join(F.sort_array("_base"), ","))
         .withColumn("labels", F.array_join(F.sort_array(F.array_distinct(both)), ","))
         .withColumn("score", F.coalesce(F.array_max(F.transform("_judged", lambda x: x["share"])), F.lit(0.0)))
         .drop("_w", "_starts", "_all", "_base", "_own", "_look", "_hits", "_places", "_judged")
     )
+    return computed_once(answered, ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
 
 
 def plain_scan(text: str | None, idf: dict[str, float], templates=TEMPLATES) -> tuple:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import word_array
+from .common import computed_once, word_array
 
 #: The symbols counted as ``n_symbols``.
 SYMBOL_CLASS = "[#*$%&|<>]"
@@ -21,6 +21,9 @@ STOP_WORDS = (
 )
 
 
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_stop_words", "n_lines", "n_dup_lines", "n_repeat_words")
+
+
 @dataclass(frozen=True)
 class Rule:
     """``least <= metric <= most``; an open side is None. ``metric`` is a SQL expression over the base columns."""
@@ -125,15 +128,15 @@ def quality_rules(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] =
     verdict = ~F.col("base_failed")
     for name, ok in flags:
         verdict = verdict & F.col(f"ok_{name}")
-    return measured.withColumns({f"ok_{name}": ok for name, ok in flags}).withColumn("kept", verdict)
+    judged = measured.withColumns({f"ok_{name}": ok for name, ok in flags}).withColumn("kept", verdict)
+    return computed_once(judged, [*MEASURES, "base_failed", *[f"ok_{name}" for name, _ in flags], "kept"])
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules: tuple[Rule, ...] = DEFAULT_RULES) -> DataFrame:
     """The documents that pass, with the columns of ``docs``."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     judged = quality_rules(docs.select(row.alias("_row"), F.col(text).alias("_text")), "_text", rules)
-    # the row number, always true here, keeps the optimizer from copying all measures into the filter, over and over
-    return judged.withColumn("_n", F.monotonically_increasing_id()).where("kept and _n >= 0").select("_row.*")
+    return judged.where("kept").select("_row.*")
 
 
 QUERY_COLUMNS = (
