@@ -239,12 +239,11 @@ class WarcReader(DataSourceReader):
         out, held = [], 0
         for path, size in files:
             if not out or held + size > self.most:
-                out.append(WarcPartition(None))
-                out[-1].files = []
+                out.append(WarcPartition([]))
                 held = 0
             out[-1].files.append(path)
             held += size
-        return out or [WarcPartition(None)]
+        return out or [WarcPartition([])]
 
     def _wanted(self, values: dict) -> bool:
         tests = {k.__name__: t for k, t in _TESTS.items()}
