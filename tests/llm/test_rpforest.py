@@ -10,7 +10,10 @@ def brute(rows, cosine=0.95):
     for _, v in rows:
         ok = v is not None and len(v) and all(x is not None and np.isfinite(x) for x in v) and any(v)
         x = np.asarray(v, dtype=float) if ok else None
-        unit.append(x / np.sqrt((x * x).sum()) if ok else None)
+        if ok:
+            x = x / np.abs(x).max()
+            x = x / np.sqrt((x * x).sum())
+        unit.append(x if ok else None)
     link = np.eye(n, dtype=bool)
     for i in range(n):
         for j in range(i):
