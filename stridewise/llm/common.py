@@ -108,11 +108,12 @@ def computed_once(df: DataFrame, names: list[str]) -> DataFrame:
     """``df`` with the columns ``names`` behind a wall for the optimizer.
 
     A filter on a column built up over several projections would have the
-    whole expression copied into it, each level over. The condition, always true,
-    but not for the optimizer, keeps filters above the projection that holds the columns.
+    whole expression copied into it, each level over. The place in the array, always
+    0, but not for the optimizer, keeps filters above the projection that holds the columns.
     """
     others = [c for c in df.columns if c not in names]
-    packed = df.select(*[F.col(f"`{c}`") for c in others], F.when(F.rand(0) >= 0, F.struct(*names)).alias("_once"))
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(1)).cast("int")
+    packed = df.select(*[F.col(f"`{c}`") for c in others], F.get(F.array(F.struct(*names)), place).alias("_once"))
     return packed.select(*[F.col(f"`{c}`") for c in others], *[F.col(f"_once.{n}").alias(n) for n in names])
 
 
