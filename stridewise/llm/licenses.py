@@ -1,10 +1,12 @@
 """Licence scans with a positional index of rare words.
 
 Each template is indexed by its words that are rarest in the corpus, with
-their positions. A document looks up its highest-IDF licence words; postings
-that agree on the relative position give places, at which the template's words
-are compared one by one and its mandatory phrases are checked. All of it is one
-projection over the scan, besides the word statistics.
+their positions. A document looks up every index word it holds, for the
+templates whose mandatory phrases it holds; postings that agree on the relative
+position give places, at which the template's words are compared one by one and
+its mandatory phrases are checked. The index words are enough for every place
+that matches. All of it is one projection over the scan, besides the word
+statistics.
 """
 
 from __future__ import annotations
@@ -12,6 +14,8 @@ from __future__ import annotations
 import math
 import re
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -83,9 +87,8 @@ TEMPLATES = (
     Template("unlicense", "this is free and unencumbered software released into the public domain", ("unencumbered software", "public domain")),
 )
 
-#: Words a template is indexed by, words a document looks up, postings that must agree, share of words that must match.
+#: Words a template is indexed by at least, postings that must agree, share of words that must match.
 INDEX_WORDS = 8
-LOOKUPS = 12
 AGREEING = 2
 LEAST_MATCH = 0.75
 
@@ -106,11 +109,15 @@ def word_statistics(worded: DataFrame, words: str, templates=TEMPLATES) -> dict[
 
 
 def positional_index(idf: dict[str, float], templates=TEMPLATES, most: int = INDEX_WORDS) -> dict[str, list[tuple[int, int]]]:
-    """Word -> (template, position) for each template's ``most`` rarest words."""
+    """Word -> (template, position) for each template's ``most`` rarest words.
+
+    A long template gets more: as many as may be missing from a match, and ``AGREEING`` besides.
+    """
     index: dict[str, list[tuple[int, int]]] = {}
     for t, template in enumerate(templates):
         words = template.text.split()
-        rare = sorted(set(words), key=lambda w: (-idf[w], w))[:most]
+        missing = len(words) - math.ceil(LEAST_MATCH * len(words))
+        rare = sorted(set(words), key=lambda w: (-idf[w], w))[: max(most, missing + AGREEING)]
         for q, w in enumerate(words):
             if w in rare:
                 index.setdefault(w, []).append((t, q))
@@ -145,7 +152,6 @@ def license_scan(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> Da
     worded = docs.withColumn("_w", license_words(text))
     idf = word_statistics(worded.select("_w"), "_w", templates)
     index = positional_index(idf, templates)
-    by_idf = F.create_map(*[x for w in index for x in (F.lit(w), F.lit(-idf[w]))])
     postings = F.create_map(*[
         x for w, places in index.items()
         for x in (F.lit(w), F.array(*[F.struct(F.lit(t).alias("t"), F.lit(q).alias("q")) for t, q in places]))
@@ -172,21 +178,25 @@ def license_scan(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> Da
             ),
         )
     )
-    out = out.withColumn("_own", F.array_intersect("_w", _strings(sorted(index))))
-    out = out.withColumn(
-        "_look",
-        F.when(
-            F.size("_own") >= AGREEING,
-            F.transform(
-                F.slice(F.sort_array(F.transform("_own", lambda x: F.struct(F.element_at(by_idf, x).alias("s"), x.alias("w")))), 1, LOOKUPS), lambda x: x["w"]
-            ),
-        ),
+    # a place holds its template's phrases, so the text does: the other templates need no lookups
+    joined = F.concat(F.lit(" "), F.array_join("_w", " "), F.lit(" "))
+    out = out.withColumn("_text", joined).withColumn(
+        "_can",
+        F.array_compact(F.array(*[
+            F.when(reduce(and_, [F.contains("_text", F.lit(f" {p} ")) for p in t.phrases], F.lit(True)), F.lit(i)) for i, t in enumerate(templates)
+        ])),
     )
-    at = F.filter(F.transform("_w", lambda x, i: F.when(F.array_contains("_look", x), F.struct(x.alias("x"), i.alias("i")))), lambda e: e.isNotNull())
+    at = F.filter(F.transform("_w", lambda x, i: F.when(x.isin(*index), F.struct(x.alias("x"), i.alias("i")))), lambda e: e.isNotNull())
     hits = F.flatten(
-        F.transform(at, lambda e: F.transform(F.element_at(postings, e["x"]), lambda p: F.struct(p["t"].alias("t"), (e["i"] - p["q"]).alias("o"))))
+        F.transform(
+            at,
+            lambda e: F.transform(
+                F.filter(F.element_at(postings, e["x"]), lambda p: F.array_contains("_can", p["t"])),
+                lambda p: F.struct(p["t"].alias("t"), (e["i"] - p["q"]).alias("o")),
+            ),
+        )
     )
-    out = out.withColumn("_hits", F.when(F.col("_look").isNotNull(), F.sort_array(hits)))
+    out = out.withColumn("_hits", F.when(F.size("_can") > 0, F.sort_array(hits)))
     out = out.withColumn(
         "_places",
         F.filter("_hits", lambda x, i: (F.get("_hits", i + (AGREEING - 1)) == x) & ~F.get("_hits", i - 1).eqNullSafe(x)),
@@ -205,7 +215,7 @@ def license_scan(docs: DataFrame, text: str = "text", templates=TEMPLATES) -> Da
         out.withColumn("base_labels", F.array_join(F.sort_array("_base"), ","))
         .withColumn("labels", F.array_join(F.sort_array(F.array_distinct(both)), ","))
         .withColumn("score", F.coalesce(F.array_max(F.transform("_judged", lambda x: x["share"])), F.lit(0.0)))
-        .drop("_w", "_starts", "_all", "_base", "_own", "_look", "_hits", "_places", "_judged")
+        .drop("_w", "_starts", "_all", "_base", "_text", "_can", "_hits", "_places", "_judged")
     )
     return computed_once(answered, ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"])
 
@@ -221,21 +231,18 @@ def plain_scan(text: str | None, idf: dict[str, float], templates=TEMPLATES) ->
         if got:
             base.add(label)
     index = positional_index(idf, templates)
-    look = sorted({w for w in words if w in index}, key=lambda w: (-idf[w], w))
     labels, score = set(base), 0.0
-    if len(look) >= AGREEING:
-        agree: dict[tuple[int, int], int] = {}
-        for i, w in enumerate(words):
-            if w in look[:LOOKUPS]:
-                for t, q in index[w]:
-                    agree[t, i - q] = agree.get((t, i - q), 0) + 1
-        for (t, o), n in agree.items():
-            own = templates[t].text.split()
-            share = sum(0 <= o + j < len(words) and words[o + j] == y for j, y in enumerate(own)) / len(own)
-            span = " " + " ".join(words[max(o, 0) : max(o, 0) + len(own)]) + " "
-            if n >= AGREEING and share >= LEAST_MATCH and all(f" {p} " in span for p in templates[t].phrases):
-                labels.add(templates[t].label)
-                score = max(score, share)
+    agree: dict[tuple[int, int], int] = {}
+    for i, w in enumerate(words):
+        for t, q in index.get(w, ()):
+            agree[t, i - q] = agree.get((t, i - q), 0) + 1
+    for (t, o), n in agree.items():
+        own = templates[t].text.split()
+        share = sum(0 <= o + j < len(words) and words[o + j] == y for j, y in enumerate(own)) / len(own)
+        span = " " + " ".join(words[max(o, 0) : max(o, 0) + len(own)]) + " "
+        if n >= AGREEING and share >= LEAST_MATCH and all(f" {p} " in span for p in templates[t].phrases):
+            labels.add(templates[t].label)
+            score = max(score, share)
     return (len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(labels)), score)
 
 

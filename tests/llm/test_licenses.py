@@ -1,6 +1,9 @@
+import random
+import re
+
 import pytest
 
-from stridewise.llm.licenses import TEMPLATES, license_scan, license_words, plain_scan, word_statistics
+from stridewise.llm.licenses import BASE_PHRASES, LEAST_MATCH, TEMPLATES, license_scan, license_words, plain_scan, word_statistics
 
 COLUMNS = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
 
@@ -44,3 +47,38 @@ def test_base_places(spark):
 
 def test_no_python_in_the_plan(documents):
     assert "Python" not in license_scan(documents)._jdf.queryExecution().executedPlan().toString()
+
+
+def full_scan(text):
+    """(labels, score) with every template compared at every word, without an index."""
+    words = re.findall(r"[a-z0-9]+", text.lower())
+    spaced = f" {' '.join(words)} "
+    labels, score = {label for phrase, label in BASE_PHRASES if f" {phrase} " in spaced}, 0.0
+    for t in TEMPLATES:
+        own = t.text.split()
+        for o in range(-len(own) + 1, len(words)):
+            share = sum(0 <= o + j < len(words) and words[o + j] == y for j, y in enumerate(own)) / len(own)
+            span = f" {' '.join(words[max(o, 0) : max(o, 0) + len(own)])} "
+            if share >= LEAST_MATCH and all(f" {p} " in span for p in t.phrases):
+                labels.add(t.label)
+                score = max(score, share)
+    return ",".join(sorted(labels)), score
+
+
+def test_bundles_and_long_prose_lose_no_label(spark, documents):
+    rng = random.Random(5)
+    vocabulary = sorted({w for t in TEMPLATES for w in t.text.split()})
+    notices = [t.text for t in TEMPLATES]
+    texts = [" . ".join(notices)] + [f"{a} . {b}" for i, a in enumerate(notices) for b in notices[i + 1 :: 3]]
+    for notice in notices:  # inside prose that uses many licence words, as it stands and with words replaced
+        prose = " ".join(rng.choice(vocabulary) for _ in range(300))
+        worn = " ".join("zz" if rng.random() < 0.12 else w for w in notice.split())
+        texts.append(f"{prose} . {notice} . {prose} . {worn}")
+    mit = notices[2].split()
+    missing = set(sorted({*mit} - {"free", "of", "charge", "without", "restriction", "the", "software", "to"})[: len(mit) // 4])
+    texts.append(" ".join("zz" if w in missing else w for w in mit))
+    table = documents.select("text").limit(30).union(spark.createDataFrame([(x,) for x in texts], "text string"))
+    rows, _ = check(table)
+    for x in texts:
+        assert (rows[x]["labels"], rows[x]["score"]) == full_scan(x), x[:80]
+    assert len(rows[texts[0]]["labels"].split(",")) == 15
