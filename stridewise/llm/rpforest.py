@@ -4,13 +4,17 @@ Every tree splits by random directions at the median; vectors close to a
 split go to both sides. Vectors are compared within leaves, in double
 precision; links join components. Leaves that are still too large are split
 again with directions fitted to a sample of their own, and what cannot be split
-is compared block by block. Link counts are then taken within components.
+is compared block by block. Pairs planted at the threshold go down the trees
+along with the vectors; forests are added until so many of them have met as the
+recall asks for, however deep the trees are. Link counts are then taken within
+components.
 
 Equal vectors are one class throughout, so their number costs nothing.
 """
 
 from __future__ import annotations
 
+import math
 import pickle
 from collections.abc import Iterator
 
@@ -23,7 +27,13 @@ from pyspark.sql import functions as F
 from .common import connected_components, drop_stage, stage
 
 COSINE = 0.95
+#: Trees of a forest, and the share of planted pairs that must meet in some forest, in each quarter of them by density.
 TREES = 12
+RECALL = 0.99
+#: Planted pairs at most, and the share of the sample they are made from; vectors expected to have this many links need none.
+PROBES = 1_000
+PROBE_SHARE = 0.05
+CHAINED = 50
 LEAF = 250
 MOST_IN_LEAF = 1500
 SPILL = 0.08
@@ -107,15 +117,56 @@ def usable(vector: str):
     return F.coalesce((F.size(v) > 0) & finite & F.exists(v, lambda e: e != 0), F.lit(False))
 
 
-def first_leaves(classes: DataFrame, trees: int, seed: int) -> DataFrame:
-    """``(tree, node, cls, dim, v)`` after the descent through trees fitted on ``SAMPLE`` vectors at most."""
-    spark = classes.sparkSession
+def forest_sample(classes: DataFrame, seed: int) -> tuple[dict[int, np.ndarray], int]:
+    """Unit vectors by length, of ``SAMPLE`` classes at most, and the number of classes."""
     sample = classes.orderBy(F.xxhash64("cls", F.lit(seed))).limit(SAMPLE).select("dim", "v").collect()
-    n, forests = classes.count(), {}
-    levels = max(0, int(np.ceil(np.log2(max(1, n) / LEAF))))
-    for dim in sorted({r["dim"] for r in sample}):
-        x = unit_rows(r["v"] for r in sample if r["dim"] == dim)
-        forests[dim] = [fit_tree(x, levels, np.random.default_rng([seed, dim, t])) for t in range(trees)]
+    dims = sorted({r["dim"] for r in sample})
+    return {dim: unit_rows(r["v"] for r in sample if r["dim"] == dim) for dim in dims}, classes.count()
+
+
+def first_levels(n: int) -> int:
+    return max(0, int(np.ceil(np.log2(max(1, n) / LEAF))))
+
+
+def planted_pairs(x: np.ndarray, levels: int, weight: float, cosine: float, rng: np.random.Generator) -> list[tuple[float, np.ndarray, np.ndarray]]:
+    """``(spread, u, v)``: vectors of ``x``, each with one made up at ``cosine`` that spreads about the local centre as its neighbours do.
+
+    Where neighbours are so dense that a vector has ``CHAINED`` links anyway, links chain and no pair is made.
+    ``weight`` is the number of vectors that one of ``x`` stands for.
+    """
+    out, dim = [], x.shape[1]
+    if dim < 2 or len(x) < 2 or not 0 < cosine < 1:
+        return out
+    wanted = set(rng.permutation(len(x))[: min(PROBES, math.ceil(PROBE_SHARE * len(x)))].tolist())
+    for _, rows in descend(x, fit_tree(x, levels, rng)):
+        centre = x[rows].mean(axis=0)
+        for i in wanted.intersection(rows.tolist()):
+            wanted.discard(i)
+            u, own = x[i], x[i] - centre
+            spread = float(own @ own)
+            alike = 1 - (1 - cosine) / spread if spread > 0 else 0.0
+            if alike <= 0 or weight * len(rows) * math.erfc(alike * math.sqrt(dim / 2)) / 2 >= CHAINED:
+                continue
+            other = x[rng.choice(rows)] - centre
+            other = other - (other @ own) / spread * own
+            size = np.sqrt(other @ other)
+            if size < 1e-9:
+                other = rng.standard_normal(dim)
+                other = other - (other @ own) / spread * own
+                size = np.sqrt(other @ other)
+            v = centre + alike * own + np.sqrt(max(0.0, 1 - alike * alike) * spread) * other / size
+            side = v - (v @ u) * u
+            size = np.sqrt(side @ side)
+            if size > 1e-9:
+                out.append((spread, u, cosine * u + np.sqrt(1 - cosine * cosine) * side / size))
+    return out
+
+
+def first_leaves(classes: DataFrame, planted: DataFrame | None, sample: dict[int, np.ndarray], n: int, trees: int, seed: int, first: int) -> DataFrame:
+    """``(tree, node, cls, dim, v)`` after the descent through the trees ``first`` and on, fitted on the sample."""
+    spark = classes.sparkSession
+    numbers = range(first, first + trees)
+    forests = {dim: [fit_tree(x, first_levels(n), np.random.default_rng([seed, dim, t])) for t in numbers] for dim, x in sample.items()}
     shared = spark.sparkContext.broadcast(forests)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,8 +175,8 @@ def first_leaves(classes: DataFrame, trees: int, seed: int) -> DataFrame:
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
                 x = unit_rows(part.column(2).to_pylist())
-                # vectors of a length that the sample lacks stay together in one node, to be split later
-                for t, tree in enumerate(shared.value.get(int(dim), [{"dirs": ()}])):
+                # vectors of a length that the sample lacks stay together in one node of each tree, to be split later
+                for t, tree in zip(numbers, shared.value.get(int(dim), [{"dirs": ()}] * len(numbers)), strict=True):
                     for leaf, rows in descend(x, tree):
                         got = part.take(pa.array(rows))
                         yield pa.RecordBatch.from_arrays(
@@ -134,17 +185,25 @@ def first_leaves(classes: DataFrame, trees: int, seed: int) -> DataFrame:
                         )
 
     kind = classes.schema["v"].dataType.simpleString()
-    return classes.select("cls", "dim", "v").mapInArrow(run, f"tree int, node long, cls long, dim int, v {kind}")
+    rows = classes.select("cls", "dim", "v")
+    if planted is not None:
+        rows = rows.unionByName(planted.select("cls", "dim", "v"))
+    return rows.mapInArrow(run, f"tree int, node long, cls long, dim int, v {kind}")
+
+
+def further_levels(size: int, most: int) -> int:
+    """Levels after which a node of ``size`` vectors has leaves of less than ``most``, as each level loses pairs."""
+    return min(LEVELS_PER_ROUND, max(1, math.ceil(math.log(size / (0.9 * most)) / -math.log(0.5 + SPILL / 2))))
 
 
-def split_again(rows: DataFrame, large: DataFrame, kind: str, round_no: int) -> DataFrame:
+def split_again(rows: DataFrame, large: DataFrame, kind: str, round_no: int, most: int) -> DataFrame:
     """The rows of ``large`` nodes, sent down a further tree fitted to a sample of each node."""
     over = rows.join(large, ["tree", "node"])
     chosen = over.where(F.pmod(F.xxhash64("cls", F.lit(round_no)), F.greatest(F.lit(1), F.floor(F.col("m") / LEAF_SAMPLE))) == 0)
 
     def fit(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         rng = np.random.default_rng([round_no, key[0], key[1] & 0x7FFFFFFF])
-        tree = fit_tree(unit_rows(part["v"]), LEVELS_PER_ROUND, rng)
+        tree = fit_tree(unit_rows(part["v"]), further_levels(int(part["m"].iloc[0]), most), rng)
         return pd.DataFrame({"tree": [key[0]], "node": [key[1]], "model": [pickle.dumps(tree)]})
 
     models = stage(chosen.groupBy("tree", "node").applyInPandas(fit, "tree int, node long, model binary"), "models")
@@ -162,22 +221,61 @@ def split_again(rows: DataFrame, large: DataFrame, kind: str, round_no: int) ->
     return over.drop("m").join(models, ["tree", "node"]).mapInPandas(run, f"tree int, node long, cls long, dim int, v {kind}")
 
 
-def leaves(classes: DataFrame, trees: int = TREES, seed: int = 7, most: int = MOST_IN_LEAF) -> DataFrame:
-    kind = classes.schema["v"].dataType.simpleString()
-    rows = stage(first_leaves(classes, trees, seed), "leaves")
+def leaves(rows: DataFrame, kind: str, most: int = MOST_IN_LEAF) -> tuple[DataFrame, list[DataFrame]]:
+    """The rows after :func:`first_leaves` with large nodes split again, and the written tables they are read from."""
+    rows = stage(rows, "leaves")
+    written = [rows]
     done: DataFrame | None = None
     before = None
     for r in range(MOST_ROUNDS):
         sizes = rows.groupBy("tree", "node").agg(F.count("*").alias("m"))
         large = stage(sizes.where(f"m > {most}"), "large")
+        written.append(large)
         total = large.agg(F.sum("m")).first()[0]
         if not total or (before is not None and total > 0.9 * before):
             break
         before = total
         kept = rows.join(large.select("tree", "node"), ["tree", "node"], "left_anti")
         done = kept if done is None else done.unionByName(kept)
-        rows = stage(split_again(rows, large, kind, r), "leaves")
-    return rows if done is None else done.unionByName(rows)
+        rows = stage(split_again(rows, large, kind, r, most), "leaves")
+        written.append(rows)
+    return rows if done is None else done.unionByName(rows), written
+
+
+def forest_links(classes: DataFrame, cosine: float, trees: int, seed: int, most: int, recall: float) -> DataFrame:
+    """Edges ``(a, b)`` of as many forests of ``trees`` trees as it takes for ``recall`` of the planted pairs to meet."""
+    spark = classes.sparkSession
+    kind = classes.schema["v"].dataType.simpleString()
+    sample, n = forest_sample(classes, seed)
+    sampled = sum(len(x) for x in sample.values())
+    rng = np.random.default_rng([seed, 1])
+    pairs = [(dim, *pair) for dim, x in sample.items() for pair in planted_pairs(x, first_levels(n), n / sampled, cosine, rng)]
+    planted, marks = None, None
+    if pairs:
+        names = rng.integers(-(1 << 63), 1 << 63, size=(len(pairs), 2)).tolist()
+        made = [(int(names[i][k]), dim, both[k].tolist(), i) for i, (dim, _, *both) in enumerate(pairs) for k in (0, 1)]
+        planted = spark.createDataFrame(made, "cls long, dim int, v array<double>, pair int").withColumn("v", F.col("v").cast(kind))
+        planted = stage(planted, "planted")
+        marks = F.broadcast(planted.select("cls", "pair"))
+    quarters = [set(q.tolist()) for q in np.array_split(np.argsort([p[1] for p in pairs], kind="stable"), 4)] if pairs else []
+    edges: DataFrame | None = None
+    found, met, first = [], set(), 0
+    while True:
+        rows, written = leaves(first_leaves(classes, planted, sample, n, trees, seed, first), kind, most)
+        if marks is not None:
+            both = rows.join(marks, "cls").groupBy("tree", "node", "pair").agg(F.countDistinct("cls").alias("k")).where("k = 2")
+            met |= {r["pair"] for r in both.select("pair").distinct().collect()}
+            rows = rows.join(marks.select("cls"), "cls", "left_anti")
+        found.append(stage(leaf_links(rows, cosine), "links"))
+        drop_stage(*written)
+        first += trees
+        edges = found[-1] if edges is None else edges.unionByName(found[-1])
+        if all(len(q & met) >= recall * len(q) for q in quarters):
+            break
+    if len(found) > 1:
+        edges = stage(edges.distinct(), "links")
+        drop_stage(*found)
+    return edges
 
 
 def in_blocks(rows: DataFrame, keys: list[str], block) -> DataFrame:
@@ -232,14 +330,15 @@ def link_counts(rows: DataFrame, cosine: float) -> DataFrame:
 
 def near_vectors(
     table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", cosine: float = COSINE, trees: int = TREES, seed: int = 7,
-    most_in_leaf: int = MOST_IN_LEAF,
+    most_in_leaf: int = MOST_IN_LEAF, recall: float = RECALL,
 ) -> DataFrame:
     """``vec_id, n_links, component_id, kept`` of every row.
 
     Vectors link at a cosine of ``cosine`` or more; only vectors of one
     length are compared. Null, zero, empty or non-finite vectors and those with null components
     link with nothing. Repeated rows count as vectors of their own. Rows
-    without an id link like others but never name a component.
+    without an id link like others but never name a component. Forests of
+    ``trees`` trees are added until ``recall`` (below 1) of planted pairs have met.
     """
     table = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("v"))
     valid = table.where(usable("v"))
@@ -248,8 +347,7 @@ def near_vectors(
         .withColumn("cls", F.xxhash64("v")).withColumn("dim", F.size("v")),
         "vectors",
     )
-    rows = leaves(classes, trees, seed, most_in_leaf)
-    edges = stage(leaf_links(rows, cosine), "links")
+    edges = forest_links(classes, cosine, trees, seed, most_in_leaf, recall)
     label = connected_components(edges).select(F.col("node").alias("cls"), "component")
     grouped = stage(classes.join(label, "cls"), "grouped")
     others = link_counts(grouped, cosine)

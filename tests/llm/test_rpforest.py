@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from stridewise.llm.rpforest import component_labels, near_vectors
+from stridewise.llm.rpforest import component_labels, further_levels, near_vectors
 
 
 def brute(rows, cosine=0.95):
@@ -76,3 +76,27 @@ def test_edge_cases(spark):
     check(spark, [(1, [1e-200, 0.0]), (2, [1e300, 0.0])], "double")
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, kept boolean, cls long")
     assert near_vectors(empty).count() == 0
+
+
+def hot_group(n, pairs, typical=0.88, dim=64, seed=11):
+    """``n`` vectors of one dense group, and ``pairs`` more at cosine 0.952 to the first of them that chain with nothing else."""
+    rng = np.random.default_rng(seed)
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    centre = unit(rng.standard_normal(dim))
+    x = unit(centre + np.sqrt(1 / typical - 1) * unit(rng.standard_normal((n, dim))))
+    alike = 1 - (1 - 0.952) / (1 - typical)
+    own = x[:pairs] - np.sqrt(typical) * centre
+    mates = np.sqrt(typical) * centre + alike * own + np.sqrt((1 - alike**2) * (1 - typical)) * unit(rng.standard_normal((pairs, dim)))
+    side = mates - (mates * x[:pairs]).sum(axis=1, keepdims=True) * x[:pairs]
+    return np.concatenate([x, 0.952 * x[:pairs] + np.sqrt(1 - 0.952**2) * unit(side)])
+
+
+def test_pairs_in_a_hot_group_are_found_with_few_trees(spark):
+    x = hot_group(6000, 300)
+    table = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["component_id"] for r in near_vectors(table, trees=4).collect()}
+    assert sum(got[i] == got[6000 + i] for i in range(300)) >= 0.97 * 300
+
+
+def test_levels_follow_the_size():
+    assert [further_levels(m, 1500) for m in (1501, 2400, 3000, 10**7)] == [1, 1, 2, 4]
