@@ -56,7 +56,7 @@ HEADERS = {
 }
 SCHEMA = ", ".join(f"{c} {'long' if c == 'payload_length' else 'string'}" for c in HEADERS) + ", payload binary"
 
-MANIFEST = "_manifest.json"
+MANIFEST = "_manifest"  # and a name of the job's own, .json
 FILE_BYTES = 64 << 20
 PARTITION_BYTES = 128 << 20
 BATCH_BYTES = 8 << 20
@@ -204,6 +204,27 @@ _TESTS = {
 }
 
 
+def folder_entries(fs, root: str) -> list:
+    info = fs.get_file_info(root)
+    return fs.get_file_info(pafs.FileSelector(root)) if info.type == pafs.FileType.Directory else [info]
+
+
+def manifests(entries: list) -> list[str]:
+    return [i.path for i in entries if i.path.rsplit("/", 1)[-1].startswith(MANIFEST) and i.path.endswith(".json")]
+
+
+def listed_files(fs, root: str) -> list[tuple[str, int]]:
+    """``(path, size)`` of the archives that the manifests of all jobs list, or of all archives where no manifest is."""
+    entries = folder_entries(fs, root)
+    if not (names := manifests(entries)):
+        return sorted((i.path, i.size) for i in entries if i.path.endswith((".warc", ".warc.gz")))
+    files = {}
+    for name in names:
+        with fs.open_input_stream(name) as f:
+            files.update({f"{root}/{n}": size for n, size in json.loads(f.read())})
+    return sorted(files.items())
+
+
 @dataclass
 class WarcPartition(InputPartition):
     files: list = field(default_factory=list)
@@ -228,14 +249,7 @@ class WarcReader(DataSourceReader):
 
     def partitions(self) -> list[WarcPartition]:
         fs, root = file_system(self.path)
-        manifest = f"{root}/{MANIFEST}"
-        if fs.get_file_info(manifest).type == pafs.FileType.File:
-            with fs.open_input_stream(manifest) as f:
-                names = json.loads(f.read())
-            files = [(f"{root}/{n}", size) for n, size in names]
-        else:
-            found = fs.get_file_info(pafs.FileSelector(root)) if fs.get_file_info(root).type == pafs.FileType.Directory else [fs.get_file_info(root)]
-            files = sorted((i.path, i.size) for i in found if i.path.endswith((".warc", ".warc.gz")))
+        files = listed_files(fs, root)
         out, held = [], 0
         for path, size in files:
             if not out or held + size > self.most:
@@ -296,8 +310,17 @@ class WarcFiles(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceWriter):
-    def __init__(self, options: dict):
+    """Each job lists its files in a manifest of its own; an overwrite removes the manifests of the jobs before.
+
+    Archives that lay in the folder without any manifest are listed along, so that they stay in sight.
+    """
+
+    def __init__(self, options: dict, overwrite: bool = False):
         self.path = options["path"]
+        self.overwrite = overwrite
+        fs, root = file_system(self.path)
+        self.older = manifests(folder_entries(fs, root))
+        self.lying = [] if overwrite or self.older else [[path.rsplit("/", 1)[-1], size] for path, size in listed_files(fs, root)]
         self.gzip = options.get("compression", "none") == "gzip"
         self.most = int(options.get("fileBytes", FILE_BYTES))
 
@@ -326,9 +349,11 @@ class WarcWriter(DataSourceWriter):
     def commit(self, messages) -> None:
         fs, root = file_system(self.path)
         fs.create_dir(root, recursive=True)
-        files = sorted(f for m in messages if m is not None for f in m.files)
-        with fs.open_output_stream(f"{root}/{MANIFEST}") as out:
+        files = sorted(self.lying + [f for m in messages if m is not None for f in m.files])
+        with fs.open_output_stream(f"{root}/{MANIFEST}-{uuid.uuid4().hex}.json") as out:
             out.write(json.dumps(files).encode())
+        for name in self.older if self.overwrite else []:
+            fs.delete_file(name)
 
     def abort(self, messages) -> None:
         fs, root = file_system(self.path)
@@ -354,7 +379,7 @@ class WarcDataSource(DataSource):
         return WarcReader(dict(self.options), schema)
 
     def writer(self, schema: StructType, overwrite: bool) -> WarcWriter:
-        return WarcWriter(dict(self.options))
+        return WarcWriter(dict(self.options), overwrite)
 
 
 def register(spark: SparkSession) -> None:

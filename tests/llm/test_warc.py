@@ -2,7 +2,7 @@ from hashlib import sha256
 
 import pytest
 
-from stridewise.llm.warc import page_summary, parse_head, read_warc, record_bytes, write_pages
+from stridewise.llm.warc import page_records, page_summary, parse_head, read_warc, record_bytes, write_pages
 
 BIG = "<p>" + "x" * 200 + "é</p>"
 
@@ -80,3 +80,18 @@ def test_records():
     assert head["warc-target-uri"] == "a%0D%0Ab" and record.endswith(b"hi\r\n\r\n")
     with pytest.raises(ValueError):
         parse_head(b"HTTP/1.1 200 OK")
+
+
+def test_appends_hide_no_archive(spark, tmp_path):
+    page = lambda i: spark.createDataFrame([(i, f"http://a.example/{i}", f"page {i}")], "page_id long, url string, html string")
+    ids = lambda: sorted(r["record_id"] for r in read_warc(spark, path, ["record_id"]).collect())
+    path = str(tmp_path / "warc")
+    for n in (1, 2, 3):
+        write_pages(page(n), path)
+        assert ids() == [f"<urn:page:{i}>" for i in range(1, n + 1)]
+    for manifest in (tmp_path / "warc").glob("_manifest*"):
+        manifest.unlink()
+    write_pages(page(4), path)  # onto archives without a manifest
+    assert ids() == [f"<urn:page:{i}>" for i in (1, 2, 3, 4)]
+    page_records(page(5)).write.format("warc").mode("overwrite").save(path)
+    assert ids() == ["<urn:page:5>"]
