@@ -11,8 +11,6 @@ from stridewise.config import CORE_SCHEMA, CleaningConfig  # noqa: E402
 from stridewise.session import local_session  # noqa: E402
 
 FIXTURES = os.path.join(ROOT, "tests", "fixtures")
-GARMIN_FIXTURE_GLOB = os.path.join(FIXTURES, "garmin", "*", "Activities.csv")
-APPLE_FIXTURE_GLOB = os.path.join(FIXTURES, "apple", "*", "Export.xml")
 
 DEFAULTS = {
     "date": datetime(2025, 8, 1, 7, 0),
@@ -33,6 +31,16 @@ def spark():
     yield s
 
 
+@pytest.fixture(scope="session")
+def garmin_glob():
+    return os.path.join(FIXTURES, "garmin", "*", "Activities.csv")
+
+
+@pytest.fixture(scope="session")
+def apple_glob():
+    return os.path.join(FIXTURES, "apple", "*", "Export.xml")
+
+
 @pytest.fixture
 def config():
     return CleaningConfig()

@@ -4,7 +4,6 @@ from dataclasses import replace
 
 import pytest
 
-from conftest import APPLE_FIXTURE_GLOB, GARMIN_FIXTURE_GLOB
 from stridewise.config import FINAL_SCHEMA
 from stridewise.plans.job import build_parser, main
 from stridewise.plans.run import run_pipeline
@@ -13,8 +12,8 @@ GARMIN_RUNS, APPLE_RUNS = 4, 2
 
 
 @pytest.fixture(scope="module")
-def result(spark):
-    return run_pipeline(spark, GARMIN_FIXTURE_GLOB, APPLE_FIXTURE_GLOB)
+def result(spark, garmin_glob, apple_glob):
+    return run_pipeline(spark, garmin_glob, apple_glob)
 
 
 def test_row_counts(result):
@@ -47,8 +46,8 @@ def test_frozen(result):
         result.data = None
 
 
-def test_missing_source_is_skipped(spark):
-    r = run_pipeline(spark, "/nonexistent/*/Activities.csv", APPLE_FIXTURE_GLOB)
+def test_missing_source_is_skipped(spark, apple_glob):
+    r = run_pipeline(spark, "/nonexistent/*/Activities.csv", apple_glob)
     assert set(r.summaries) == {"Apple"} and r.data.count() == APPLE_RUNS
 
 
@@ -57,22 +56,22 @@ def test_no_data_raises(spark):
         run_pipeline(spark, "/nonexistent/a/*.csv", "/nonexistent/b/*.xml")
 
 
-def test_writes_outputs(spark):
+def test_writes_outputs(spark, garmin_glob, apple_glob):
     out = tempfile.mkdtemp(prefix="run-")
-    r = run_pipeline(spark, GARMIN_FIXTURE_GLOB, APPLE_FIXTURE_GLOB, output_dir=out)
+    r = run_pipeline(spark, garmin_glob, apple_glob, output_dir=out)
     assert os.path.isdir(r.outputs["parquet"]) and os.path.isdir(r.outputs["csv"])
     assert spark.read.parquet(r.outputs["parquet"]).count() == GARMIN_RUNS + APPLE_RUNS
 
 
-def test_config_override(spark):
+def test_config_override(spark, garmin_glob, apple_glob):
     from stridewise.config import CleaningConfig
-    r = run_pipeline(spark, GARMIN_FIXTURE_GLOB, APPLE_FIXTURE_GLOB, config=replace(CleaningConfig(), distance_max=6.0))
+    r = run_pipeline(spark, garmin_glob, apple_glob, config=replace(CleaningConfig(), distance_max=6.0))
     assert r.data.where("distance_km > 6").count() == 0
 
 
-def test_cli(spark, capsys):
+def test_cli(spark, capsys, garmin_glob, apple_glob):
     assert build_parser().parse_args([]).dry_run is False
-    assert main(["--garmin", GARMIN_FIXTURE_GLOB, "--apple", APPLE_FIXTURE_GLOB, "--dry-run", "--quiet"], spark=spark) == 0
+    assert main(["--garmin", garmin_glob, "--apple", apple_glob, "--dry-run", "--quiet"], spark=spark) == 0
     printed = capsys.readouterr().out
     assert "nowhere (dry run)" in printed and "Plausibility Checks" in printed
     assert main(["--garmin", "/nonexistent/*.csv", "--apple", "/nonexistent/*.xml", "--quiet"], spark=spark) == 1

@@ -5,12 +5,11 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import APPLE_FIXTURE_GLOB, GARMIN_FIXTURE_GLOB
 from stridewise.sources import exports
 
 
-def test_garmin_import_latin1_and_renames(spark):
-    df = exports.import_garmin_activities(spark, GARMIN_FIXTURE_GLOB)
+def test_garmin_import_latin1_and_renames(spark, garmin_glob):
+    df = exports.import_garmin_activities(spark, garmin_glob)
     assert df.count() == 5
     assert {"activity_type", "date", "distance_km", "calories", "duration", "avg_heart_rate", "max_heart_rate",
             "source", "export_date", "Title"} <= set(df.columns)
@@ -37,8 +36,8 @@ def test_missing_glob_is_empty(spark):
     assert exports.import_apple_workouts(spark, "/nonexistent/*/Export.xml").count() == 0
 
 
-def test_apple_import(spark):
-    df = exports.import_apple_workouts(spark, APPLE_FIXTURE_GLOB)
+def test_apple_import(spark, apple_glob):
+    df = exports.import_apple_workouts(spark, apple_glob)
     rows = sorted(df.collect(), key=lambda r: r.date)
     assert len(rows) == 3
     assert [r.activity_type for r in rows] == ["Running", "Walking", "Running"]
