@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import jaccard, katz, licenses, mixing, packing, pii, quality, rpforest, shards, warc
+from . import dialogues, jaccard, katz, licenses, mixing, packing, phrases, pieces, pii, quality, rpforest, shards, warc
 
 QUERIES = {
     "op1_warc": warc.warc_query,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_katz_lm": katz.katz_query,
     "op9_packing": packing.packing_query,
     "op10_rp_forest": rpforest.rpforest_query,
+    "op11_dialogue_repair": dialogues.dialogues_query,
+    "op12_piece_encoding": pieces.pieces_query,
+    "op13_collocations": phrases.phrases_query,
 }
 
 #: The others have no SQL twin: their methods are iterative; tests hold them against brute force.
@@ -22,4 +25,6 @@ ORACLES = {
     "op1_warc": warc.ORACLE,
     "op2_quality_rules": quality.ORACLE,
     "op6_mixing": mixing.ORACLE,
+    "op11_dialogue_repair": dialogues.ORACLE,
+    "op13_collocations": phrases.ORACLE,
 }

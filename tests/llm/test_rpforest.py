@@ -46,11 +46,12 @@ def clusters(seed, groups=12, each=12, dim=16, noise=0.05):
     return out
 
 
-def test_recall_on_the_given_table(spark):
-    table = spark.read.parquet("/root/testdata/check_s/embeddings.parquet").where("vec_id < 2500")
-    rows = [(r["vec_id"], np.asarray(r["embedding"], dtype=float)) for r in table.collect()]
-    x = np.stack([v / np.sqrt(v @ v) for _, v in rows])
-    links = dict(zip([r[0] for r in rows], (x @ x.T >= 0.95).sum(axis=1) - 1, strict=True))
+def test_recall_on_a_larger_table(spark):
+    rows = clusters(5, groups=60, each=40, dim=64, noise=0.03)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    x = np.asarray([v for _, v in rows], dtype=float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    links = dict(zip([i for i, _ in rows], (x @ x.T >= 0.95).sum(axis=1) - 1, strict=True))
     got = {r["vec_id"]: r["n_links"] for r in near_vectors(table).collect()}
     assert all(got[i] <= n for i, n in links.items())
     assert sum(got.values()) >= 0.9 * sum(links.values()) > 0
