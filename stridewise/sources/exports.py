@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import csv
 import os
 from collections import defaultdict
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stridewise.sources.ranges import RANGE_BYTES, first_records, list_files, read_text_records, read_xml_elements
+
 # Vendor column names of the delimited export and their core names.
 GARMIN_RENAMES = {
     "Activity Type": "activity_type",
@@ -48,7 +50,7 @@ class CsvDialect:
     sep: str = ";"
     encoding: str = "ISO-8859-1"
     quote: str = '"'
-    #: Quoted values may hold line breaks; such files are not split. False for huge exports that have none.
+    #: Quoted values may hold line breaks (quotes then come in pairs); False: every line is a record, whatever its quotes.
     multi_line: bool = True
 
 
@@ -60,67 +62,53 @@ def export_folder(path_col: str = "_metadata.file_path") -> F.Column:
     return F.regexp_extract(F.col(path_col), r"([^/]+)/[^/]+$", 1)
 
 
-def _expand(spark: SparkSession, pattern: str) -> list[str]:
-    """Files matching a glob, through the Hadoop file system (any scheme)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = path.getFileSystem(conf)
-    found = fs.globStatus(path)
-    if found is None:
-        return []
-    return sorted(str(s.getPath().toString()) for s in found if s.isFile())
-
-
-def file_headers(spark: SparkSession, files: Sequence[str], encoding: str) -> dict[str, str]:
-    """First line of each file, read by Spark whatever their number, file system and line ends."""
-    to_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    by_uri = {str(to_path(f).toUri().toString()): f for f in files}
-    lines = (
-        spark.read.option("encoding", encoding).text(list(files))
-        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
-                F.monotonically_increasing_id().alias("line"), F.col("value"))
-        .where("start = 0")
-    )
-    first = lines.groupBy("file").agg(F.min_by("value", "line").alias("header"))
-    found = {by_uri[r["file"]]: r["header"].rstrip("\r") for r in first.collect()}
-    return {f: found.get(f, "") for f in files}
-
-
-#: Where a row was read: file, block in the file, row in the block. Rows of one export compare by it in file order.
+#: Where a row was read: file, byte at which its record starts, 0. Rows of one export compare by it in file order.
 POSITION = "_position"
 POSITION_TYPE = "struct<file: string, start: bigint, row: bigint>"
 
 
 def _position() -> F.Column:
-    return F.struct(
-        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row")
-    )
+    return F.struct(F.col("file"), F.col("start"), F.lit(0).cast("long").alias("row"))
+
+
+def header_names(header: str, dialect: CsvDialect) -> list[str]:
+    """Column names of a header line; nameless columns are ``_c`` and their place, repeated names get their place behind them."""
+    names = next(csv.reader([header], delimiter=dialect.sep, quotechar=dialect.quote), [])
+    lowered = [n.lower() for n in names]
+    return [f"_c{i}" if not n else f"{n}{i}" if lowered.count(n.lower()) > 1 else n for i, n in enumerate(names)]
 
 
 def import_garmin_activities(spark: SparkSession, pattern: str, dialect: CsvDialect = GARMIN_DIALECT,
-                             source: str = "garmin", position: bool = False) -> DataFrame:
+                             source: str = "garmin", position: bool = False, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """All delimited exports matching ``pattern``, all values as text, vendor names renamed.
 
-    Files are grouped by header line: one read per layout (parallel over files
-    and splits), layouts unioned by name. ``source`` and ``export_date`` (the
-    parent folder) are added, and with ``position`` the row's place (:data:`POSITION`). No file: an empty frame.
+    Files are grouped by header line: one read per layout, layouts unioned by name. A file is read in ranges
+    of ``range_bytes`` by as many tasks, line breaks inside quoted values included; headers are read from the files' starts alone.
+    ``source`` and ``export_date`` (the parent folder) are added, and with ``position`` the row's place (:data:`POSITION`). No file: an empty frame.
     """
-    files = _expand(spark, pattern)
+    files = list_files(spark, pattern)
     if not files:
         return spark.createDataFrame([], "source string, export_date string")
-    layouts: dict[str, list[str]] = defaultdict(list)
-    for f, header in file_headers(spark, files, dialect.encoding).items():
-        layouts[header].append(f)
+    quote = dialect.quote if dialect.multi_line else ""
+    layouts: dict[str, list[tuple[str, int]]] = defaultdict(list)
+    headers = first_records(spark, files, quote, dialect.encoding)
+    for f, size in files:
+        layouts[headers[f].removeprefix("\ufeff")].append((f, size))
+    options = {"sep": dialect.sep, "quote": dialect.quote, "escape": dialect.quote, "mode": "PERMISSIVE"}
     frames = []
-    for layout_files in layouts.values():
-        raw = (
-            spark.read.option("header", True).option("sep", dialect.sep).option("encoding", dialect.encoding)
-            .option("quote", dialect.quote).option("escape", dialect.quote).option("multiLine", dialect.multi_line)
-            .option("mode", "PERMISSIVE").csv(layout_files)
+    for header, layout_files in layouts.items():
+        names = header_names(header, dialect)
+        if not names:
+            continue
+        records = read_text_records(spark, layout_files, quote, range_bytes, dialect.encoding)
+        fields = F.from_csv("record", ", ".join(f"c{i} string" for i in range(len(names))), options)
+        raw = records.where((F.col("start") > 0) & (F.trim("record") != "")).withColumn("_f", fields).select(
+            *[F.col(f"_f.c{i}").alias(GARMIN_RENAMES.get(n, n)) for i, n in enumerate(names)],
+            F.lit(source).alias("source"), export_folder("file").alias("export_date"), *([_position().alias(POSITION)] if position else []),
         )
-        raw = raw.withColumns({"source": F.lit(source), "export_date": export_folder(), **({POSITION: _position()} if position else {})})
-        frames.append(raw.withColumnsRenamed({k: v for k, v in GARMIN_RENAMES.items() if k in raw.columns}))
+        frames.append(raw)
+    if not frames:
+        return spark.createDataFrame([], "source string, export_date string")
     out = frames[0]
     for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
@@ -151,24 +139,17 @@ def workouts_from_xml_frame(raw: DataFrame, export_date: F.Column, source: str =
     )
 
 
-def import_apple_workouts(spark: SparkSession, pattern: str, source: str = "apple",
-                          schema: T.StructType = WORKOUT_SCHEMA, extra: Sequence[str] = (), position: bool = False) -> DataFrame:
+def import_apple_workouts(spark: SparkSession, pattern: str, source: str = "apple", schema: T.StructType = WORKOUT_SCHEMA,
+                          extra: Sequence[str] = (), position: bool = False, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """One row per ``<Workout>`` of all XML exports matching ``pattern``.
 
-    The XML source parses each file in one task (``multiLine`` default), so
-    parallelism is the number of files; the explicit schema prunes every
-    element the import does not use. No file: an empty frame.
+    A file is read in ranges of ``range_bytes`` by as many tasks: each seeks to the next ``<Workout`` and gives the elements
+    that start in its range, whose text Spark parses with the explicit schema, which leaves out all that the import does
+    not use. No file: an empty frame.
     """
-    try:
-        raw = spark.read.format("xml").option("rowTag", "Workout").schema(schema).load(pattern)
-        raw = raw.select("*", F.col("_metadata.file_path").alias("_file"), *([_position().alias(POSITION)] if position else []))
-    except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], "source string, export_date string, activity_type string, date string, "
-                                             "duration string, distance string, calories string, "
-                                             "avg_heart_rate string, max_heart_rate string"
-                                             + (f", {POSITION} {POSITION_TYPE}" if position else ""))
-        raise
+    elements = read_xml_elements(spark, list_files(spark, pattern), "Workout", range_bytes)
+    raw = elements.select(F.from_xml("record", schema).alias("_w"), "file", *([_position().alias(POSITION)] if position else []))
+    raw = raw.select("_w.*", F.col("file").alias("_file"), *([POSITION] if position else []))
     return workouts_from_xml_frame(raw, export_folder("_file"), source, [*extra, *([POSITION] if position else [])])
 
 
