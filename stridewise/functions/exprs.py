@@ -24,33 +24,39 @@ def nan_to_null(c: str | Column) -> Column:
 
 
 def to_double(c: str | Column) -> Column:
-    """Numeric coercion: unparsable text becomes null, and so does NaN."""
-    return nan_to_null(_number(_c(c)))
+    """Numeric coercion: unparsable text becomes null, and so does NaN.
+
+    For columns that are numbers already the optimizer drops the text branch, as their type is known in the plan.
+    """
+    x = _c(c)
+    text = x.cast("string")
+    return F.when(F.typeof(x) == "string", F.when(~text.rlike(_NO_NUMBER), text.try_cast("double"))).otherwise(nan_to_null(x.try_cast("double")))
 
 
-def _number(x: Column) -> Column:
-    """Text as a double; the type letters that the JVM takes after digits (``12d``, ``1.5f``) make it no number."""
-    return F.when(~F.coalesce(x.cast("string").rlike(r"[0-9.]\s*[dDfF]\s*$"), F.lit(False)), x.try_cast("double"))
+#: Texts that the JVM would take for numbers: with its type letters after digits (``12d``, ``1.5f``), and NaN.
+_NO_NUMBER = r"(?i)[0-9.]\s*[df]\s*(?::|$)|nan"
 
 
 def duration_to_seconds(c: str | Column) -> Column:
     """``hh:mm:ss``, ``mm:ss`` or a plain number (fractions allowed) to seconds.
 
-    Null, unparsable parts or four and more parts give null.
+    Null, unparsable parts or four and more parts give null. One pattern check for the whole
+    text; parts are cut only in the branch that their number selects.
     """
     s = _c(c).cast("string")
-    parts = F.split(s, ":")
-    n = F.size(parts)
+    colons = F.length(s) - F.length(F.replace(s, F.lit(":"), F.lit("")))
 
-    def part(i: int) -> Column:
-        return _number(parts.getItem(i))
+    def number(part: Column) -> Column:
+        return part.try_cast("double")
 
-    secs = (
-        F.when(n == 3, part(0) * 3600 + part(1) * 60 + part(2))
-        .when(n == 2, part(0) * 60 + part(1))
-        .when(n == 1, _number(s))
-    )
-    return nan_to_null(secs)
+    first, last = number(F.substring_index(s, ":", 1)), number(F.substring_index(s, ":", -1))
+    return F.when(s.rlike(_NO_DURATION), F.lit(None).cast("double")).when(
+        colons == 2, first * 3600 + number(F.split_part(s, F.lit(":"), F.lit(2))) * 60 + last
+    ).when(colons == 1, first * 60 + last).when(colons == 0, number(s))
+
+
+#: As :data:`_NO_NUMBER`; negative infinity as well, so that no sum of parts is NaN.
+_NO_DURATION = _NO_NUMBER + r"|-\s*inf"
 
 
 _EU_DATE = r"^(\d{1,2})\.(\d{1,2})\.(\d{4}) (\d{1,2}):(\d{1,2})$"

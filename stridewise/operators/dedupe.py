@@ -13,6 +13,7 @@ def keep_first(
     keys: Sequence[str],
     order_by: Sequence[str] = (),
     count_col: str | None = "n_copies",
+    sum_cols: Sequence[str] = (),
 ) -> DataFrame:
     """One row per ``keys`` (null keys equal each other), the first in a defined order.
 
@@ -22,10 +23,11 @@ def keep_first(
     (the minimum of the row as an ordered struct; struct buffers make it
     sort-based), so partial aggregation collapses copies before
     the shuffle and a key holding a third of all rows costs no more memory
-    than any other. ``count_col`` carries the number of copies per key.
+    than any other. ``count_col`` carries the number of copies per key;
+    ``sum_cols`` are added up over the copies instead of being part of the row.
     """
     keys = list(keys)
-    rest = [c for c in df.columns if c not in keys]
+    rest = [c for c in df.columns if c not in keys and c not in sum_cols]
     # the aggregate is sort-based (struct buffers); a numeric or time key first
     # gives the sort a discriminating prefix, low-cardinality strings go last
     types = dict(df.dtypes)
@@ -36,8 +38,9 @@ def keep_first(
     aggs = [F.min(F.struct(*[F.col(c) for c in ordering])).alias("_first")]
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))
+    aggs += [F.sum(c).alias(c) for c in sum_cols]
     grouped = df.groupBy(*group_keys).agg(*aggs)
-    cols = [F.col(c) if c in keys else F.col(f"_first.{c}").alias(c) for c in df.columns]
+    cols = [F.col(c) if c in keys or c in sum_cols else F.col(f"_first.{c}").alias(c) for c in df.columns]
     if count_col:
         cols.append(F.col(count_col))
     return grouped.select(*cols)

@@ -246,6 +246,35 @@ ml as (select grouping(source, dist_bin, hr_bin) as gid, source, dist_bin, hr_bi
     Q["table_equality"] = q("select (select count(*) from (select * from featured except all select * from featured)) as missing, "
                             "(select count(*) from (select * from featured except all select * from featured)) as extra", PIPELINE)
     Q["step_report"] = q("select * from report", PIPELINE + REPORT)
+    undated = """,
+runs_undated as (select * replace (case when l_linenumber = 6 then null else date end as date) from runs)"""
+    audited = undated + PIPELINE.replace("from runs)", "from runs_undated)")
+    figures = f"""
+select source, 1 as step_no, 'dates_imputed' as figure, count_if(date is null and export_date is not null) as value from runs_undated group by source
+""" + "".join(f"union all select source, {no}, '{name}', count_if({mask}) from {frame} group by source\n" for no, name, frame, mask in [
+        (4, "fail_distance", "ess", f"not {V_DIST}"), (4, "fail_duration", "ess", f"not {V_DUR}"), (4, "fail_pace", "ess", f"not {V_PACE}"),
+        (5, "hr_inverted", "h1", INV), (5, "hr_tolerated", "h1", TOL), (5, "hr_conflict", "h1", CONFLICT),
+        (5, "avg_hr_null_before", "h2", "avg_heart_rate is null"), (5, "avg_hr_null_after", "s_hr", "avg_heart_rate is null"),
+        (5, "max_hr_null_before", "h2", "max_heart_rate is null"), (5, "max_hr_null_after", "s_hr", "max_heart_rate is null"),
+        (6, "calories_bad", "s_hr", "calories is null or calories <= 0"), (6, "calories_null_after", "s_cal", "cal_filled is null"),
+        (6, "winsorised_absolute", "s_cal", "not coalesce(cal_filled = cal_abs, false)"),
+        (6, "winsorised_ratio", "s_cal", "not coalesce(cal_abs = calories, false)")])
+    ess = """,
+ess as (select * from s_dd where distance_km is not null and duration_sec is not null)"""
+    Q["audit_figures"] = q(figures, audited + ess)
+    Q["audit_observed"] = q(figures + "union all select source, step_no, 'rows_after', rows_after from report", audited + ess + REPORT)
+    Q["user_steps"] = q(
+        "select step, rows_before, rows_after, rows_before - rows_after as removed, "
+        "coalesce((rows_before - rows_after) / nullif(cast(rows_before as double), 0), 0.0) as removal_rate from counted",
+        f""",
+ten as (select * from runs where distance_km >= 10),
+low as (select ten.* from ten join (select source, max(distance_km) as longest from ten group by source) m using (source) where distance_km < longest),
+n as (select (select count(*) from runs) as n0, (select count(*) from ten) as n1, (select count(*) from low) as n2,
+             (select count(*) from (select distinct {KEY} from low)) as n3),
+counted as (
+  select 'Ten kilometres' as step, n0 as rows_before, n1 as rows_after from n
+  union all select 'Below the longest', n1, n2 from n
+  union all select 'Distinct keys', n2, n3 from n)""")
     Q["run_summary"] = q("select source, initial_rows, final_rows, initial_rows - final_rows as total_removed, "
                          "coalesce(final_rows / nullif(cast(initial_rows as double), 0), 0.0) as retention_rate from summary",
                          PIPELINE + REPORT)
@@ -419,6 +448,7 @@ mx as (select source, max(distance_km) > 200 as sc from a2 group by source)"""
         "avg_t as avg_heart_rate, max_t as max_heart_rate, 'Lauf ' || source || ' Zürich' as Title, "
         "cast(l_orderkey as varchar) as \"Order\", cast(l_linenumber as varchar) as Line, "
         "'garmin' as source, exp_t as export_date, case when copy_no = 1 then 'false' end as Favorite from gr", garmin)
+    Q["csv_quoted_breaks"] = Q["garmin_csv_import"].replace("' Zürich'", "' \"Zürich\";' || chr(10) || 'Runde 2'")
     e8 = f""",
 g8 as (select activity_type,
          strftime(date + to_minutes(cast(l_orderkey % 1440 as integer)), '%d.%m.%Y %H:%M') as date_t,
@@ -470,6 +500,7 @@ xw as (select 'apple' as source, strftime(export_date, '%Y-%m-%d') as export_dat
          cast(l_orderkey as varchar) || '-' || cast(l_linenumber as varchar) || '-' || cast(copy_no as varchar) as workout_id
        from rv)"""
     Q["xml_workouts"] = q("select * from xw", xml)
+    Q["xml_single_file"] = Q["xml_workouts"]
     Q["import_statistics"] = q("select count(*) as workouts, count_if(distance <> '') as with_distance, "
                                "count_if(duration <> '') as with_duration from xw", xml)
     return Q

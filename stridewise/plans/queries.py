@@ -17,6 +17,7 @@ from stridewise.functions import exprs, rules
 from stridewise.operators import combine, describe as desc, heart_rate, impute, quality
 from stridewise.operators.dedupe import keep_first
 from stridewise.operators.quantiles import exact_median
+from stridewise.plans import audit as au
 from stridewise.plans import pipeline as pl
 from stridewise.session import materialize as write_table
 from stridewise.sources.tables import run_view, running_view
@@ -231,6 +232,42 @@ def q_step_report(spark, sf):
     return cleaned(spark, sf).report
 
 
+def _undated(spark, sf) -> DataFrame:
+    return running_view(spark, sf).withColumn("date", F.when(F.col("l_linenumber") != 6, F.col("date")))
+
+
+@query("audit_figures")
+def q_audit_figures(spark, sf):
+    """What each step met and changed, from the one aggregate of the step report."""
+    annotated = pl.annotate_runs(_undated(spark, sf), CFG, audit=True)
+    return au.figures_long(pl.step_report(annotated, cfg=CFG))
+
+
+@query("audit_observed")
+def q_audit_observed(spark, sf):
+    """The same counts and the step rows, observed while the cleaned rows are written."""
+    names = ["alpha", "beta", "gamma"]
+    annotated, seen = au.observe_counts(pl.annotate_runs(_undated(spark, sf), CFG, audit=True), names, "source", CFG)
+    write_table(pl.kept_rows(annotated, CFG), "observed")
+    report = pl.observed_report(seen.get, names)
+    rows = [(r["source"], r["step_no"], n, v) for r in report for n, v in {"rows_after": r["rows_after"], **r["figures"]}.items()]
+    return spark.createDataFrame(rows, "source string, step_no int, figure string, value long")
+
+
+@query("user_steps")
+def q_user_steps(spark, sf):
+    """Three steps of a user as one plan, rows counted on the way."""
+    def below_longest(d, cfg):
+        longest = d.groupBy("source").agg(F.max("distance_km").alias("longest"))
+        return d.join(longest, "source").where(F.col("distance_km") < F.col("longest"))
+
+    p = pl.CleaningPipeline("all", CFG)
+    p.add_step(pl.Step("Ten kilometres", lambda d, cfg: d.where(F.col("distance_km") >= 10)))
+    p.add_step(pl.Step("Below the longest", below_longest))
+    p.add_step(pl.Step("Distinct keys", lambda d, cfg: keep_first(d, ["source", "date", "distance_km", "duration_sec"], ["export_date"], count_col=None)))
+    return p.run(running_view(spark, sf))[1].drop("figures")
+
+
 @query("run_summary")
 def q_run_summary(spark, sf):
     return pl.run_summary(cleaned(spark, sf).report)
@@ -513,7 +550,7 @@ def q_csv_round_trip(spark, sf):
     return spark.read.schema(rv.schema).option("header", True).csv(paths["csv"])
 
 
-def _write_xml_exports(spark, sf, where: F.Column | None = None) -> str:
+def _write_xml_exports(spark, sf, where: F.Column | None = None, files: int = 8) -> str:
     """Workouts of the run view written as XML exports, one folder per export date."""
     from stridewise.session import scratch_path
     from stridewise.sources.exports import ACTIVITY_PREFIX, DISTANCE_TYPES, ENERGY_TYPE, HEART_RATE_TYPE
@@ -550,8 +587,7 @@ def _write_xml_exports(spark, sf, where: F.Column | None = None) -> str:
     )
     for day in ["2025-08-22", "2025-09-19"]:
         part = w.where(F.col("export_date") == F.lit(day).cast("timestamp_ntz")).drop("export_date")
-        # several export files per folder: the XML source reads one file per task
-        (part.repartition(8).write.format("xml").option("rootTag", "HealthData").option("rowTag", "Workout")
+        (part.repartition(files).write.format("xml").option("rootTag", "HealthData").option("rowTag", "Workout")
          .mode("overwrite").save(f"{root}/{day}"))
     return root
 
@@ -566,6 +602,17 @@ def q_xml_workouts(spark, sf):
     return d.withColumnRenamed("_id", "workout_id")
 
 
+@query("xml_single_file")
+def q_xml_single_file(spark, sf):
+    """One export file a folder, read in ranges of a megabyte."""
+    from pyspark.sql import types as T
+    from stridewise.sources import exports
+    root = _write_xml_exports(spark, sf, files=1)
+    schema = T.StructType(exports.WORKOUT_SCHEMA.fields + [T.StructField("_id", T.StringType())])
+    d = exports.import_apple_workouts(spark, f"{root}/*/*.xml", schema=schema, extra=["_id"], range_bytes=1 << 20)
+    return d.withColumnRenamed("_id", "workout_id")
+
+
 @query("import_statistics")
 def q_import_statistics(spark, sf):
     from stridewise.sources.exports import import_apple_workouts, import_statistics
@@ -579,7 +626,7 @@ def q_imputation_summary(spark, sf):
     return impute.imputation_summary(d, ["source"])
 
 
-def _write_garmin_exports(spark, sf, where: F.Column | None = None, metres_for: str | None = "gamma") -> str:
+def _write_garmin_exports(spark, sf, where: F.Column | None = None, metres_for: str | None = "gamma", title: str = " Zürich", files: int = 4) -> str:
     """The run view as delimited exports: ``;``, Latin-1, vendor headers, one folder per export date.
 
     The later export carries an extra column, so the importer meets two layouts.
@@ -592,14 +639,14 @@ def _write_garmin_exports(spark, sf, where: F.Column | None = None, metres_for:
     vendor = {"activity_type": "Activity Type", "date": "Date", "distance_km": "Distance", "calories": "Calories",
               "duration": "Time", "avg_heart_rate": "Avg HR", "max_heart_rate": "Max HR"}
     out = raw.select(*[F.col(k).alias(v) for k, v in vendor.items()],
-                     F.concat(F.lit("Lauf "), F.col("source"), F.lit(" Zürich")).alias("Title"),
+                     F.concat(F.lit("Lauf "), F.col("source"), F.lit(title)).alias("Title"),
                      F.col("l_orderkey").cast("string").alias("Order"), F.col("l_linenumber").cast("string").alias("Line"),
                      "copy_no", "export_date")
     for copy_no, day in [(0, "2025-08-22"), (1, "2025-09-19")]:
         part = out.where(F.col("copy_no") == copy_no).drop("copy_no", "export_date")
         if copy_no == 1:
             part = part.withColumn("Favorite", F.lit("false"))
-        (part.repartition(4).write.mode("overwrite").option("header", True).option("sep", ";")
+        (part.repartition(files).write.mode("overwrite").option("header", True).option("sep", ";").option("escape", '"')
          .option("encoding", "ISO-8859-1").csv(f"{root}/{day}"))
     return root
 
@@ -611,6 +658,14 @@ def q_garmin_csv_import(spark, sf):
     return import_garmin_activities(spark, f"{root}/*/*.csv")
 
 
+@query("csv_quoted_breaks")
+def q_csv_quoted_breaks(spark, sf):
+    """Titles with quotes, separators and line breaks; one file a layout, read in ranges of a megabyte."""
+    from stridewise.sources.exports import import_garmin_activities
+    root = _write_garmin_exports(spark, sf, title=' "Zürich";\nRunde 2', files=1)
+    return import_garmin_activities(spark, f"{root}/*/*.csv", range_bytes=1 << 20)
+
+
 @query("run_pipeline_exports")
 def q_run_pipeline_exports(spark, sf):
     """The whole job from raw exports: alpha/beta rows as delimited, gamma rows as XML exports."""

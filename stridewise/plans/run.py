@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stridewise.config import CORE_COLUMNS, RAW_CORE_COLUMNS, CleaningConfig
@@ -21,8 +21,10 @@ from stridewise.operators.typing import (
     reduce_to_columns,
 )
 from stridewise.plans import pipeline as pl
+from stridewise.plans.audit import observe_counts, observed
 from stridewise.session import materialize as materialize_table
 from stridewise.sources.exports import POSITION, import_apple_workouts, import_garmin_activities, write_outputs
+from stridewise.sources.ranges import list_files
 
 # Pipeline source names as in the reference's reports.
 SOURCE_GARMIN = "Garmin"
@@ -37,28 +39,47 @@ class PipelineResult:
     summaries: dict[str, dict]
     qualities: dict[str, dict]
     outputs: dict[str, str] = field(default_factory=dict)
+    imports: dict[str, dict] = field(default_factory=dict)  # source: files, workouts, with_distance, with_duration
 
 
-def prepare_garmin(spark: SparkSession, pattern: str, cfg: CleaningConfig, materialize: bool = True) -> DataFrame | None:
+def _import_counts(df: DataFrame, distance: str, duration: str) -> tuple[DataFrame, Observation]:
+    """Rows and filled core values of an import, observed while its rows are written (before the activity filter)."""
+    def filled(c: str) -> F.Column:
+        return F.count_if(F.coalesce(F.col(c), F.lit("")) != "") if c in df.columns else F.count_if(F.lit(False))
+
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("workouts"), filled(distance).alias("with_distance"), filled(duration).alias("with_duration")), seen
+
+
+def prepare_garmin(spark: SparkSession, pattern: str, cfg: CleaningConfig, materialize: bool = True, imports: dict | None = None) -> DataFrame | None:
     """Import, keep running activities, reduce to the raw core columns, type.
 
-    The filtered raw rows are written once, so the text is parsed once for the
-    emptiness check, the unit heuristic and the cleaning that follow.
+    The filtered raw rows are written once, so the text is parsed once for the emptiness check, the
+    unit heuristic and the cleaning that follow; ``imports`` takes the import's counts, observed in that pass.
     """
     raw = import_garmin_activities(spark, pattern, position=True)
     if "activity_type" not in raw.columns and len(raw.columns) <= 2:
         return None
+    raw, seen = _import_counts(raw, "distance_km", "duration")
     core = reduce_to_columns(filter_running_garmin(raw), [*RAW_CORE_COLUMNS, POSITION])
     if materialize:
         core = materialize_table(core, "garmin-raw")
+        if imports is not None:
+            imports[SOURCE_GARMIN] = {"files": len(list_files(spark, pattern)), **(observed(seen) or {})}
     return clean_garmin_typing(core, cfg, extra=[POSITION])
 
 
-def prepare_apple(spark: SparkSession, pattern: str, cfg: CleaningConfig, materialize: bool = True) -> DataFrame | None:
+def prepare_apple(spark: SparkSession, pattern: str, cfg: CleaningConfig, materialize: bool = True, imports: dict | None = None) -> DataFrame | None:
     """Import, keep running workouts, type; the XML is parsed once (see :func:`prepare_garmin`)."""
-    runs = filter_running_apple(import_apple_workouts(spark, pattern, position=True))
+    files = list_files(spark, pattern)
+    if not files:
+        return None
+    raw, seen = _import_counts(import_apple_workouts(spark, pattern, position=True), "distance", "duration")
+    runs = filter_running_apple(raw)
     if materialize:
         runs = materialize_table(runs, "apple-raw")
+        if imports is not None:
+            imports[SOURCE_APPLE] = {"files": len(files), **(observed(seen) or {})}
     return clean_apple_typing(runs, cfg, extra=[POSITION])
 
 
@@ -81,8 +102,9 @@ def run_pipeline(
 ) -> PipelineResult:
     """Run everything; a source without running activities is skipped, no data at all raises ``ValueError``."""
     cfg = config or CleaningConfig()
-    typed = {SOURCE_GARMIN: prepare_garmin(spark, garmin_path, cfg, materialize),
-             SOURCE_APPLE: prepare_apple(spark, apple_path, cfg, materialize)}
+    imports: dict[str, dict] = {}
+    typed = {SOURCE_GARMIN: prepare_garmin(spark, garmin_path, cfg, materialize, imports),
+             SOURCE_APPLE: prepare_apple(spark, apple_path, cfg, materialize, imports)}
     present = {name: df for name, df in typed.items() if df is not None and not df.isEmpty()}
     if not present:
         raise ValueError(f"no source delivered running activities: garmin_path={garmin_path!r}, apple_path={apple_path!r}")
@@ -91,12 +113,21 @@ def run_pipeline(
     stacked = tagged[0]
     for t in tagged[1:]:
         stacked = stacked.unionByName(t)
-    res = pl.clean_runs(stacked, cfg, group=PIPELINE_SOURCE, materialize=materialize)
-    report_rows = [r.asDict() for r in res.report.orderBy(PIPELINE_SOURCE, "step_no").collect()]
+    annotated = pl.annotate_runs(stacked, cfg, PIPELINE_SOURCE, materialize, audit=True)
+    counts = None
+    if materialize:
+        # the report is taken while the cleaned rows are written
+        watched, seen = observe_counts(annotated, order, PIPELINE_SOURCE, cfg)
+        data = materialize_table(pl.kept_rows(watched, cfg).drop(POSITION), "cleaned")
+        counts = observed(seen)
+    else:
+        data = pl.kept_rows(annotated, cfg).drop(POSITION)
+    if counts:
+        report_rows = pl.observed_report(counts, order, PIPELINE_SOURCE)
+    else:
+        report_rows = [r.asDict() for r in pl.step_report(annotated, PIPELINE_SOURCE, cfg).orderBy(PIPELINE_SOURCE, "step_no").collect()]
     pl.check_critical(report_rows, PIPELINE_SOURCE)
     reports = {name: [r for r in report_rows if r[PIPELINE_SOURCE] == name] for name in order}
-    data = res.data.drop(POSITION)
-    data = materialize_table(data, "cleaned") if materialize else data
     summaries = {}
     for name, steps in reports.items():
         initial, final = steps[0]["rows_before"], steps[-1]["rows_after"]
@@ -109,4 +140,4 @@ def run_pipeline(
     frames = [data.where(F.col(PIPELINE_SOURCE) == name).drop(PIPELINE_SOURCE) for name in order]
     combined = combine.add_features(combine.concat_sources(frames, "date", tie_breakers=CORE_COLUMNS))
     outputs = write_outputs(combined, output_dir) if output_dir is not None else {}
-    return PipelineResult(combined, reports, summaries, qualities, outputs)
+    return PipelineResult(combined, reports, summaries, qualities, outputs, imports)
