@@ -486,6 +486,11 @@ runs8 as (select {ALL} from g8u union all select {ALL} from a8u)"""
     Q["run_pipeline_exports"] = q(
         f"select {CORE}, calories_imputed, imputation_level, duration_min, pace_min_per_km from featured",
         e8 + PIPELINE.replace("from runs)", "from runs8)"))
+    other = """,
+other as (select * from runs where l_orderkey % 101 <> 0 union all select * from runs where l_orderkey % 97 = 0)"""
+    Q["table_difference"] = q("select (select count(*) from (select * from runs except all select * from other)) as missing, "
+                              "(select count(*) from (select * from other except all select * from runs)) as extra", other)
+    Q["output_versions"] = q("select * from runs where distance_km >= 10")
     Q["parquet_round_trip"] = q("select * from runs")
     Q["csv_round_trip"] = q("select * from runs")
     xml = f""",

@@ -684,3 +684,27 @@ def q_table_equality(spark, sf):
     out = scratch_path(spark, "outputs")
     write_outputs(data, out)
     return combine.frames_difference(data, read_processed(spark, out))
+
+
+@query("table_difference")
+def q_table_difference(spark, sf):
+    """Fingerprints tell which buckets differ; rows are compared there only."""
+    rv = running_view(spark, sf)
+    other = rv.where(F.col("l_orderkey") % 101 != 0).unionByName(rv.where(F.col("l_orderkey") % 97 == 0))
+    return combine.frames_difference(rv, other)
+
+
+@query("output_versions")
+def q_output_versions(spark, sf):
+    """The pair published last, after a later write has died."""
+    from pyspark.errors import PySparkException
+    from stridewise.session import scratch_path
+    from stridewise.sources.exports import read_processed, write_outputs
+    out, rv = scratch_path(spark, "outputs"), running_view(spark, sf)
+    write_outputs(rv, out)
+    write_outputs(rv.where(F.col("distance_km") >= 10), out)
+    try:
+        write_outputs(rv.withColumn("calories", F.raise_error(F.lit("no such value")).cast("double")), out)
+    except PySparkException:
+        return read_processed(spark, out)
+    raise AssertionError("the third write must fail")

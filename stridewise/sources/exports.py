@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stridewise.sources.publish import current_version, publish
 from stridewise.sources.ranges import RANGE_BYTES, first_records, list_files, read_text_records, read_xml_elements
 
 # Vendor column names of the delimited export and their core names.
@@ -169,22 +170,25 @@ OUTPUT_BASENAME = "combined_runs"
 
 
 def write_outputs(df: DataFrame, output_dir: str, basename: str = OUTPUT_BASENAME, csv_single_file: bool = False) -> dict[str, str]:
-    """Parquet (the typed result) and CSV (the control copy, header, text) under ``output_dir``; overwrite.
+    """Parquet (the typed result) and CSV (the control copy, header, text), published together under ``output_dir``.
 
     Both are written from the frame held once, in its order: part files in name order hold the rows in time order.
-    (Read back, Parquet files are packed into tasks by size, which would lose it.)
+    (Read back, Parquet files are packed into tasks by size, which would lose it.) They become current in
+    one step (:mod:`stridewise.sources.publish`); a write that dies leaves the earlier pair readable.
     """
-    paths = {"parquet": os.path.join(output_dir, f"{basename}.parquet"), "csv": os.path.join(output_dir, f"{basename}.csv")}
     held = df.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def csv_copy(path: str) -> None:
+        (held.coalesce(1) if csv_single_file else held).write.option("header", True).csv(path)
+
     try:
-        held.write.mode("overwrite").parquet(paths["parquet"])
-        csv = held.coalesce(1) if csv_single_file else held
-        csv.write.mode("overwrite").option("header", True).csv(paths["csv"])
+        return publish(df.sparkSession, output_dir, basename, {"parquet": lambda path: held.write.parquet(path), "csv": csv_copy},
+                       {"parquet": f"{basename}.parquet", "csv": f"{basename}.csv"})
     finally:
         held.unpersist()
-    return paths
 
 
 def read_processed(spark: SparkSession, output_dir: str, basename: str = OUTPUT_BASENAME) -> DataFrame:
-    """Parquet read-back; a missing output raises ``AnalysisException``."""
-    return spark.read.parquet(os.path.join(output_dir, f"{basename}.parquet"))
+    """The Parquet file published last; a missing output raises ``AnalysisException``."""
+    record = current_version(spark, output_dir, basename)
+    return spark.read.parquet(record["files"]["parquet"] if record else os.path.join(output_dir, f"{basename}.parquet"))

@@ -1,5 +1,6 @@
 import os
 import tempfile
+from pathlib import Path
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -110,6 +111,40 @@ def test_csv_parts_in_name_order_are_in_time_order(spark, tmp_path):
 
     df = spark.range(0, 5000, numPartitions=7).selectExpr("pmod(id * 7919, 5000) as date", "repeat('x', cast(id % 50 as int)) as t").orderBy("date")
     out = write_outputs(df, str(tmp_path))
-    parts = sorted((tmp_path / "combined_runs.csv").glob("part-*.csv"))
+    parts = sorted(Path(out["csv"]).glob("part-*.csv"))
     dates = [int(line.split(",")[0]) for p in parts for line in p.read_text().splitlines()[1:]]
     assert dates == list(range(5000)) and spark.read.parquet(out["parquet"]).count() == 5000
+
+
+def test_a_write_that_dies_leaves_the_earlier_pair(spark, tmp_path):
+    from stridewise.sources.publish import current_version
+
+    out = str(tmp_path)
+    first = exports.write_outputs(spark.range(5).toDF("date"), out)
+    broken = spark.range(5).select((F.lit(1) / (F.col("id") - 3)).alias("date"))
+    with pytest.raises(Exception, match="(?i)divi"):
+        exports.write_outputs(broken, out)
+    assert current_version(spark, out, "combined_runs")["files"] == first
+    assert exports.read_processed(spark, out).count() == 5
+    assert spark.read.option("header", True).csv(first["csv"]).count() == 5
+    second = exports.write_outputs(spark.range(7).toDF("date"), out)
+    assert os.path.isdir(first["parquet"]) and exports.read_processed(spark, out).count() == 7  # readers of the pair before may go on
+    third = exports.write_outputs(spark.range(9).toDF("date"), out)
+    versions = os.listdir(os.path.join(out, "combined_runs.versions"))
+    assert len(versions) == 2 and not os.path.exists(first["parquet"]) and os.path.isdir(second["csv"]) and os.path.isdir(third["csv"])
+    assert not [f for f in os.listdir(out) if f.endswith(".tmp")]
+
+
+def test_the_record_names_both_files_or_neither(spark, tmp_path, monkeypatch):
+    """The Parquet file is written, the CSV copy fails: the new Parquet file must not be read."""
+    from stridewise.sources import publish
+
+    out = str(tmp_path)
+    exports.write_outputs(spark.range(2).toDF("date"), out)
+
+    def fail(path):
+        raise OSError("no room")
+
+    with pytest.raises(OSError):
+        publish.publish(spark, out, "combined_runs", {"parquet": lambda p: spark.range(3).write.parquet(p), "csv": fail}, {"parquet": "x", "csv": "y"})
+    assert exports.read_processed(spark, out).count() == 2
