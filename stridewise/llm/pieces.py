@@ -26,8 +26,8 @@ from .common import session_conf, worker_object
 #: Fixed value: the character that stands for a space inside pieces.
 SPACE = "▁"
 
-#: Encoded cuts and compatible pairs that a worker keeps, and the longest cut that it keeps (characters).
-KEEP_CUTS, KEEP_PAIRS, KEEP_LENGTH = 200_000, 1_000_000, 64
+#: Encoded cuts that a worker keeps in each of two generations, compatible pairs, and the longest cut that it keeps (characters).
+KEEP_CUTS, KEEP_PAIRS, KEEP_LENGTH = 300_000, 1_000_000, 64
 
 #: Positions whose matches are held at once while a long cut is encoded.
 WINDOW = 1 << 14
@@ -84,6 +84,7 @@ class PieceEncoder:
         self.automaton.make_automaton()
         self.pairs: dict[tuple[str, str], bool] = {}
         self.cuts: dict[str, list[int]] = {}
+        self.older: dict[str, list[int]] = {}  # the generation before: what is met again moves back
         # line breaks and the like stand in no piece: texts are cut around them too
         alone = "".join(c for c in "\n\r\t" if not any(c in p for p in self.ids))
         self.cutter = re.compile(f"{SPACE}+[^{SPACE}{alone}]*|[^{SPACE}{alone}]+" + (f"|[{alone}]+" if alone else ""))
@@ -144,6 +145,8 @@ class PieceEncoder:
                 position -= len(piece)
                 place -= 1  # below 0, where the piece taken back was the shortest: its position fails next
                 last = taken[-1][2] if taken and taken[-1][0] >= 0 else None
+        if all(i >= 0 for i, _, _ in taken):
+            return [i for i, _, _ in taken]
         ids: list[int] = []
         for i, _, piece in taken:
             if i >= 0:
@@ -161,10 +164,13 @@ class PieceEncoder:
         for cut in self.cutter.findall(SPACE + text.replace(" ", SPACE)):
             known = cuts.get(cut)
             if known is None:
-                known = self.encode_cut(cut)
+                known = self.older.get(cut)
+                if known is None:
+                    known = self.encode_cut(cut)
                 if len(cut) <= KEEP_LENGTH:
                     if len(cuts) >= KEEP_CUTS:
-                        cuts.clear()
+                        self.older, self.cuts = cuts, {}
+                        cuts = self.cuts
                     cuts[cut] = known
             extend(known)
         return ids
