@@ -2,9 +2,10 @@
 
 Counting goes order by order: an n-gram is counted only where both its
 (n-1)-grams reach the least count, as no phrase is more frequent than a part
-of it. A bitmap of the hashes of frequent (n-1)-grams (bounded, false
-positives only cost work) settles that where the texts are read; tasks count
-exactly by word ids and Spark adds the counts up by phrase.
+of it. A pass counts the n-grams of its order by hash, which makes small rows, and
+those of the order before by their words, where the hash was frequent; a bitmap of
+these hashes (bounded, false positives only cost work) settles that where the texts are
+read. Tasks count by word ids and Spark adds up, so every count used is exact.
 
 The counts are then kept as two streams, one sorted by the first words of a
 phrase (prefix order) and one by its last words (suffix order). Each way to cut a
@@ -89,46 +90,70 @@ def ngram_groups(ids: np.ndarray, starts: np.ndarray, order: int, hashes: np.nda
     return by[edges], np.diff(np.concatenate([edges, [len(by)]]))
 
 
-def _count_held(ids: np.ndarray, vocabulary: Vocabulary, lang: str, order: int, frequent) -> Iterator[pa.RecordBatch]:
-    """Counts of the n-grams of one language in the ids held, and for single words the number of all, under a null phrase."""
+def _count_held(ids: np.ndarray, vocabulary: Vocabulary, lang: str, order: int, most: int, frequent) -> Iterator[pa.RecordBatch]:
+    """One language of the ids held, in the pass of an order: see :func:`ngram_pass`."""
     words, word_hashes = vocabulary.words, np.array(vocabulary.hashes, dtype=np.uint64)
     seed = np.uint64(xxhash.xxh3_64_intdigest(lang.encode("utf-8")))
-    hashes = word_hashes[ids]
     with np.errstate(over="ignore"):
-        rolled = mix64(hashes + seed)
+        if order <= 2:  # words by their ids, without a sort
+            of_word = mix64(word_hashes + seed)
+            counts = np.bincount(ids, minlength=len(words))
+            counts[0] = 0
+            present = np.flatnonzero(counts)
         if order == 1:
-            starts, rolled = np.flatnonzero(ids), rolled[ids != 0]
+            yield _rows(lang, [None], np.zeros(1, dtype=np.int64), np.array([counts.sum()]))
+            yield from _hash_rows(of_word[present], counts[present])
+            return
+        shorter = order - 1
+        ends = np.concatenate([[0], np.cumsum(ids == 0)])
+        if len(ids) < shorter:
+            return
+        hashes = word_hashes[ids]
+        rolled = mix64(hashes + seed)
+        for j in range(1, shorter):
+            rolled = mix64(rolled[:-1] * np.uint64(3) + hashes[j:])
+        ok = marked(frequent, rolled) & (ends[shorter:] == ends[:-shorter])
+        if order == 2:
+            often = present[marked(frequent, of_word[present])]
+            yield from _phrase_rows(lang, words, [often], of_word[often], counts[often])
         else:
-            for j in range(1, order - 1):
-                rolled = mix64(rolled[:-1] * np.uint64(3) + hashes[j:])
-            ends = np.concatenate([[0], np.cumsum(ids == 0)])
-            ok = marked(frequent, rolled)
+            starts = np.flatnonzero(ok)
+            if len(starts):
+                first, found = ngram_groups(ids, starts, shorter, rolled[starts])
+                yield from _phrase_rows(lang, words, [ids[starts[first] + j] for j in range(shorter)], rolled[starts[first]], found)
+        if order <= most:
             starts = np.flatnonzero(ok[:-1] & ok[1:] & (ends[order:] == ends[:-order])) if len(ids) >= order else np.empty(0, dtype=np.int64)
-            rolled = mix64(rolled[starts] * np.uint64(3) + hashes[starts + order - 1])
-    if order == 1 and len(starts):
-        yield _rows(lang, [None], np.zeros(1, dtype=np.int64), np.array([len(starts)]))
-    if not len(starts):
-        return
-    first, counts = ngram_groups(ids, starts, order, rolled)
-    for at in range(0, len(first), GIVEN_ROWS):
-        part = first[at : at + GIVEN_ROWS]
-        columns = [ids[starts[part] + j].tolist() for j in range(order)]
-        phrases = [" ".join([words[i] for i in row]) for row in zip(*columns)]
-        yield _rows(lang, phrases, rolled[part].view(np.int64), counts[at : at + GIVEN_ROWS])
-
-
-def _rows(lang: str, phrases: list, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            if len(starts):
+                yield from _hash_rows(*np.unique(mix64(rolled[starts] * np.uint64(3) + hashes[starts + shorter]), return_counts=True))
+
+
+def _phrase_rows(lang: str, words: list[str], columns: list[np.ndarray], hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(counts), GIVEN_ROWS):
+        part = slice(at, at + GIVEN_ROWS)
+        phrases = [" ".join([words[i] for i in row]) for row in zip(*[c[part].tolist() for c in columns])]
+        yield _rows(lang, phrases, hashes[part].view(np.int64), counts[part])
+
+
+def _hash_rows(hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for at in range(0, len(counts), GIVEN_ROWS):
+        part = slice(at, at + GIVEN_ROWS)
+        yield _rows(None, [None] * len(counts[part]), hashes[part].view(np.int64), counts[part])
+
+
+def _rows(lang: str | None, phrases: list, hashes: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [pa.array([lang] * len(phrases), pa.string()), pa.array(phrases, pa.string()), pa.array(hashes, pa.int64()), pa.array(counts, pa.int64())],
         names=["lang", "phrase", "hash", "f"],
     )
 
 
-def ngram_counts(texts: DataFrame, order: int, least: int, frequent=None) -> DataFrame:
-    """``(lang, phrase, hash, f)`` of the n-grams of ``texts (lang, text)`` found ``least`` times or more.
+def ngram_pass(texts: DataFrame, order: int, most: int, least: int, frequent=None) -> DataFrame:
+    """Counts ``(lang, phrase, hash, f)`` of one pass over ``texts (lang, text)``, those of ``least`` or more.
 
-    ``frequent`` is the broadcast bitmap of the hashes of the frequent (n-1)-grams. Order 1
-    also gives a row a language with a null phrase: the number of all its words.
+    Without language: counts of n-grams of this order (up to ``most``) by hash, whose both (n-1)-grams are in ``frequent``,
+    the broadcast bitmap of the pass before. With language and phrase: exact counts of the (n-1)-grams in that bitmap. Equal hashes of
+    different n-grams only let through phrases whose own count then decides. Order 1 also gives a row a language with
+    neither phrase nor hash: the number of all its words, whatever it is.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,7 +161,7 @@ def ngram_counts(texts: DataFrame, order: int, least: int, frequent=None) -> Dat
 
         def count() -> Iterator[pa.RecordBatch]:
             for lang, arrays in held.items():
-                yield from _count_held(np.concatenate(arrays), vocabulary, lang, order, None if frequent is None else frequent.value)
+                yield from _count_held(np.concatenate(arrays), vocabulary, lang, order, most, None if frequent is None else frequent.value)
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
@@ -152,25 +177,25 @@ def ngram_counts(texts: DataFrame, order: int, least: int, frequent=None) -> Dat
         trim_memory()
 
     parts = texts.select("lang", "text").mapInArrow(run, "lang string, phrase string, hash long, f long")
-    added = parts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"), F.min("hash").alias("hash"))
-    return added.where(F.col("phrase").isNull() | (F.col("f") >= least)).select("lang", "phrase", "hash", "f")
+    added = parts.groupBy("lang", "phrase", "hash").agg(F.sum("f").alias("f"))
+    total = F.col("lang").isNotNull() & F.col("phrase").isNull()
+    return added.where((total & (F.col("f") > 0)) | (F.col("f") >= least))
 
 
 def frequent_phrases(texts: DataFrame, most_words: int, least: int) -> tuple[DataFrame, DataFrame]:
     """Counts ``(lang, words, phrase, f)`` of the phrases of 1 to ``most_words`` words found often enough, and ``(lang, n)``."""
     sc = texts.sparkSession.sparkContext
-    orders, frequent = [], None
-    for order in range(1, most_words + 1):
-        counted = stage(ngram_counts(texts, order, least, frequent), f"ngrams-{order}")
-        orders.append(counted)
+    passes, frequent = [], None
+    for order in range(1, most_words + 2):
+        passes.append(stage(ngram_pass(texts, order, most_words, least, frequent), f"ngrams-{order}"))
         if frequent is not None:
             frequent.destroy()
-        if order < most_words:
-            frequent = sc.broadcast(hash_bitmap(counted.where("phrase is not null"), "hash"))
-    totals = orders[0].where("phrase is null").select("lang", F.col("f").alias("n"))
-    counts = orders[0].where("phrase is not null")
-    for more in orders[1:]:
-        counts = counts.unionByName(more)
+        if order <= most_words:
+            frequent = sc.broadcast(hash_bitmap(passes[-1].where("lang is null"), "hash"))
+    totals = passes[0].where("lang is not null").select("lang", F.col("f").alias("n"))
+    counts = passes[1].where("phrase is not null")
+    for more in passes[2:]:
+        counts = counts.unionByName(more.where("phrase is not null"))
     return counts.select("lang", F.split("phrase", " ").alias("words"), "phrase", "f"), totals
 
 
@@ -228,8 +253,10 @@ def mine_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", most_w
     counts, totals = frequent_phrases(texts, most_words, least)
     n = F.col("n")
     exact = {c: F.col(c).cast("decimal(38,0)") for c in ("a", "l", "r", "n")}
-    # the languages' totals are merged in as well, whatever their number
-    scored = cut_counts(counts).hint("merge").join(totals, "lang").select(
+    # the languages' totals are merged in as well, whatever their number; a language is dealt over several parts
+    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
+    dealt = totals.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(PARTS - 1).cast("long"))))
+    scored = cut_counts(counts).withColumn("part", part).hint("merge").join(dealt, ["lang", "part"]).select(
         "lang", "phrase", "a", "k", "l", "r", n, *[v.alias(f"_{c}") for c, v in exact.items()]
     ).withColumn("score", F.expr("cast(cast(1000 as decimal(38,0)) * _a * _n div (_l * _r) as long)"))
     lowest = scored.groupBy("lang", "phrase", "a", "n").agg(F.min(F.struct("score", "k", "l", "r")).alias("cut"))
@@ -240,7 +267,6 @@ def mine_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", most_w
     )
     # a language is ranked in parts first, so that no task sorts all its phrases
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    part = F.pmod(F.xxhash64("phrase"), F.lit(PARTS))
     first = (
         kept.withColumn("_part", part).withColumn("_place", F.row_number().over(Window.partitionBy("lang", "_part").orderBy(*order)))
         .where(F.col("_place") <= top).drop("_part", "_place")
