@@ -346,6 +346,20 @@ def itext(x: str) -> str:
     return f"cast(cast(floor({x}) as bigint) as varchar)"
 
 
+def _power_exponent(name: str, value: str, rounds: int = 4, reach: int = 5) -> str:
+    """The most likely Yeo-Johnson exponent of an expression over ``runs`` by the same refined grid."""
+    parts, step, centre = [f"x0 as (select {value} as x from runs where {value} is not null)"], 1.0, "select cast(0 as double) as best"
+    for r in range(rounds):
+        parts.append(f"g{r} as (select best + k * cast({step!r} as double) as e, k from ({centre}) c, range({-reach}, {reach + 1}) as t(k))")
+        parts.append(f"""l{r} as (
+  select e, k, -0.5 * count(*) * ln(var_pop(case when x >= 0 then case when e = 0 then ln(1 + x) else (pow(x + 1, e) - 1) / e end
+      else case when e = 2 then -ln(1 - x) else -(pow(1 - x, 2 - e) - 1) / (2 - e) end end))
+    + (e - 1) * sum(sign(x) * ln(1 + abs(x))) as likely from x0, g{r} group by e, k)""")
+        centre = f"select e as best from l{r} order by likely desc, k limit 1"
+        step /= reach
+    return f"(with {', '.join(parts)} select '{name}' as \"column\", round(best, 6) as exponent from ({centre}) c)"
+
+
 def oracle_queries_2() -> dict[str, str]:
     Q: dict[str, str] = {}
     Q["duration_parse"] = f"""with li as (select l_orderkey, l_linenumber,
@@ -491,6 +505,22 @@ other as (select * from runs where l_orderkey % 101 <> 0 union all select * from
     Q["table_difference"] = q("select (select count(*) from (select * from runs except all select * from other)) as missing, "
                               "(select count(*) from (select * from other except all select * from runs)) as extra", other)
     Q["output_versions"] = q("select * from runs where distance_km >= 10")
+    ratio = "case when {x} is not null then coalesce(({x} - {c}) / nullif({s}, 0), 0.0) end"
+    Q["rescale"] = q(
+        f"select {IDS}, round({ratio.format(x='distance_km', c='dm', s='ds')}, 6) as distance_km_std, "
+        f"round({ratio.format(x='calories', c='cm', s='cs')}, 6) as calories_std, "
+        f"round({ratio.format(x='avg_heart_rate', c='lo', s='(hi - lo)')}, 6) as avg_heart_rate_01 "
+        "from runs join st using (source), (select min(avg_heart_rate) as lo, max(avg_heart_rate) as hi from runs) w",
+        """,
+st as (select source, avg(distance_km) as dm, stddev_pop(distance_km) as ds, avg(calories) as cm, stddev_pop(calories) as cs from runs group by source)""")
+    Q["power_exponents"] = q(f"{_power_exponent('distance_km', 'distance_km')} union all "
+                             f"{_power_exponent('difference', '(avg_heart_rate - max_heart_rate)')}")
+    Q["pace_moving_average"] = q(
+        "select source, date, round(sum(s) over w / nullif(cast(sum(n) over w as double), 0), 6) as moving_average, "
+        "cast(sum(n) over w as bigint) as rows_in_span from m "
+        "window w as (partition by source order by date range between interval '28 days' - interval '1 microsecond' preceding and current row)",
+        f""",
+m as (select source, date, sum({PACE}) as s, count({PACE}) as n from runs group by source, date)""")
     Q["parquet_round_trip"] = q("select * from runs")
     Q["csv_round_trip"] = q("select * from runs")
     xml = f""",

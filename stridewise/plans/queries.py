@@ -708,3 +708,28 @@ def q_output_versions(spark, sf):
     except PySparkException:
         return read_processed(spark, out)
     raise AssertionError("the third write must fail")
+
+
+@query("rescale")
+def q_rescale(spark, sf):
+    """Standard scores per source and min-max over the whole frame."""
+    from stridewise.operators.rescale import min_max, standardise
+    d = min_max(standardise(running_view(spark, sf), ["distance_km", "calories"], ["source"]), ["avg_heart_rate"])
+    return d.select(*IDS, *[F.round(c, 6).alias(c) for c in ("distance_km_std", "calories_std", "avg_heart_rate_01")])
+
+
+@query("power_exponents")
+def q_power_exponents(spark, sf):
+    """The Yeo-Johnson exponents of two columns, by a grid refined three times."""
+    from stridewise.operators.rescale import yeo_johnson_exponents
+    d = running_view(spark, sf).select("distance_km", (F.col("avg_heart_rate") - F.col("max_heart_rate")).alias("difference"))
+    found = yeo_johnson_exponents(d, ["distance_km", "difference"], rounds=4)
+    return spark.createDataFrame([(c, round(e, 6)) for c, e in found.items()], "column string, exponent double")
+
+
+@query("pace_moving_average")
+def q_pace_moving_average(spark, sf):
+    """Mean pace over the 28 days up to each day, per source."""
+    from stridewise.operators.moving import moving_average
+    d = combine.add_features(running_view(spark, sf))
+    return moving_average(d, "pace_min_per_km", "date", ["source"], 28).withColumn("moving_average", F.round("moving_average", 6))
