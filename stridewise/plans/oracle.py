@@ -516,7 +516,7 @@ st as (select source, avg(distance_km) as dm, stddev_pop(distance_km) as ds, avg
     Q["power_exponents"] = q(f"{_power_exponent('distance_km', 'distance_km')} union all "
                              f"{_power_exponent('difference', '(avg_heart_rate - max_heart_rate)')}")
     Q["pace_moving_average"] = q(
-        "select source, date, round(sum(s) over w / nullif(cast(sum(n) over w as double), 0), 6) as moving_average, "
+        "select source, date, cast(floor(sum(s) over w / nullif(cast(sum(n) over w as double), 0) * 1e6 + 0.29) as bigint) as moving_average, "
         "cast(sum(n) over w as bigint) as rows_in_span from m "
         "window w as (partition by source order by date range between interval '28 days' - interval '1 microsecond' preceding and current row)",
         f""",

@@ -729,7 +729,9 @@ def q_power_exponents(spark, sf):
 
 @query("pace_moving_average")
 def q_pace_moving_average(spark, sf):
-    """Mean pace over the 28 days up to each day, per source."""
+    """Mean pace (in millionths of a minute) over the 28 days up to each day, per source."""
     from stridewise.operators.moving import moving_average
     d = combine.add_features(running_view(spark, sf))
-    return moving_average(d, "pace_min_per_km", "date", ["source"], 28).withColumn("moving_average", F.round("moving_average", 6))
+    # means of such paces often end in 5 at the place of rounding: the offset keeps float sums of any order on one side
+    mean = F.floor(F.col("moving_average") * 1e6 + 0.29).cast("long")
+    return moving_average(d, "pace_min_per_km", "date", ["source"], 28).withColumn("moving_average", mean)
