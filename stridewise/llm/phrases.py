@@ -37,36 +37,38 @@ PIECE_ENDS, WORD_ENDS = ".,;:!?\n\x0b\x0c\r", " \t"
 END = b"\xff"
 _TABLE = bytes(0xFF if chr(b) in PIECE_ENDS else 0x20 if chr(b) in WORD_ENDS else b for b in range(256))
 
-#: Tokens that a task counts at once, bytes of a text split at once, rows given back at once, parts of a language's ranking.
-HELD_TOKENS, SLICE, GIVEN_ROWS, PARTS = 1_500_000, 1 << 22, 50_000, 64
-
-
-class Vocabulary(dict):
-    """Ids of the words (bytes) met since the last counting; id 0 is the end of a piece."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.words: list[str] = []
-        self.hashes: list[int] = []
-        self[END]  # noqa: B018
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self.words)
-        self.words.append(word.decode("utf-8", "replace"))
-        self.hashes.append(xxhash.xxh3_64_intdigest(word))
-        return number
-
-    def of(self, text: str) -> Iterator[np.ndarray]:
-        """Ids of the words of a text, an end of a piece behind the last; long texts in slices cut between words."""
-        body = text.encode("utf-8").lower().translate(_TABLE)
-        start = 0
-        while start < len(body):
-            stop = body.find(b" ", start + SLICE)
-            stop = len(body) if stop < 0 else stop
-            words = body[start:stop].replace(END, b" \xff ").split()
-            yield np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
-            start = stop
-        yield np.zeros(1, dtype=np.int64)
+#: Bytes of text that a task counts at once, bytes of a text split at once, rows given back at once, parts of a language's ranking.
+HELD_BYTES, SLICE, GIVEN_ROWS, PARTS = 9 << 20, 1 << 22, 50_000, 64
+
+
+def plain_words(text: str) -> Iterator[bytes]:
+    """The words of a text with a space behind each, an end of a piece as a word of its own; long texts in slices cut between words."""
+    body = text.encode("utf-8").lower().translate(_TABLE)
+    start = 0
+    while start < len(body):
+        stop = body.find(b" ", start + SLICE)
+        stop = len(body) if stop < 0 else stop
+        words = body[start:stop].replace(END, b" \xff ").split()
+        if words:
+            yield b" ".join(words) + b" "
+        start = stop
+    yield END + b" "
+
+
+class Words:
+    """Ids of all words of some texts, numbered by Arrow as they come; id 0 is the end of a piece."""
+
+    def __init__(self, parts: list[bytes]) -> None:
+        data = b"".join([END + b" ", *parts])
+        ends = np.flatnonzero(np.frombuffer(data, dtype=np.uint8) == 0x20) + 1
+        offsets = np.concatenate([[0], ends]).astype(np.int32)
+        coded = pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+        self.ids = coded.indices.to_numpy().astype(np.int64)
+        self.words: list[bytes] = coded.dictionary.to_pylist()
+        self.hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, self.words), dtype=np.uint64, count=len(self.words))
+
+    def phrase(self, row) -> str:
+        return b"".join([self.words[i] for i in row])[:-1].decode("utf-8", "replace")
 
 
 def ngram_groups(ids: np.ndarray, starts: np.ndarray, order: int, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -90,14 +92,14 @@ def ngram_groups(ids: np.ndarray, starts: np.ndarray, order: int, hashes: np.nda
     return by[edges], np.diff(np.concatenate([edges, [len(by)]]))
 
 
-def _count_held(ids: np.ndarray, vocabulary: Vocabulary, lang: str, order: int, most: int, frequent) -> Iterator[pa.RecordBatch]:
-    """One language of the ids held, in the pass of an order: see :func:`ngram_pass`."""
-    words, word_hashes = vocabulary.words, np.array(vocabulary.hashes, dtype=np.uint64)
+def _count_held(words: Words, lang: str, order: int, most: int, frequent) -> Iterator[pa.RecordBatch]:
+    """The texts held of one language, in the pass of an order: see :func:`ngram_pass`."""
+    ids, word_hashes = words.ids, words.hashes
     seed = np.uint64(xxhash.xxh3_64_intdigest(lang.encode("utf-8")))
     with np.errstate(over="ignore"):
         if order <= 2:  # words by their ids, without a sort
             of_word = mix64(word_hashes + seed)
-            counts = np.bincount(ids, minlength=len(words))
+            counts = np.bincount(ids, minlength=len(word_hashes))
             counts[0] = 0
             present = np.flatnonzero(counts)
         if order == 1:
@@ -127,10 +129,10 @@ def _count_held(ids: np.ndarray, vocabulary: Vocabulary, lang: str, order: int,
                 yield from _hash_rows(*np.unique(mix64(rolled[starts] * np.uint64(3) + hashes[starts + shorter]), return_counts=True))
 
 
-def _phrase_rows(lang: str, words: list[str], columns: list[np.ndarray], hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+def _phrase_rows(lang: str, words: Words, columns: list[np.ndarray], hashes: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     for at in range(0, len(counts), GIVEN_ROWS):
         part = slice(at, at + GIVEN_ROWS)
-        phrases = [" ".join([words[i] for i in row]) for row in zip(*[c[part].tolist() for c in columns])]
+        phrases = [words.phrase(row) for row in zip(*[c[part].tolist() for c in columns])]
         yield _rows(lang, phrases, hashes[part].view(np.int64), counts[part])
 
 
@@ -157,23 +159,23 @@ def ngram_pass(texts: DataFrame, order: int, most: int, least: int, frequent=Non
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, held, tokens = Vocabulary(), {}, 0
+        held: dict[str, list[bytes]] = {}
+        size = 0
 
         def count() -> Iterator[pa.RecordBatch]:
-            for lang, arrays in held.items():
-                yield from _count_held(np.concatenate(arrays), vocabulary, lang, order, most, None if frequent is None else frequent.value)
+            for lang, parts in held.items():
+                yield from _count_held(Words(parts), lang, order, most, None if frequent is None else frequent.value)
 
         for batch in batches:
             for lang, text in zip(batch.column(0), batch.column(1)):
-                lang = lang.as_py()
-                for ids in vocabulary.of(text.as_py()):
-                    held.setdefault(lang, []).append(ids)
-                    tokens += len(ids)
-                if tokens >= HELD_TOKENS:
+                parts = list(plain_words(text.as_py()))
+                held.setdefault(lang.as_py(), []).extend(parts)
+                size += sum(map(len, parts))
+                if size >= HELD_BYTES:
                     yield from count()
-                    vocabulary, held, tokens = Vocabulary(), {}, 0
+                    held, size = {}, 0
         yield from count()
-        del vocabulary, held
+        held.clear()
         trim_memory()
 
     parts = texts.select("lang", "text").mapInArrow(run, "lang string, phrase string, hash long, f long")
