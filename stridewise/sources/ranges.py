@@ -25,7 +25,8 @@ from pyspark.sql import DataFrame, SparkSession
 # the functions below run in Python workers; shipped by value, executors need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-RANGE_BYTES = 64 << 20
+#: The largest range, and the least size to which ranges of little data are cut so that all cores work.
+RANGE_BYTES, LEAST_RANGE = 64 << 20, 4 << 20
 BLOCK_BYTES = 4 << 20
 #: Rows and bytes in a batch given back to Spark.
 BATCH_ROWS, BATCH_BYTES = 4096, 4 << 20
@@ -49,6 +50,12 @@ def list_files(spark: SparkSession, pattern: str) -> list[tuple[str, int]]:
     return sorted((str(s.getPath().toString()), s.getLen()) for s in found or [] if s.isFile())
 
 
+def range_size(spark: SparkSession, files: Sequence[tuple[str, int]], range_bytes: int) -> int:
+    """``range_bytes``, or less where the files would not give every core a range."""
+    share = sum(size for _, size in files) // max(spark.sparkContext.defaultParallelism, 1) + 1
+    return min(range_bytes, max(share, LEAST_RANGE))
+
+
 def split_files(files: Sequence[tuple[str, int]], range_bytes: int = RANGE_BYTES) -> list[FileRange]:
     return [FileRange(f, size, at, min(at + range_bytes, size)) for f, size in files for at in range(0, size, range_bytes)]
 
@@ -244,7 +251,8 @@ def _record_rows(records, encoding: str):
 
 def read_xml_elements(spark: SparkSession, files: Sequence[tuple[str, int]], tag: str, range_bytes: int = RANGE_BYTES, encoding: str = "utf-8") -> DataFrame:
     """``(file, start, record)``: the text of every outermost ``<tag>`` element of the files (an encoding that holds ASCII as it is)."""
-    tasks = pack_ranges(split_files(files, range_bytes), range_bytes)
+    size = range_size(spark, files, range_bytes)
+    tasks = pack_ranges(split_files(files, size), size)
     return _per_task(spark, tasks, _record_rows(lambda r: xml_elements(r, tag), encoding), RECORD_SCHEMA)
 
 
@@ -274,8 +282,9 @@ def quoted_starts(spark: SparkSession, ranges: Sequence[FileRange], quote: bytes
 def read_text_records(spark: SparkSession, files: Sequence[tuple[str, int]], quote: str = '"', range_bytes: int = RANGE_BYTES, encoding: str = "utf-8") -> DataFrame:
     """``(file, start, record)``: every record of the files without its line end; quoted line breaks stay inside (no ``quote``: lines)."""
     mark = quote.encode(encoding) if quote else b""
-    ranges = quoted_starts(spark, split_files(files, range_bytes), mark, range_bytes)
-    return _per_task(spark, pack_ranges(ranges, range_bytes), _record_rows(lambda r: text_records(r, mark), encoding), RECORD_SCHEMA)
+    size = range_size(spark, files, range_bytes)
+    ranges = quoted_starts(spark, split_files(files, size), mark, size)
+    return _per_task(spark, pack_ranges(ranges, size), _record_rows(lambda r: text_records(r, mark), encoding), RECORD_SCHEMA)
 
 
 def first_records(spark: SparkSession, files: Sequence[tuple[str, int]], quote: str = '"', encoding: str = "utf-8", files_a_task: int = 64) -> dict[str, str]:
