@@ -65,7 +65,7 @@ def test_equals_brute_force(spark, seed, covered):
 
 def test_small_batches_slices_and_a_crowded_bitmap(spark, monkeypatch):
     rows = [(None if lang is None else str(lang), text) for lang, text in random_rows(4)]
-    monkeypatch.setattr(phrases, "HELD_TOKENS", 50)
+    monkeypatch.setattr(phrases, "HELD_BYTES", 300)
     monkeypatch.setattr(phrases, "SLICE", 16)
     monkeypatch.setattr(phrases, "GIVEN_ROWS", 7)
     # every bit set: all n-grams are counted, none is wrong
