@@ -82,9 +82,16 @@ class _Bytes:
             fs, path = pafs.LocalFileSystem(), r.file
         self.file = fs.open_input_file(path)
         self.size, self.block, self.base, self.buffer = r.size, block, position, b""
+        self.needed = position
+
+    def done(self, position: int) -> None:
+        """What stands before ``position`` may go when the next block is read."""
+        self.needed = max(self.needed, position)
 
     def more(self) -> bool:
         """Reads a block on; false at the end of the file."""
+        if self.needed > self.base:
+            self.drop(self.needed)
         at = self.base + len(self.buffer)
         got = self.file.read_at(min(self.block, self.size - at), at) if at < self.size else b""
         self.buffer += got
@@ -102,10 +109,10 @@ class _Bytes:
         while True:
             found = pattern.search(self.buffer, position - self.base)
             # a match at the end of what is read might grow or be another one
-            if found and (found.end() < len(self.buffer) or not self.more()):
-                begin = self.base + found.start()
-                return None if limit is not None and begin >= limit else (begin, self.base + found.end(), found.group())
             if found:
+                begin, end = self.base + found.start(), self.base + found.end()  # reading on moves the base
+                if found.end() < len(self.buffer) or not self.more():
+                    return None if limit is not None and begin >= limit else (begin, end, found.group())
                 continue
             position = max(position, self.base + len(self.buffer) - longest)
             if limit is not None:
@@ -148,7 +155,7 @@ def xml_elements(r: FileRange, tag: str, block: int = BLOCK_BYTES) -> Iterator[t
                 return
             position = end[1]
             continue
-        data.drop(begin)
+        data.done(begin)
         position, closed = start_tag(position)
         depth = 0 if closed else 1
         while depth:
@@ -167,7 +174,7 @@ def xml_elements(r: FileRange, tag: str, block: int = BLOCK_BYTES) -> Iterator[t
                 position, closed = start_tag(position)
                 depth += not closed
         yield begin, data.buffer[begin - data.base : position - data.base]
-        data.drop(position)
+        data.done(position)
 
 
 def _lines(r: FileRange, position: int, block: int) -> Iterator[tuple[int, bytes]]:
@@ -263,10 +270,9 @@ def quoted_starts(spark: SparkSession, ranges: Sequence[FileRange], quote: bytes
         return list(ranges)
 
     def count(r: FileRange) -> Iterator[pa.RecordBatch]:
-        data, quotes = _Bytes(r, r.start, BLOCK_BYTES), 0
-        while data.base < r.stop and data.more():
-            quotes += data.buffer[: r.stop - data.base].count(quote)
-            data.drop(data.base + len(data.buffer))
+        file, quotes = _Bytes(r, r.start, BLOCK_BYTES).file, 0
+        for at in range(r.start, r.stop, BLOCK_BYTES):
+            quotes += file.read_at(min(BLOCK_BYTES, r.stop - at), at).count(quote)
         yield pa.RecordBatch.from_arrays([pa.array([r.file]), pa.array([r.start], pa.int64()), pa.array([quotes], pa.int64())], names=["file", "start", "quotes"])
 
     counted = _per_task(spark, pack_ranges(parted, range_bytes), count, "file string, start long, quotes long").collect()

@@ -56,6 +56,14 @@ def test_xml_elements_of_any_ranges(tmp_path, seed):
         assert [x for x in found if x in whole] == whole and all(b"</Workout>" not in x[1][:9] for x in found)
 
 
+@pytest.mark.parametrize("block", [1, 5, 64, 4096])
+def test_an_element_may_end_with_the_file(tmp_path, block):
+    text = b"<Workout a='1'><S/></Workout><Workout b='2'></Workout>"
+    (tmp_path / "f.xml").write_bytes(text)
+    found = [x for _, x in xml_elements(FileRange(str(tmp_path / "f.xml"), len(text), 0, len(text)), "Workout", block)]
+    assert b"".join(found) == text and len(found) == 2
+
+
 def test_broken_xml_raises(tmp_path):
     (tmp_path / "f.xml").write_text("<H><Workout a='1'><S/>")
     with pytest.raises(ValueError, match="does not end"):
