@@ -35,7 +35,6 @@ class CleaningConfig:
     pace_max: float = 10.5
     hr_min: float = 80.0
     hr_max: float = 210.0
-    hr_max_absolute: float = 230.0
     hr_consistency_tolerance: float = 3.0
     hr_error_above: float = 300.0
     calories_min: float = 50.0
@@ -45,6 +44,8 @@ class CleaningConfig:
     hr_quantiles: int = 4
     meters_threshold: float = 200.0
     minutes_median_range: tuple[float, float] = (10.0, 200.0)
+    #: XML records that state their units are converted by them; the heuristics judge the others.
+    declared_units: bool = False
     date_impute_hours: int = 12
     status_good: float = 0.95
     status_warning: float = 0.85

@@ -111,12 +111,36 @@ def clean_garmin_typing(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), s
 APPLE_RENAMES = {"distance": "distance_km", "duration": "duration_sec"}
 
 
+# Names of units and their size in seconds, kilometres and kilocalories.
+DURATION_UNITS = {"s": 1.0, "sec": 1.0, "min": 60.0, "h": 3600.0, "hr": 3600.0}
+DISTANCE_UNITS = {"km": 1.0, "m": 0.001, "cm": 0.00001, "mi": 1.609344, "yd": 0.0009144, "ft": 0.0003048}
+ENERGY_UNITS = {"kcal": 1.0, "Cal": 1.0, "cal": 0.001, "kJ": 1 / 4.184, "J": 0.001 / 4.184}
+#: Column of the stated unit and the sizes of its units, by value column.
+DECLARED = {
+    "duration_sec": ("duration_unit", DURATION_UNITS),
+    "distance_km": ("distance_unit", DISTANCE_UNITS),
+    "calories": ("calories_unit", ENERGY_UNITS),
+}
+
+
+def split_declared(df: DataFrame, col: str, unit: str, sizes: dict[str, float], out: str) -> DataFrame:
+    """Values whose record states a known unit, converted, as ``out``; ``col`` keeps only the values without one.
+
+    Unit names compare as written (``cal`` is not ``Cal``), spaces around them aside. A unit that is unknown is as good as none.
+    """
+    size = F.try_element_at(F.create_map(*[F.lit(x) for kv in sizes.items() for x in kv]), F.trim(F.coalesce(F.col(unit), F.lit(""))))
+    return df.withColumns({out: F.col(col) * size, col: F.when(size.isNull(), F.col(col))})
+
+
 def clean_apple_typing(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), scope=None, extra: Sequence[str] = ()) -> DataFrame:
     """Neutral XML import columns to the typed core schema.
 
     Offsets are dropped (wall-clock time kept); a median duration within the
     minute range means minutes (x 60); any distance above the threshold means
     metres (/ 1000). Missing columns become null.
+
+    Where a column of declared units is there (``duration_unit``, ``distance_unit``, ``calories_unit``), a record that states a
+    known unit is converted by it and has no part in the heuristics, which then look at, and change, the other records only.
     """
     d = harmonize_names(df, APPLE_RENAMES)
     d = d.withColumns({
@@ -124,9 +148,13 @@ def clean_apple_typing(df: DataFrame, cfg: CleaningConfig = CleaningConfig(), sc
         "export_date": exprs.parse_date("export_date") if "export_date" in d.columns else F.lit(None).cast("timestamp_ntz"),
     })
     d = d.withColumns({c: exprs.to_double(c) if c in d.columns else F.lit(None).cast("double") for c in NUMERIC_COLUMNS})
+    stated = [c for c, (unit, _) in DECLARED.items() if unit in d.columns]
+    for c in stated:
+        d = split_declared(d, c, *DECLARED[c], out=f"_declared_{c}")
     lo, hi = cfg.minutes_median_range
     d = scale_if_median_within(d, "duration_sec", lo, hi, 60.0, scope)
     d = scale_if_max_above(d, "distance_km", cfg.meters_threshold, 1000.0, scope)
+    d = d.withColumns({c: F.coalesce(F.col(f"_declared_{c}"), F.col(c)) for c in stated})
     return reduce_to_columns(d, [*CORE_COLUMNS, *extra], CORE_TYPES).select(
         *[F.col(c).cast(CORE_TYPES[c]).alias(c) for c in CORE_COLUMNS], *extra
     )

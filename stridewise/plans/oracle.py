@@ -538,6 +538,36 @@ xw as (select 'apple' as source, strftime(export_date, '%Y-%m-%d') as export_dat
     Q["xml_single_file"] = Q["xml_workouts"]
     Q["import_statistics"] = q("select count(*) as workouts, count_if(distance <> '') as with_distance, "
                                "count_if(duration <> '') as with_duration from xw", xml)
+    mi, kj = "cast('1.609344' as double)", f"cast('{1 / 4.184!r}' as double)"
+    Q["declared_units"] = q(
+        "select workout_id, distance * case distance_unit when 'km' then 1 when 'm' then cast('0.001' as double) when 'mi' then " + mi + " else "
+        "(case when (select max(distance) > 200 from du where distance_unit is null) then cast('0.001' as double) else 1 end) end as distance_km, "
+        "duration * case duration_unit when 's' then 1 when 'min' then 60 when 'hr' then 3600 else "
+        "(case when (select median(duration) between 10 and 200 from du where duration_unit is null) then 60 else 1 end) end as duration_sec, "
+        "calories * case when kj then " + kj + " else 1 end as calories from du", xml + """,
+du as (select workout_id, try_cast(distance as double) as distance, try_cast(duration as double) as duration, try_cast(calories as double) as calories,
+         case when split_part(workout_id, '-', 2) = '2' then 'm' else
+           case cast(split_part(workout_id, '-', 1) as bigint) % 4 when 0 then 'km' when 1 then 'mi' end end as distance_unit,
+         case split_part(workout_id, '-', 2) when '1' then 's' when '2' then 'min' when '3' then 'hr' end as duration_unit,
+         cast(split_part(workout_id, '-', 1) as bigint) % 3 = 1 as kj from xw)""")
+    routes = """,
+ev as (select *, case user_id % 3 when 0 then 'alpha' when 1 then 'beta' else 'gamma' end as source, cast(ts as date) as d,
+         case user_id % 3 when 0 then 120 when 1 then -210 else 345 end as minutes from events where ts is not null and user_id is not null),
+st as (select source, d, min(ts) + to_minutes(cast(any_value(minutes) as integer)) as begin, day(d) % 10 = 0 as late from ev group by source, d),
+rp as (select ev.source, cast('2025-08-22' as timestamp) as export_date,
+         date_trunc('minute', case when late then begin + interval '7 minutes' else begin end) as named_start, ts as time,
+         (user_id % 18001) / cast(100 as double) - 90 as lat, (event_id % 36001) / cast(100 as double) - 180 as lon, value as elevation,
+         case when event_id % 5 <> 0 then (event_id % 700) / cast(100 as double) end as speed,
+         case when not late then ts + to_minutes(cast(minutes as integer)) end as local_time
+       from ev join st on ev.source = st.source and ev.d = st.d)"""
+    Q["route_points"] = q("select * from rp", routes)
+    Q["route_workouts"] = q(
+        f"select {IDS}, wk.source, count(*) as n_points, min(local_time) as first_point, max(local_time) as last_point, "
+        "max(elevation) as highest, count(speed) as with_speed from wk join rp on wk.source = rp.source and local_time >= wk.begin and local_time < wk.stop "
+        f"group by {IDS}, wk.source", routes + f""",
+wk0 as (select {IDS}, source, timestamp '2024-01-01' + to_seconds((l_orderkey * 977 + l_linenumber * 7919 + copy_no * 13) % 2592000) as begin,
+          floor(duration_sec / 60) as secs from rv),
+wk as (select *, begin + to_seconds(secs) as stop from wk0)""")
     return Q
 
 

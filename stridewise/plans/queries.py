@@ -550,8 +550,8 @@ def q_csv_round_trip(spark, sf):
     return spark.read.schema(rv.schema).option("header", True).csv(paths["csv"])
 
 
-def _write_xml_exports(spark, sf, where: F.Column | None = None, files: int = 8) -> str:
-    """Workouts of the run view written as XML exports, one folder per export date."""
+def _write_xml_exports(spark, sf, where: F.Column | None = None, files: int = 8, units: bool = False) -> str:
+    """Workouts of the run view written as XML exports, one folder per export date; with ``units`` many state their units."""
     from stridewise.session import scratch_path
     from stridewise.sources.exports import ACTIVITY_PREFIX, DISTANCE_TYPES, ENERGY_TYPE, HEART_RATE_TYPE
     rv = run_view(spark, sf)
@@ -564,23 +564,28 @@ def _write_xml_exports(spark, sf, where: F.Column | None = None, files: int = 8)
     start = F.concat(fmt_ntz(F.col("date") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), secs), "yyyy-MM-dd HH:mm:ss"), F.lit(" +0200"))
     null_s = F.lit(None).cast("string")
 
-    def stat(kind, total=null_s, avg=null_s, mx=null_s):
-        return F.struct(F.lit(kind).alias("_type"), total.alias("_sum"), avg.alias("_average"), mx.alias("_maximum"))
+    def stat(kind, total=null_s, avg=null_s, mx=null_s, unit=null_s):
+        kind = F.lit(kind) if isinstance(kind, str) else kind
+        return F.struct(kind.alias("_type"), total.alias("_sum"), avg.alias("_average"), mx.alias("_maximum"), *([unit.alias("_unit")] if units else []))
 
+    ok = F.col("l_orderkey")
+    km = F.when(ok % 4 == 0, "km").when(ok % 4 == 1, " mi ").when(ok % 4 == 2, "parsec")
+    kcal = F.when(ok % 3 == 0, "kcal").when(ok % 3 == 1, "kJ")
     dist_type = F.when(F.col("activity_type") == "Cycling", F.lit(DISTANCE_TYPES[1])).otherwise(F.lit(DISTANCE_TYPES[0]))
-    dist_stat = F.struct(dist_type.alias("_type"), _int_text("distance_km").alias("_sum"), null_s.alias("_average"), null_s.alias("_maximum"))
+    dist_stat = stat(dist_type, _int_text("distance_km"), unit=km)
     stats = F.array(
         F.when(F.col("distance_km").isNotNull(), dist_stat),
-        F.when(F.col("calories").isNotNull(), stat(ENERGY_TYPE, _int_text("calories"))),
+        F.when(F.col("calories").isNotNull(), stat(ENERGY_TYPE, _int_text("calories"), unit=kcal)),
         F.when(ln == 3, stat("HKQuantityTypeIdentifierStepCount", F.col("l_orderkey").cast("string"))),
         F.when(F.col("avg_heart_rate").isNotNull(), stat(HEART_RATE_TYPE, null_s, _int_text("avg_heart_rate"), _int_text("max_heart_rate"))),
         F.when((ln == 2) & F.col("distance_km").isNotNull(),
-               stat(DISTANCE_TYPES[0], (F.floor(F.col("distance_km")) + 1).cast("string"))),
+               stat(DISTANCE_TYPES[0], (F.floor(F.col("distance_km")) + 1).cast("string"), unit=F.lit("m"))),
     )
     w = rv.select(
         "export_date",
         F.concat(F.lit(ACTIVITY_PREFIX), F.regexp_replace("activity_type", " ", "")).alias("_workoutActivityType"),
         F.when(s.isNull(), null_s).otherwise(F.concat(F.floor(s / 60).cast("string"), F.lit(".5"))).alias("_duration"),
+        *([F.when(ln == 1, "s").when(ln == 2, "min").when(ln == 3, "hr").alias("_durationUnit")] if units else []),
         start.alias("_startDate"),
         F.concat_ws("-", *[F.col(c).cast("string") for c in IDS]).alias("_id"),
         F.filter(stats, lambda x: x.isNotNull()).alias("WorkoutStatistics"),
@@ -735,3 +740,90 @@ def q_pace_moving_average(spark, sf):
     # means of such paces often end in 5 at the place of rounding: the offset keeps float sums of any order on one side
     mean = F.floor(F.col("moving_average") * 1e6 + 0.29).cast("long")
     return moving_average(d, "pace_min_per_km", "date", ["source"], 28).withColumn("moving_average", mean)
+
+
+@query("declared_units")
+def q_declared_units(spark, sf):
+    """Exports in which many workouts state their units, typed by them; the heuristics judge the others."""
+    from pyspark.sql import types as T
+    from stridewise.operators.typing import clean_apple_typing
+    from stridewise.sources import exports
+    root = _write_xml_exports(spark, sf, units=True)
+    schema = T.StructType(exports.UNIT_WORKOUT_SCHEMA.fields + [T.StructField("_id", T.StringType())])
+    raw = exports.import_apple_workouts(spark, f"{root}/*/*.xml", schema=schema, extra=["_id"], units=True)
+    d = clean_apple_typing(write_table(raw, "apple-units"), CFG, extra=["_id"])
+    return d.select(F.col("_id").alias("workout_id"), "distance_km", "duration_sec", "calories")
+
+
+# --- routes --------------------------------------------------------------------
+
+#: Sources of the routes and the minutes by which their clocks differ from UTC.
+ROUTE_CLOCKS = {"alpha": 120, "beta": -210, "gamma": 345}
+
+
+def _write_routes(spark, sf) -> str:
+    """``events`` written as GPX files: one route a source (the user modulo three) and UTC day, named by its wall-clock start.
+
+    Names of days 10, 20 and 30 are seven minutes late.
+    """
+    from stridewise.session import scratch_path
+    from stridewise.sources.tables import table
+    ev = table(spark, sf, "events").where("ts is not null and user_id is not null")
+    names = list(ROUTE_CLOCKS)
+    group = (F.col("user_id") % 3).cast("int")
+    ev = ev.select("event_id", "user_id", "value", F.col("ts").cast("timestamp_ntz").alias("ts"),
+                   F.element_at(F.array(*[F.lit(n) for n in names]), group + 1).alias("source"),
+                   F.element_at(F.array(*[F.lit(ROUTE_CLOCKS[n]) for n in names]), group + 1).alias("minutes"))
+    ev = ev.withColumn("day", F.to_date("ts"))
+    late = F.when(F.dayofmonth("day") % 10 == 0, 7).otherwise(0)
+    starts = ev.groupBy("source", "day").agg((F.min("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.first("minutes") + late)).alias("begin"))
+    hour = F.hour("begin")
+    clock = F.concat(((hour + 11) % 12 + 1).cast("string"), F.lit("."), _p2(F.minute("begin")), F.when(hour < 12, "am").otherwise("pm"))
+    starts = starts.select("source", "day", F.concat(F.lit("route_"), fmt_ntz("begin", "yyyy-MM-dd"), F.lit("_"), clock).alias("route"))
+    lat, lon = (F.col("user_id") % 18001) / F.lit(100.0) - 90, (F.col("event_id") % 36001) / F.lit(100.0) - 180
+    speed = F.when(F.col("event_id") % 5 != 0, F.concat(
+        F.lit("<extensions><speed>"), ((F.col("event_id") % 700) / F.lit(100.0)).cast("string"), F.lit("</speed><course>0</course></extensions>")))
+    point = F.concat(
+        F.lit('<trkpt lat="'), lat.cast("string"), F.lit('" lon="'), lon.cast("string"), F.lit('">'),
+        F.coalesce(F.concat(F.lit("<ele>"), F.col("value").cast("string"), F.lit("</ele>")), F.lit("")),
+        F.lit("<time>"), F.replace(F.col("ts").cast("string"), F.lit(" "), F.lit("T")), F.lit("Z</time>"),
+        F.coalesce(speed, F.lit("")), F.lit("</trkpt>"))
+    rows = ev.select("source", "day", F.lit(1).alias("part"), "ts", point.alias("value"))
+    no_time = F.lit(None).cast("timestamp_ntz")
+    frame = starts.select("source", "day", F.explode(F.array(
+        F.struct(F.lit(0).alias("part"), F.lit('<?xml version="1.0"?>\n<gpx version="1.1"><trk><trkseg>').alias("value")),
+        F.struct(F.lit(2).alias("part"), F.lit("</trkseg></trk></gpx>").alias("value")))).alias("f"))
+    rows = rows.unionByName(frame.select("source", "day", "f.part", no_time.alias("ts"), "f.value"))
+    root = f"{scratch_path(spark, 'routes')}/2025-08-22/workout-routes"
+    rows = rows.join(starts, ["source", "day"]).repartition("source", "route").sortWithinPartitions("source", "route", "part", "ts")
+    rows.select("source", "route", "value").write.partitionBy("source", "route").text(root)
+    return root
+
+
+def _route_points(spark, sf) -> DataFrame:
+    from functools import reduce
+
+    from stridewise.sources.routes import import_route_points, with_local_time
+    root = _write_routes(spark, sf)
+    read = [import_route_points(spark, f"{root}/source={n}/*/*.txt", n) for n in ROUTE_CLOCKS]
+    return with_local_time(write_table(reduce(DataFrame.unionByName, read), "route-points"))
+
+
+@query("route_points")
+def q_route_points(spark, sf):
+    """The points of GPX files, with the wall-clock time that the files' names tell."""
+    return _route_points(spark, sf).drop("route", "position")
+
+
+@query("route_workouts")
+def q_route_workouts(spark, sf):
+    """Workouts with the points recorded while they went on: the 1:n join over date and time of day."""
+    from stridewise.sources.routes import workout_routes
+    seconds = (F.col("l_orderkey") * 977 + F.col("l_linenumber") * 7919 + F.col("copy_no") * 13) % 2_592_000
+    workouts = run_view(spark, sf).select(
+        *IDS, "source", (F.lit("2024-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)).alias("date"),
+        F.floor(F.col("duration_sec") / 60).cast("double").alias("duration_sec"))
+    pairs = workout_routes(_route_points(spark, sf), workouts)
+    return pairs.groupBy(*IDS, "source").agg(
+        F.count(F.lit(1)).alias("n_points"), F.min("local_time").alias("first_point"), F.max("local_time").alias("last_point"),
+        F.max("elevation").alias("highest"), F.count("speed").alias("with_speed"))

@@ -74,7 +74,7 @@ def prepare_apple(spark: SparkSession, pattern: str, cfg: CleaningConfig, materi
     files = list_files(spark, pattern)
     if not files:
         return None
-    raw, seen = _import_counts(import_apple_workouts(spark, pattern, position=True), "distance", "duration")
+    raw, seen = _import_counts(import_apple_workouts(spark, pattern, position=True, units=cfg.declared_units), "distance", "duration")
     runs = filter_running_apple(raw)
     if materialize:
         runs = materialize_table(runs, "apple-raw")

@@ -45,6 +45,16 @@ WORKOUT_SCHEMA = T.StructType([
     ]))),
 ])
 
+# The same elements with the units that they state.
+UNIT_WORKOUT_SCHEMA = T.StructType([
+    *[f for f in WORKOUT_SCHEMA.fields if f.name != "WorkoutStatistics"],
+    T.StructField("_durationUnit", T.StringType()),
+    T.StructField("WorkoutStatistics", T.ArrayType(T.StructType([
+        *WORKOUT_SCHEMA["WorkoutStatistics"].dataType.elementType.fields,
+        T.StructField("_unit", T.StringType()),
+    ]))),
+])
+
 
 @dataclass(frozen=True)
 class CsvDialect:
@@ -123,9 +133,18 @@ def _last_stat(stats: F.Column, types: Sequence[str], field: str) -> F.Column:
 
 
 def workouts_from_xml_frame(raw: DataFrame, export_date: F.Column, source: str = "apple",
-                            extra: Sequence[str] = ()) -> DataFrame:
-    """Flatten parsed ``Workout`` rows into the neutral import columns (all text); ``extra`` pass through."""
-    st = F.coalesce(F.col("WorkoutStatistics"), F.array().cast(WORKOUT_SCHEMA["WorkoutStatistics"].dataType))
+                            extra: Sequence[str] = (), units: bool = False) -> DataFrame:
+    """Flatten parsed ``Workout`` rows into the neutral import columns (all text); ``extra`` pass through.
+
+    With ``units`` (rows of :data:`UNIT_WORKOUT_SCHEMA`) also ``duration_unit``, ``distance_unit`` and ``calories_unit``: what the
+    workout and the statistics its values come from state, empty text if nothing.
+    """
+    st = F.coalesce(F.col("WorkoutStatistics"), F.array().cast(raw.schema["WorkoutStatistics"].dataType))
+    stated = [
+        F.coalesce(F.col("_durationUnit"), F.lit("")).alias("duration_unit"),
+        _last_stat(st, DISTANCE_TYPES, "_unit").alias("distance_unit"),
+        _last_stat(st, [ENERGY_TYPE], "_unit").alias("calories_unit"),
+    ] if units else []
     return raw.select(
         F.lit(source).alias("source"),
         export_date.alias("export_date"),
@@ -136,22 +155,24 @@ def workouts_from_xml_frame(raw: DataFrame, export_date: F.Column, source: str =
         _last_stat(st, [ENERGY_TYPE], "_sum").alias("calories"),
         _last_stat(st, [HEART_RATE_TYPE], "_average").alias("avg_heart_rate"),
         _last_stat(st, [HEART_RATE_TYPE], "_maximum").alias("max_heart_rate"),
+        *stated,
         *extra,
     )
 
 
-def import_apple_workouts(spark: SparkSession, pattern: str, source: str = "apple", schema: T.StructType = WORKOUT_SCHEMA,
-                          extra: Sequence[str] = (), position: bool = False, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def import_apple_workouts(spark: SparkSession, pattern: str, source: str = "apple", schema: T.StructType | None = None,
+                          extra: Sequence[str] = (), position: bool = False, range_bytes: int = RANGE_BYTES, units: bool = False) -> DataFrame:
     """One row per ``<Workout>`` of all XML exports matching ``pattern``.
 
     A file is read in ranges of ``range_bytes`` by as many tasks: each seeks to the next ``<Workout`` and gives the elements
     that start in its range, whose text Spark parses with the explicit schema, which leaves out all that the import does
-    not use. No file: an empty frame.
+    not use. With ``units`` the declared units come too (:func:`workouts_from_xml_frame`). No file: an empty frame.
     """
+    schema = schema or (UNIT_WORKOUT_SCHEMA if units else WORKOUT_SCHEMA)
     elements = read_xml_elements(spark, list_files(spark, pattern), "Workout", range_bytes)
     raw = elements.select(F.from_xml("record", schema).alias("_w"), "file", *([_position().alias(POSITION)] if position else []))
     raw = raw.select("_w.*", F.col("file").alias("_file"), *([POSITION] if position else []))
-    return workouts_from_xml_frame(raw, export_folder("_file"), source, [*extra, *([POSITION] if position else [])])
+    return workouts_from_xml_frame(raw, export_folder("_file"), source, [*extra, *([POSITION] if position else [])], units)
 
 
 def import_statistics(df: DataFrame, distance: str = "distance", duration: str = "duration", file_col: str | None = None) -> DataFrame:
