@@ -49,13 +49,14 @@ class WordEncoder:
     The tokenizer drops white space and no token spans it, so the ids of a
     text are those of its words one after another. It lower-cases, and parts
     a run of letters from the marks behind it, so the forms of a word share
-    one entry; entries are kept, up to ``CACHED_WORDS``. Words of letters only
+    one entry; entries are kept, up to ``cached_words``. Words of letters only
     are encoded together as one string, whose ids are parted at word ends.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cached_words: int = CACHED_WORDS):
         from tokenizers import Tokenizer
 
+        self.cached_words = cached_words
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[str, bytes] = {"": b""}
         vocabulary = self.tokenizer.get_vocab()
@@ -85,7 +86,7 @@ class WordEncoder:
         core, tail = core.to_pylist(), tail.to_pylist()
         wanted = {*core, *tail}
         missing = wanted.difference(self.known)
-        if missing and len(self.known) > CACHED_WORDS:
+        if missing and len(self.known) > self.cached_words:
             self.known = {"": b""}
             missing = wanted.difference(self.known)
         letters = [w for w, ok in zip(core, plain.to_pylist(), strict=True) if ok and w in missing]
@@ -118,15 +119,19 @@ def text_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
             yield batch.slice(a, b - a)
 
 
-def pieces(docs: DataFrame, path: str | None = None, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """One row a piece; every piece but the last of a document has ``window`` ids. A null text is empty: its end id only."""
+def pieces(docs: DataFrame, path: str | None = None, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, end_id: int = END_ID,
+           cached_words: int = CACHED_WORDS) -> DataFrame:
+    """One row a piece; every piece but the last of a document has ``window`` ids. A null text is empty: its end id only.
+
+    A Python worker keeps the ids of up to ``cached_words`` words (and those of one batch) between its tasks: more memory, less encoding.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         file = path or tokenizer_path()
-        encoder = worker_object(f"encoder {file}", lambda: WordEncoder(file))
+        encoder = worker_object(f"encoder {file} {cached_words}", lambda: WordEncoder(file, cached_words))
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
             for part in text_slices(batch, 1):
@@ -223,9 +228,10 @@ def pack(cut_pieces: DataFrame, window: int = WINDOW, pieces_per_block: int = PI
     return cut_pieces.withColumn("block", block).drop("salt").groupBy("block").applyInPandas(pack_block, out)
 
 
-def pack_documents(docs: DataFrame, path: str | None = None, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str | None = None, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW,
+                   cached_words: int = CACHED_WORDS) -> DataFrame:
     """Pieces of all documents with their place in the packed sequences (see :func:`pieces`, :func:`pack`)."""
-    return pack(pieces(docs, path, text, doc_id, window), window)
+    return pack(pieces(docs, path, text, doc_id, window, cached_words=cached_words), window)
 
 
 def packing_query(spark, sf_dir: str) -> DataFrame:
