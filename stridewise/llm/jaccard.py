@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..operators.joins import lookup_join
 from .common import connected_components, drop_stage, stage, trim_memory
 from .shingles import WordHashes, least_difference, mix64, parity, set_key, shingle_set
 
@@ -34,7 +35,10 @@ PAIR_GROUPS = 32
 
 #: Signatures with more classes than this are compared in blocks instead of as rows of pairs.
 MOST_PAIRED = 64
+#: Classes in a block on average at most; they are dealt to blocks by hash.
 BLOCK = 256
+#: Signatures above this frequency level (some 2**level sets) are ordered in parts of about that many sets.
+PART_LEVEL = 8
 
 #: The largest bitmap of hashes that is broadcast: 2**MOST_BITS bits.
 MOST_BITS = 27
@@ -117,14 +121,19 @@ def frequency_levels(profiled: DataFrame) -> np.ndarray:
 
 def signatures(tokens: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarray:
     """Signatures of one set (sorted distinct hashes) for a Jaccard threshold in per cent."""
+    return levelled_signatures(tokens, levels, percent)[0]
+
+
+def levelled_signatures(tokens: np.ndarray, levels: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The signatures of a set and the frequency level of each: that of its token, of a pair the lower one."""
     n = len(tokens)
     need = n - -(-percent * n // 100) + 1
     level = levels[(tokens & np.uint64(len(levels) - 1)).astype(np.int64)]
     rare = tokens[level == 0]
     if len(rare) >= need:
-        return mix64(rare[:need])
+        return mix64(rare[:need]), np.zeros(need, dtype=np.uint8)
     order = np.argsort(level, kind="stable")
-    frequent = tokens[order][len(rare) :]
+    frequent, its_level = tokens[order][len(rare) :], level[order][len(rare) :]
     group = (mix64(frequent) % np.uint64(PAIR_GROUPS)).astype(np.int64)
     first = np.zeros(len(frequent), dtype=bool)
     first[np.unique(group, return_index=True)[1]] = True
@@ -132,49 +141,68 @@ def signatures(tokens: np.ndarray, levels: np.ndarray, percent: int) -> np.ndarr
     enough = np.flatnonzero(reached >= need)
     complete = len(enough) > 0
     take = int(enough[0]) + 1 if complete else len(frequent)
-    out = [mix64(rare)]
+    out, heat = [mix64(rare)], [np.zeros(len(rare), dtype=np.uint8)]
     for g in np.unique(group[:take]):
-        members = np.sort(frequent[:take][group[:take] == g])
-        if len(members) > 1:
-            i, j = np.triu_indices(len(members), 1)
+        at = np.flatnonzero(group[:take] == g)
+        at = at[np.argsort(frequent[at])]
+        if len(at) > 1:
+            i, j = np.triu_indices(len(at), 1)
             with np.errstate(over="ignore"):
-                out.append(mix64(mix64(members[i] + np.uint64(2)) + members[j]))
+                out.append(mix64(mix64(frequent[at[i]] + np.uint64(2)) + frequent[at[j]]))
+            heat.append(np.minimum(its_level[at[i]], its_level[at[j]]))
     if not complete:
         out.append(mix64(tokens[order][:need] ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
-    return np.concatenate(out)
+        heat.append(level[order][:need])
+    return np.concatenate(out), np.concatenate(heat)
+
+
+def parts_of(sigs: np.ndarray, heat: np.ndarray, cls: int) -> np.ndarray:
+    """The part, from 1, of each signature above ``PART_LEVEL`` in which a class is ordered; 0 for the others.
+
+    A class has one of two places, by a bit of the signature: chains in parts of
+    the one kind are so joined by those in parts of the other.
+    """
+    out = np.zeros(len(sigs), dtype=np.int64)
+    hot = np.flatnonzero(heat > PART_LEVEL)
+    if len(hot):
+        place = mix64(np.asarray([cls, ~cls], dtype=np.int64).view(np.uint64))[(sigs[hot] & np.uint64(1)).astype(np.int64)]
+        width = np.uint64(1) << np.minimum(heat[hot] - PART_LEVEL, 30).astype(np.uint64)
+        out[hot] = 1 + (place & (width - np.uint64(1))).astype(np.int64)
+    return out
 
 
 def index(docs: DataFrame, levels, k: int, percent: int) -> DataFrame:
-    """``(sig, cls, n)`` of every set; copies within a task once."""
+    """``(sig, cls, n, part)`` of every set; copies within a task once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, seen, table = WordHashes(), set(), levels.value
         for batch in batches:
-            sigs, keys, sizes, held = [], [], [], 0
+            sigs, keys, sizes, parts, held = [], [], [], [], 0
             for text in batch.column(0):
                 s = shingle_set(text.as_py(), k, hashes)
                 if not len(s) or (key := set_key(s)) in seen:
                     continue
                 seen.add(key)
-                own = signatures(s, table, percent)
+                own, heat = levelled_signatures(s, table, percent)
                 sigs.append(own)
+                parts.append(parts_of(own, heat, key))
                 keys.append(np.full(len(own), key, dtype=np.int64))
                 sizes.append(np.full(len(own), len(s), dtype=np.int64))
                 held += len(own)
                 if held > 200_000:
-                    yield _posting_batch(sigs, keys, sizes)
-                    sigs, keys, sizes, held = [], [], [], 0
+                    yield _posting_batch(sigs, keys, sizes, parts)
+                    sigs, keys, sizes, parts, held = [], [], [], [], 0
             if sigs:
-                yield _posting_batch(sigs, keys, sizes)
+                yield _posting_batch(sigs, keys, sizes, parts)
         trim_memory()
 
-    return docs.select("text").mapInArrow(run, "sig long, cls long, n long")
+    return docs.select("text").mapInArrow(run, "sig long, cls long, n long, part long")
 
 
-def _posting_batch(sigs, keys, sizes) -> pa.RecordBatch:
+def _posting_batch(sigs, keys, sizes, parts) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array(np.concatenate(sigs).view(np.int64)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(sizes))],
-        names=["sig", "cls", "n"],
+        [pa.array(np.concatenate(sigs).view(np.int64)), *(pa.array(np.concatenate(x)) for x in (keys, sizes, parts))],
+        names=["sig", "cls", "n", "part"],
     )
 
 
@@ -271,17 +299,19 @@ def similar_classes(docs: DataFrame, profiled: DataFrame, levels, k: int, percen
     each signature: that joins groups of near copies by chains, without
     writing out their pairs. What is left are pairs under one signature whose
     classes still stand in different components; all of those are verified,
-    in blocks where a signature has many classes.
+    in blocks where a signature has many classes. A signature of frequent
+    tokens is ordered in parts, so that no task orders all of its classes;
+    which classes meet in a part changes the chains, not the result.
     """
-    order = Window.partitionBy("sig").orderBy("n", "cls")
-    whole = Window.partitionBy("sig")
+    order = Window.partitionBy("sig", "part").orderBy("n", "cls")
+    whole = Window.partitionBy("sig", "part")
     posted = (
         index(docs, levels, k, percent)
         .withColumn("prev", F.lag("cls").over(order)).withColumn("prev_n", F.lag("n").over(order))
         .withColumn("lo", F.min("cls").over(whole)).withColumn("hi", F.max("cls").over(whole)).withColumn("m", F.count("*").over(whole))
-        .where("lo <> hi and (prev is null or prev <> cls)")
+        .where("(part > 0 or lo <> hi) and (prev is null or prev <> cls)")
     )
-    shared = stage(posted.select("sig", "cls", "n", "m", "prev", "prev_n"), "postings")
+    shared = stage(posted.select("sig", "part", "cls", "n", "m", "prev", "prev_n"), "postings")
     chain = stage(
         shared.where("prev is not null").where(_near_in_size("prev_n", "n", percent))
         .select(F.least("cls", "prev").alias("a"), F.greatest("cls", "prev").alias("b")).distinct(),
@@ -307,7 +337,10 @@ def similar_classes(docs: DataFrame, profiled: DataFrame, levels, k: int, percen
 
     edges = linked(chain)
     labels = connected_components(edges)
-    named = shared.select("sig", "cls", "n", "m").join(
+    # classes of the signatures ordered in parts, where they are more than a list may hold
+    counted = shared.where("part > 0").groupBy("sig").agg(F.count("*").alias("in_parts")).where(f"in_parts > {MOST_PAIRED}")
+    named = lookup_join(shared.select("sig", "part", "cls", "n", "m"), counted, ["sig"])
+    named = named.withColumn("m", F.when(F.col("part") > 0, F.coalesce("in_parts", F.lit(1))).otherwise(F.col("m"))).join(
         labels.select(F.col("node").alias("cls"), F.col("component").alias("c")), "cls", "left"
     ).select("sig", "cls", "n", "m", F.coalesce("c", "cls").alias("c"))
     named = stage(named, "named")
@@ -331,13 +364,15 @@ def similar_classes(docs: DataFrame, profiled: DataFrame, levels, k: int, percen
 def block_links(posted: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links between classes of different components ``c`` that share one of the signatures of ``posted``.
 
-    Classes stand in blocks of at most ``BLOCK``, near copies close together.
+    Classes stand in blocks of about ``BLOCK`` at most, those with a signature in common close together.
     Each pair of blocks that has a signature in common is one group; it
     compares in numpy and returns only links that join components.
     """
     first = posted.groupBy("cls").agg(F.min("sig").alias("lead"), F.max("c").alias("c"), F.sort_array(F.collect_set("sig")).alias("sigs"))
-    rank = F.row_number().over(Window.partitionBy("lead").orderBy("cls")) - 1
-    blocked = stage(first.withColumn("block", F.xxhash64("lead", F.floor(rank / BLOCK))).drop("lead"), "blocks")
+    first = stage(first, "leads")
+    leads = first.groupBy("lead").agg(F.ceil(F.count("*") / BLOCK).alias("blocks")).where("blocks > 1")
+    dealt = F.pmod(F.xxhash64("cls"), F.coalesce("blocks", F.lit(1)))
+    blocked = stage(lookup_join(first, leads, ["lead"]).withColumn("block", F.xxhash64("lead", dealt)).drop("lead", "blocks"), "blocks")
     by_sig = stage(blocked.select(F.explode("sigs").alias("sig"), "block").distinct(), "block-sigs")
     mates = (
         by_sig.select("sig", F.col("block").alias("p")).join(by_sig.select("sig", F.col("block").alias("q")), "sig")

@@ -69,9 +69,11 @@ def test_groups_at_the_threshold(spark):
     check(spark.createDataFrame(docs, "doc_id long, text string"), 5, 80)
 
 
-def test_many_classes_under_one_signature_meet_in_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("part_level", [0, 8])
+def test_many_classes_under_one_signature_meet_in_blocks(spark, monkeypatch, part_level):
     monkeypatch.setattr(jaccard, "MOST_PAIRED", 5)
     monkeypatch.setattr(jaccard, "BLOCK", 7)
+    monkeypatch.setattr(jaccard, "PART_LEVEL", part_level)
     docs = near_copies(80, 3, 3) + near_copies(30, 4, 4, 40)
     check(spark.createDataFrame(docs, "doc_id long, text string"))
 
@@ -91,6 +93,16 @@ def test_linked_sets_share_a_signature(seed):
             assert len(np.intersect1d(signatures(a, levels, 85), signatures(b, levels, 85))), (n, cut)
 
 
+def test_parts_of_frequent_signatures():
+    rng = np.random.default_rng(3)
+    sigs = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    heat = np.repeat(np.asarray([0, jaccard.PART_LEVEL, jaccard.PART_LEVEL + 1, jaccard.PART_LEVEL + 4], dtype=np.uint8), 10)
+    dealt = np.stack([jaccard.parts_of(sigs, heat, int(cls)) for cls in rng.integers(-(1 << 63), 1 << 63, 2000)])
+    assert not dealt[:, :20].any() and set(np.unique(dealt[:, 20:30])) == {1, 2}
+    for column in dealt[:, 30:].T:  # about the same number of classes in each of the parts
+        assert set(np.unique(column)) == set(range(1, 17)) and np.bincount(column)[1:].max() < 250
+
+
 def test_parity_bounds_the_difference():
     rng = np.random.default_rng(0)
     for _ in range(300):
