@@ -249,3 +249,42 @@ def plain_scan(text: str | None, idf: dict[str, float], templates=TEMPLATES) ->
 def license_query(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     return license_scan(docs).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
+def _oracle() -> str:
+    """DuckDB SQL of :func:`license_query`: every template word joined with every equal word, places by their difference, no index."""
+    values = ", ".join(f"({t}, '{x.label}', {len(x.text.split())}, [{', '.join(repr(f' {p} ') for p in x.phrases)}])" for t, x in enumerate(TEMPLATES))
+    words = ", ".join(f"({t}, {q}, '{w}')" for t, x in enumerate(TEMPLATES) for q, w in enumerate(x.text.split()))
+    phrases = " UNION ALL ".join(
+        f"SELECT doc_id, w, p, '{label}' AS label FROM placed WHERE " + " AND ".join(f"w[p + {j + 1}] = '{x}'" for j, x in enumerate(phrase.split()))
+        for phrase, label in BASE_PHRASES
+    )
+    return rf"""
+WITH worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), placed AS (
+  SELECT doc_id, w, unnest(range(0, len(w))) AS p FROM worded
+), based AS (
+  {phrases}
+), base AS (
+  SELECT doc_id, count(*) AS n, min(p) AS first_word, max(p) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM based GROUP BY doc_id
+), templates(t, label, size, phrases) AS (VALUES {values}
+), template_words(t, q, x) AS (VALUES {words}
+), places AS (
+  SELECT doc_id, t, p - q AS o, count(*) AS n FROM (SELECT doc_id, p, w[p + 1] AS x FROM placed) JOIN template_words USING (x) GROUP BY ALL
+), spans AS (
+  SELECT doc_id, label, n / size AS share, phrases, ' ' || array_to_string(list_slice(w, greatest(o, 0) + 1, greatest(o, 0) + size), ' ') || ' ' AS span
+  FROM places JOIN templates USING (t) JOIN worded USING (doc_id) WHERE n >= {LEAST_MATCH} * size
+), found AS (
+  SELECT doc_id, label, share FROM spans WHERE len(list_filter(phrases, lambda y: NOT contains(span, y))) = 0
+), named AS (
+  SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+  FROM (SELECT doc_id, label, share FROM found UNION ALL SELECT doc_id, label, 0 FROM based) GROUP BY doc_id
+)
+SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(b.n, 0) AS n_base, b.first_word, b.last_word,
+  coalesce(b.labels, '') AS base_labels, coalesce(m.labels, '') AS labels, coalesce(m.score, 0)::DOUBLE AS score
+FROM worded d LEFT JOIN base b USING (doc_id) LEFT JOIN named m USING (doc_id)
+"""
+
+
+ORACLE = _oracle()

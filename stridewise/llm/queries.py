@@ -20,11 +20,14 @@ QUERIES = {
     "op13_collocations": phrases.phrases_query,
 }
 
-#: The others have no SQL twin: their methods are iterative; tests hold them against brute force.
+#: The others have no SQL twin (trained models, tokenizers, differencing); tests hold them against brute force or their laws.
 ORACLES = {
     "op1_warc": warc.ORACLE,
     "op2_quality_rules": quality.ORACLE,
+    "op4_ngram_jaccard": jaccard.ORACLE,
     "op6_mixing": mixing.ORACLE,
+    "op7_license_index": licenses.ORACLE,
+    "op10_rp_forest": rpforest.ORACLE,
     "op11_dialogue_repair": dialogues.ORACLE,
     "op13_collocations": phrases.ORACLE,
 }

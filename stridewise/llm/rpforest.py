@@ -370,3 +370,27 @@ def near_vectors(
 
 def rpforest_query(spark, sf_dir: str) -> DataFrame:
     return near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: DuckDB SQL of :func:`rpforest_query`: all pairs compared, links followed to the least vec_id.
+ORACLE = f"""
+WITH RECURSIVE given AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+), vectors AS (
+  SELECT vec_id, v FROM given
+  WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(v, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT x.vec_id AS a, y.vec_id AS b FROM vectors x JOIN vectors y ON x.vec_id <> y.vec_id AND len(x.v) = len(y.v)
+  WHERE CASE WHEN len(x.v) = len(y.v) THEN list_cosine_similarity(x.v, y.v) >= {COSINE} END
+), reached AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a, min(b) AS b FROM reached GROUP BY a
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT g.vec_id, coalesce(c.n, 0) AS n_links, least(g.vec_id, coalesce(l.b, g.vec_id)) AS component_id,
+  g.vec_id <= coalesce(l.b, g.vec_id) AS kept
+FROM given g LEFT JOIN counts c ON c.a = g.vec_id LEFT JOIN least l ON l.a = g.vec_id
+"""
