@@ -376,7 +376,7 @@ def rpforest_query(spark, sf_dir: str) -> DataFrame:
 ORACLE = f"""
 WITH RECURSIVE given AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
-), vectors AS (
+), vectors AS MATERIALIZED (
   SELECT vec_id, v FROM given
   WHERE v IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
     AND len(list_filter(v, lambda x: x <> 0)) > 0

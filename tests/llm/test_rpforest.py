@@ -101,3 +101,21 @@ def test_pairs_in_a_hot_group_are_found_with_few_trees(spark):
 
 def test_levels_follow_the_size():
     assert [further_levels(m, 1500) for m in (1501, 2400, 3000, 10**7)] == [1, 1, 2, 4]
+
+
+def test_sql_twin_on_chains_copies_and_unusable_vectors(spark):
+    import duckdb
+    import pyarrow as pa
+
+    from stridewise.llm.rpforest import ORACLE
+
+    rng = np.random.default_rng(11)
+    base = rng.normal(size=(40, 16))
+    near = [base[i % 40] + rng.normal(scale=0.08, size=16) * (1 + i % 3) for i in range(160)]
+    vectors = [v.tolist() for v in (*base, *near, *base[:5])] + [None, [], [0.0] * 16, [None] + [1.0] * 15, [float("nan")] * 16, [1.0, 2.0]]
+    rows = [(1000 - i, v) for i, v in enumerate(vectors)]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    con = duckdb.connect()
+    con.register("embeddings", pa.table({"vec_id": pa.array([r[0] for r in rows], pa.int64()), "embedding": pa.array([r[1] for r in rows], pa.list_(pa.float64()))}))
+    want = sorted(con.execute(ORACLE).fetchall())
+    assert sorted(tuple(r) for r in got.collect()) == want and max(w[1] for w in want) > 1
