@@ -69,8 +69,10 @@ GARMIN_DIALECT = CsvDialect()
 
 
 def export_folder(path_col: str = "_metadata.file_path") -> F.Column:
-    """Name of the folder holding the file (the export date by convention)."""
-    return F.regexp_extract(F.col(path_col), r"([^/]+)/[^/]+$", 1)
+    """Name of the folder holding the file (the export date by convention); empty text if the path names none."""
+    path = F.col(path_col)
+    # a regular expression would try every place of the path, for every row
+    return F.when(~F.contains(path, F.lit("/")) | path.endswith("/"), "").otherwise(F.substring_index(F.substring_index(path, "/", -2), "/", 1))
 
 
 #: Where a row was read: file, byte at which its record starts, 0. Rows of one export compare by it in file order.

@@ -1,12 +1,16 @@
 """Byte ranges: any range size gives the rows of the whole file, by the readers themselves and by Spark's own sources."""
 
+import gzip
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from stridewise.plans import queries
 from stridewise.sources import exports
-from stridewise.sources.ranges import FileRange, pack_ranges, quoted_starts, read_text_records, split_files, text_records, xml_elements
+from stridewise.sources import ranges as ranges_module
+from stridewise.sources.ranges import (
+    FileRange, list_files, pack_ranges, quoted_starts, read_text_records, read_xml_elements, split_files, text_records, xml_elements)
 
 
 def csv_file(path, seed, rows=40):
@@ -119,3 +123,73 @@ def test_headers_and_empty_files(spark, tmp_path):
     assert sorted(map(str, got.drop("source").collect())) == sorted(map(str, got.drop("source").collect()))
     rows = {(r["export_date"], r["Date0"], r["_c1"], r["Date2"], r["Da\nte"], r["duration"]) for r in got.collect()}
     assert rows == {("b", "1", "2", "3", None, None), ("b", "4", "5", None, None, None), ("c", None, None, None, "x\ny", "2")}
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """Tasks grow with the cores, not with the ranges of a large file."""
+    size = xml_file(tmp_path / "f.xml", 3, workouts=600)
+    files = [(f"file:{tmp_path}/f.xml", size)]
+    whole = read_xml_elements(spark, files, "Workout").orderBy("start").collect()
+    cut = read_xml_elements(spark, files, "Workout", range_bytes=100)
+    assert len(split_files(files, 100)) > 500 and cut.rdd.getNumPartitions() <= 17 * spark.sparkContext.defaultParallelism
+    assert cut.orderBy("start").collect() == whole
+
+
+def test_blocks_are_no_longer_than_their_range(tmp_path, monkeypatch):
+    (tmp_path / "f.csv").write_bytes(b"abc;def\n" * 200_000)
+    asked = []
+    init = ranges_module._Bytes.__init__
+    monkeypatch.setattr(ranges_module._Bytes, "__init__", lambda self, r, position, block: (asked.append(block), init(self, r, position, block))[1])
+    assert len(list(text_records(FileRange(str(tmp_path / "f.csv"), 1_600_000, 800, 1600), b'"'))) == 100
+    assert asked == [800 + ranges_module.BEYOND]
+
+
+def test_compressed_files_are_read_whole(spark, tmp_path):
+    (tmp_path / "plain" / "2025-01-01").mkdir(parents=True)
+    (tmp_path / "packed" / "2025-01-01").mkdir(parents=True)
+    for i in range(3):
+        xml_file(tmp_path / f"plain/2025-01-01/f{i}.xml", i)
+        csv_file(tmp_path / f"plain/2025-01-01/f{i}.csv", i)
+        for kind in ("xml", "csv"):
+            raw = (tmp_path / f"plain/2025-01-01/f{i}.{kind}").read_bytes()
+            # two members, as appended files have
+            (tmp_path / f"packed/2025-01-01/f{i}.{kind}.gz").write_bytes(gzip.compress(raw[:500]) + gzip.compress(raw[500:]))
+    for size in (300, 64 << 20):
+        want = exports.import_apple_workouts(spark, f"{tmp_path}/plain/*/*.xml")
+        got = exports.import_apple_workouts(spark, f"{tmp_path}/packed/*/*.xml.gz", range_bytes=size)
+        assert want.count() > 30 and sorted(got.collect()) == sorted(want.collect())
+        want = exports.import_garmin_activities(spark, f"{tmp_path}/plain/*/*.csv").collect()
+        got = exports.import_garmin_activities(spark, f"{tmp_path}/packed/*/*.csv.gz", range_bytes=size).collect()
+        assert len(want) > 100 and sorted(map(str, got)) == sorted(map(str, want))
+
+
+def test_export_folder_of_any_path(spark):
+    paths = ["file:/a/2025-01-01/f.xml", "s3://b/f.xml", "d/f", "/f", "f", "", "a//f", "a/b/", None]
+    df = spark.createDataFrame([(p,) for p in paths], "p string")
+    assert [r[0] for r in df.select(exports.export_folder("p")).collect()] == \
+        [r[0] for r in df.select(F.regexp_extract("p", r"([^/]+)/[^/]+$", 1)).collect()]
+    assert "regexp" not in df.select(exports.export_folder("p"))._jdf.queryExecution().analyzed().toString()
+
+
+@pytest.fixture(scope="module")
+def few_lines(spark, tmp_path_factory):
+    folder = str(tmp_path_factory.mktemp("lines"))
+    n = F.col("id")
+    spark.range(500).select(
+        (n * 97).alias("l_orderkey"), (n % 90).alias("l_partkey"), (n % 7).alias("l_suppkey"), (n % 7 + 1).cast("int").alias("l_linenumber"),
+        (n % 50).cast("double").alias("l_quantity"), F.lit(0.0).alias("l_discount"), F.lit(0.02).alias("l_tax"), F.lit("A").alias("l_returnflag"),
+        F.lit("2025-01-01").cast("timestamp_ntz").alias("l_shipdate"),
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("kind", ["xml", "csv"])
+def test_export_files_grow_in_number(spark, few_lines, kind):
+    """No file, and so no task that writes one, holds much more than the rows asked for."""
+    write = queries._write_xml_exports if kind == "xml" else queries._write_garmin_exports
+    root = write(spark, few_lines, files=2, most_rows=100)
+    files = list_files(spark, f"{root}/*/*.{kind}{'.gz' if kind == 'xml' else ''}")
+    assert len(files) == 10  # five a folder
+    read = exports.import_apple_workouts(spark, f"{root}/*/*.xml.gz") if kind == "xml" else exports.import_garmin_activities(spark, f"{root}/*/*.csv")
+    assert read.count() == 1000
+    assert len(list_files(spark, f"{write(spark, few_lines, files=2)}/*/*.{kind}*")) == 4
