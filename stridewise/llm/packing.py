@@ -109,10 +109,10 @@ class WordEncoder:
             self.known[part] = np.asarray(got.ids, dtype="<u4").tobytes()
 
 
-def text_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of about ``TEXT_BYTES_AT_ONCE`` bytes of one text column, a row at least."""
+def text_slices(batch: pa.RecordBatch, column: int, text_bytes: int = TEXT_BYTES_AT_ONCE) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``text_bytes`` bytes of one text column, a row at least."""
     size = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False))
-    part = size // TEXT_BYTES_AT_ONCE
+    part = size // text_bytes
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
     for a, b in zip(cuts, cuts[1:], strict=False):
         if b > a:
@@ -120,10 +120,11 @@ def text_slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
 
 
 def pieces(docs: DataFrame, path: str | None = None, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, end_id: int = END_ID,
-           cached_words: int = CACHED_WORDS) -> DataFrame:
+           cached_words: int = CACHED_WORDS, text_bytes: int = TEXT_BYTES_AT_ONCE) -> DataFrame:
     """One row a piece; every piece but the last of a document has ``window`` ids. A null text is empty: its end id only.
 
-    A Python worker keeps the ids of up to ``cached_words`` words (and those of one batch) between its tasks: more memory, less encoding.
+    A Python worker keeps the ids of up to ``cached_words`` words (and those of one batch) between its tasks, and encodes
+    ``text_bytes`` of text at once: more of both is more memory, less encoding.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,7 +135,7 @@ def pieces(docs: DataFrame, path: str | None = None, text: str = "text", doc_id:
         encoder = worker_object(f"encoder {file} {cached_words}", lambda: WordEncoder(file, cached_words))
         end = np.asarray([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            for part in text_slices(batch, 1):
+            for part in text_slices(batch, 1, text_bytes):
                 rows = []
                 ids, starts = encoder.encode(pc.fill_null(part.column(1), ""))
                 for key, a, b in zip(part.column(0).to_pylist(), starts, starts[1:], strict=False):
@@ -229,9 +230,9 @@ def pack(cut_pieces: DataFrame, window: int = WINDOW, pieces_per_block: int = PI
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW,
-                   cached_words: int = CACHED_WORDS) -> DataFrame:
+                   cached_words: int = CACHED_WORDS, text_bytes: int = TEXT_BYTES_AT_ONCE) -> DataFrame:
     """Pieces of all documents with their place in the packed sequences (see :func:`pieces`, :func:`pack`)."""
-    return pack(pieces(docs, path, text, doc_id, window, cached_words=cached_words), window)
+    return pack(pieces(docs, path, text, doc_id, window, cached_words=cached_words, text_bytes=text_bytes), window)
 
 
 def packing_query(spark, sf_dir: str) -> DataFrame:
