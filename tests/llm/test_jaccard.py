@@ -128,3 +128,19 @@ def test_one_per_group(spark, documents, edge_documents):
     assert edge == sorted([1, 2, 3, 4, 7, 8, 9, None, None], key=str)
     again = spark.createDataFrame([(1, "p q r s t u"), (1, "p q r s t u"), (2, "other words are here now")], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in one_per_group(again).collect()) == [1, 2]
+
+
+def test_copies_in_other_tasks_are_read_once(spark):
+    """Copies of all texts, dealt to other tasks, change neither the frequencies nor what is indexed."""
+
+    def figures(copies):
+        rows = [(i + 10_000 * c, t) for c in range(copies) for i, t in near_copies(40, 5, 3)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(copies, "doc_id")
+        docs = docs.withColumn("text_hash", jaccard._text_hash("text")).withColumn("row", jaccard._row_hash("doc_id", "text_hash"))
+        firsts = jaccard.first_rows(docs.select("doc_id", "text_hash"))
+        levels = jaccard.frequency_levels(jaccard.profile(docs, 4, firsts).cache())
+        posted = jaccard.index(docs, spark.sparkContext.broadcast(levels), 4, 85, firsts)
+        return int(levels.astype(int).sum()), sorted(map(tuple, posted.distinct().collect())), posted.count()
+
+    once, many = figures(1), figures(8)
+    assert once[:2] == many[:2] and many[2] <= 1.1 * once[2]
