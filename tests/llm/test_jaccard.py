@@ -144,3 +144,11 @@ def test_copies_in_other_tasks_are_read_once(spark):
 
     once, many = figures(1), figures(8)
     assert once[:2] == many[:2] and many[2] <= 1.1 * once[2]
+
+
+def test_one_per_group_looks_up_what_both_bitmaps_mark(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "MOST_BITS", 9)  # so dense that most rows are marked by both
+    rows = [(i + 1000 * c, t) for c in range(6) for i, t in near_copies(30, 6, 1)] + [(i, f"{i} a text of its own") for i in range(300)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    least = {r["component_id"] for r in jaccard_components(docs, k=5, percent=80).collect()}
+    assert sorted(r["doc_id"] for r in one_per_group(docs).collect()) == sorted(least)
