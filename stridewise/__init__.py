@@ -26,7 +26,7 @@ from stridewise.operators.combine import add_features, concat_sources, frames_di
 from stridewise.operators.dedupe import keep_first
 from stridewise.operators.heart_rate import clean_heart_rate
 from stridewise.operators.impute import impute_grouped_calories, winsorise_calories
-from stridewise.operators.intervals import interval_join
+from stridewise.operators.intervals import interval_join, interval_summary
 from stridewise.operators.quality import assess_quality, comparison_table, quality_report
 from stridewise.operators.quantiles import exact_median, exact_percentiles
 from stridewise.operators.typing import (
@@ -64,5 +64,5 @@ __all__ = [
     "filter_running_garmin", "reduce_to_columns", "DEFAULT_STEPS", "CleaningPipeline", "Step",
     "build_cleaning_pipeline", "clean_runs", "run_summary", "step_report", "PipelineResult", "run_pipeline",
     "import_apple_workouts", "import_garmin_activities", "read_processed", "write_outputs",
-    "import_route_points", "route_clocks", "with_local_time", "workout_routes", "interval_join",
+    "import_route_points", "route_clocks", "with_local_time", "workout_routes", "interval_join", "interval_summary",
 ]

@@ -6,7 +6,8 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from stridewise.operators.intervals import interval_join
+from stridewise.operators import intervals
+from stridewise.operators.intervals import interval_join, interval_summary
 from stridewise.sources.routes import import_route_points, named_start, route_clocks, utc_time, with_local_time, workout_routes
 
 GPX = """<?xml version="1.0"?>
@@ -154,3 +155,48 @@ def test_interval_join_is_an_equi_join(spark):
     p, i = frames(spark, [("a", datetime(2025, 1, 1), 1)], [("a", datetime(2025, 1, 1), datetime(2025, 1, 2), 1)])
     plan = interval_join(p, i, "at", "b", "e", ["k"])._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+@pytest.mark.parametrize("bucket_rows", [3, 50, 1_000_000])
+def test_interval_summary_equals_grouped_pairs(spark, bucket_rows):
+    rng = random.Random(6)
+    zero = datetime(1969, 12, 31, 20)
+
+    def moment():
+        return zero + timedelta(seconds=rng.choice([rng.randrange(600), rng.randrange(40_000)]), microseconds=rng.randrange(3))
+
+    keys = ["a", "a", "a", "b", None]
+    points = [(rng.choice(keys), rng.choice([moment(), moment(), None]), rng.choice([None, i, 7])) for i in range(400)] + [("a", zero, None)] * 20
+    intervals = []
+    for i in range(120):
+        b = moment()
+        intervals.append((rng.choice(keys), rng.choice([b, b, b, None]), b + timedelta(microseconds=rng.choice([0, -5, 1, 4**11 + 1, 10**9, 10**14])), rng.choice([i, 5, None])))
+    intervals += intervals[:10]
+    p, i = frames(spark, points, intervals)
+    p = p.withColumn("x", F.when(F.col("p") % 11 == 0, F.lit(float("nan"))).otherwise(F.col("p") / 2))
+    asked = {"n": ("count", None), "n_p": ("count", "p"), "least": ("min", "p"), "most": ("max", "x"), "first": ("min", "at"), "last": ("max", "at")}
+    got = interval_summary(p, i, "at", "b", "e", ["i", "k"], asked, ["k"], bucket_rows=bucket_rows)
+    want = interval_join(p, i, "at", "b", "e", ["k"]).groupBy("i", "k").agg(
+        F.count(F.lit(1)).alias("n"), F.count("p").alias("n_p"), F.min("p").alias("least"), F.max("x").alias("most"), F.min("at").alias("first"), F.max("at").alias("last"))
+    assert got.columns == want.columns and [f.dataType for f in got.schema] == [f.dataType for f in want.schema]
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert interval_summary(p.limit(0), i, "at", "b", "e", ["i"], asked, ["k"]).count() == 0
+    assert interval_summary(p, i.limit(0), "at", "b", "e", ["i"], asked, ["k"]).count() == 0
+
+
+def test_summaries_write_out_no_pairs(spark):
+    """Two thousand intervals over the same two thousand points: four million pairs, of which no plan node makes rows."""
+    zero = datetime(2025, 1, 1)
+    p, i = frames(spark, [("a", zero + timedelta(seconds=s), s) for s in range(2000)], [("a", zero, zero + timedelta(hours=1), n) for n in range(2000)])
+    got = interval_summary(p, i, "at", "b", "e", ["i"], {"n": ("count", None), "most": ("max", "p")}, ["k"])
+    assert {tuple(r)[1:] for r in got.collect()} == {(2000, 1999)} and got.count() == 2000
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan and "SortMergeJoin" not in plan
+
+
+def test_summary_cells_follow_crowded_points(spark):
+    """Points within a minute and one years away: cells as narrow as the crowd asks for, not as the whole time does."""
+    p = spark.range(20_000).select((F.col("id") * 3000).alias("_t"), F.lit("a").alias("k"))
+    far = spark.createDataFrame([(10**15, "a")], "_t long, k string")
+    wide = p.withColumn("_t", F.col("_t") * 1_000_000)
+    assert intervals._summary_level(p.unionByName(far), ["k"], 800) <= 12 < intervals._summary_level(wide, ["k"], 800)
