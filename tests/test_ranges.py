@@ -3,6 +3,7 @@
 import gzip
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -193,3 +194,42 @@ def test_export_files_grow_in_number(spark, few_lines, kind):
     read = exports.import_apple_workouts(spark, f"{root}/*/*.xml.gz") if kind == "xml" else exports.import_garmin_activities(spark, f"{root}/*/*.csv")
     assert read.count() == 1000
     assert len(list_files(spark, f"{write(spark, few_lines, files=2)}/*/*.{kind}*")) == 4
+
+
+def blocks_file(path, text, block, piece):
+    """The text in Hadoop's Snappy blocks of several pieces, an empty block among them."""
+    codec, out = pa.Codec("snappy"), []
+    for at in range(0, len(text), block):
+        body = text[at : at + block]
+        pieces = [codec.compress(body[i : i + piece], asbytes=True) for i in range(0, len(body), piece)]
+        out += [len(body).to_bytes(4, "big"), *[x for p in pieces for x in (len(p).to_bytes(4, "big"), p)], bytes(4) if at == block else b""]
+    path.write_bytes(b"".join(out))
+
+
+@pytest.mark.parametrize(("block", "piece"), [(70, 70), (200, 33), (1 << 20, 1 << 20)])
+def test_files_of_blocks_are_read_by_ranges(spark, tmp_path, monkeypatch, block, piece):
+    monkeypatch.setattr(ranges_module, "LEAST_RANGE", 50)
+    for i in range(3):
+        xml_file(tmp_path / f"{i}.xml", i)
+        blocks_file(tmp_path / f"{i}.xml.snappy", (tmp_path / f"{i}.xml").read_bytes(), block, piece)
+    (tmp_path / "empty.xml.snappy").write_bytes(b"")
+    plain = [tuple(r) for r in read_xml_elements(spark, list_files(spark, f"{tmp_path}/*.xml"), "Workout", 1 << 20).collect()]
+    files = list_files(spark, f"{tmp_path}/*.snappy")
+    for size in (60, 500, 1 << 20):
+        got = [tuple(r) for r in read_xml_elements(spark, files, "Workout", size).collect()]
+        whole = {(f.removesuffix(".snappy"), start, text) for f, start, text in got}
+        # elements inside a comment are only passed over where their range holds its start
+        assert whole >= set(plain) and all(text.startswith("<Workout") for _, _, text in got) and len(got) == len(whole)
+        assert size < 1 << 20 or len(got) == len(plain)
+    starts = ranges_module.block_starts(spark, files)
+    cut = split_files([(f, int(x[0, -1])) for f, x in starts.items()], 60, {f: x[:, :-1] for f, x in starts.items()})
+    assert len(starts) == 3 and (len(cut) > 30) == (block < 1 << 20)
+
+
+def test_a_single_export_is_written_in_blocks_and_read_by_ranges(spark):
+    root = queries._write_xml_exports(spark, "/root/testdata/sf0.001", files=1, compression="snappy")
+    files = list_files(spark, f"{root}/*/*.xml.snappy")
+    plain = queries._write_xml_exports(spark, "/root/testdata/sf0.001", files=1, compression="none")
+    assert len(files) == 2 and 4 * sum(size for _, size in files) < sum(size for _, size in list_files(spark, f"{plain}/*/*.xml"))
+    got, want = (sorted(r["record"] for r in read_xml_elements(spark, list_files(spark, f"{x}/*/*.xml*"), "Workout", 1 << 20).collect()) for x in (root, plain))
+    assert got == want and len(got) > 6000
